@@ -1,0 +1,28 @@
+"""Join helpers with an explicit size check before a broadcast."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest number of rows sent to every executor by ``join_bounded``; the
+# tables it is used for have two or three 8-byte columns, so this is about
+# 50 MB at most.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``big`` with ``small``, broadcasting ``small`` only if it is small.
+
+    ``small`` is materialised once (kept for the join) and counted. Below
+    ``max_rows`` the join is a broadcast hash join: no shuffle of ``big``, so
+    a hot key on the big side costs nothing extra. Above it, a shuffle join
+    is planned and AQE splits skewed partitions of ``big``.
+    """
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    n = small.count()
+    if n <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
