@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # cell-level stages explode every row 7x after the shuffle; keep small
+    # shuffles spread over the cores instead of coalescing them to one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
