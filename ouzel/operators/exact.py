@@ -4,88 +4,170 @@ The ball count of a point is the number of points (itself included) at
 distance strictly below D; a point is an outlier when its ball count is at
 most M. Duplicate points are separate points.
 
-Both methods work on *locations*: distinct ``(x, y)`` with a multiplicity
-``w``. A group of copies, however large, is then one probe and one partner
-row, never ``w * w`` pairs.
-
-* ``exact_outliers_band``: a theta self-join written as an equi-join on
-  buckets of side D (3x3 neighbour buckets) plus the distance filter.
-* ``exact_outliers_grid``: the form for large data. Cells (side
-  ``D/(2*sqrt 2)``) with ``N3 > M`` hold no outlier and are dropped. Each
-  remaining location is matched with its 7x7 neighbour *cells* first: a cell
-  whose whole box lies within D adds its count without looking at its
-  points, a cell entirely beyond D adds nothing, and only cells cut by the
-  circle are joined point by point.
+Everything works on *locations*: distinct ``(x, y)`` with a multiplicity
+``w``. A group of copies, however large, is one probe and one partner row,
+never ``w * w`` pairs.
+
+Grids. Cells have side ``s = D/(2*sqrt 2)`` (diagonal D/2, the grid of the
+approximate method); blocks are 3x3 cells, side ``3s > D``, so the ball of a
+point lies inside the 3x3 blocks around its own block. A probe is exploded
+to those 9 blocks (9 rows, not the 49 of a cell stencil) and equi-joined on
+the block key with a *partner table* in which
+
+* an *open* cell (at most ``OPEN_CELL_ROWS`` locations) lists its
+  locations, tested one by one with ``dist < D``;
+* a *closed* cell (a dense one) is one row with its count: if its whole box
+  lies within D of the probe it adds the count, if it lies beyond D it adds
+  nothing, and only if the circle cuts it its 8x8 sub-cells are tested the
+  same way; points are compared one by one only in cut sub-cells.
+
+So a block key carries at most ``9 * OPEN_CELL_ROWS`` partner rows, however
+the points are distributed; a hot block only makes the probe side of a key
+large, which AQE's skew join splits. In outlier mode, probes in cells with
+more than M points are dropped up front (a cell's diagonal is D/2, so each of
+its points has all the others in its ball), and a probe whose sure count
+already exceeds M leaves before any pair of a cut sub-cell is formed.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ouzel.functions.geometry import (cell_index, cell_side, dist, max_sq_dist_to_box,
                                       min_sq_dist_to_box, offsets)
-from ouzel.operators.grid import merge_counts
 from ouzel.operators.joins import join_bounded
 
+# Locations a cell may hold and still be matched point by point.
+OPEN_CELL_ROWS = 64
+# Sub-cells per cell side for the second-level inside/beyond test.
+SUBCELLS = 8
+
+
+def _materialise(df: DataFrame) -> DataFrame:
+    """Compute a table used by several branches of the plan once.
+
+    Kept in memory and on local disk; a block lost with an executor is
+    recomputed from its (short) lineage, so the job survives the loss.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
+
 
 def locations(points: DataFrame) -> DataFrame:
     """Distinct coordinates with their multiplicity ``w`` (map-side combined)."""
     return points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
 
 
-def _with_cells(df: DataFrame, side: float, xcol: str = "x", ycol: str = "y") -> DataFrame:
-    return df.withColumn("i", cell_index(xcol, side)).withColumn("j", cell_index(ycol, side))
+def _block(c: str) -> Column:
+    return F.floor(F.col(c) / F.lit(3))
 
 
-def _with_buckets(df: DataFrame, width: float) -> DataFrame:
-    w = F.lit(width)
-    return (df.withColumn("i", F.floor(F.col("x") / w))
-              .withColumn("j", F.floor(F.col("y") / w)))
+def _with_cells(df: DataFrame, side: float, sub: int = SUBCELLS) -> DataFrame:
+    """Cell ``(i, j)``, sub-cell ``(u, v)`` (side ``side/sub``) and block ``(gi, gj)``."""
+    return (df.withColumn("i", cell_index("x", side)).withColumn("j", cell_index("y", side))
+              .withColumn("u", cell_index("x", side / sub))
+              .withColumn("v", cell_index("y", side / sub))
+              .withColumn("gi", _block("i")).withColumn("gj", _block("j")))
 
 
-def _neighbours(probes: DataFrame, r: int) -> DataFrame:
-    """``px, py`` with every cell ``(i, j)`` within ``r`` steps of its own."""
-    return (probes
-            .select("px", "py", "pi", "pj", F.explode(offsets(r)).alias("di"))
-            .select("px", "py", "pj", (F.col("pi") + F.col("di")).alias("i"),
-                    F.explode(offsets(r)).alias("dj"))
-            .select("px", "py", "i", (F.col("pj") + F.col("dj")).alias("j")))
-
-
-def _grid_ball_counts(probes: DataFrame, locs: DataFrame, cells: DataFrame,
-                      D: float, side: float) -> DataFrame:
-    """Ball count of every probe location -> ``px, py, ball``.
-
-    ``probes``: ``px, py, pi, pj``; ``locs``: ``x, y, w, i, j``; ``cells``:
-    ``i, j, n`` on the grid of side ``side`` (diagonal D/2, so the ball
-    reaches 3 cells). Cell boxes are padded by far more than the rounding of
-    ``i * side``, so "inside" and "beyond" are never decided wrongly; close
-    calls go to the point-by-point test, which uses the same distance
-    expression as the oracle.
+def _box_tests(side: float, D: float, ci: str, cj: str) -> tuple[Column, Column]:
+    """``inside`` / ``beyond`` tests of the padded box of cell (ci, cj) of ``side``.
+
+    Boxes are padded by far more than the rounding of ``i * side``, so
+    "inside" and "beyond" are never decided wrongly; close calls go to the
+    point-by-point test, which uses the same distance expression as the
+    oracle.
     """
-    r = int(math.ceil(D / side))
     s = F.lit(side)
-    nb = _neighbours(probes, r).join(cells, ["i", "j"], "inner")
-    pad_i = F.lit(side * 1e-9) + (F.abs(F.col("i")) + 1) * F.lit(side * 1e-12)
-    pad_j = F.lit(side * 1e-9) + (F.abs(F.col("j")) + 1) * F.lit(side * 1e-12)
-    x0 = F.col("i") * s - pad_i
-    x1 = (F.col("i") + 1) * s + pad_i
-    y0 = F.col("j") * s - pad_j
-    y1 = (F.col("j") + 1) * s + pad_j
-    d2 = F.lit(D * D)
+    i, j = F.col(ci), F.col(cj)
+    pad_i = F.lit(side * 1e-9) + (F.abs(i) + 1) * F.lit(side * 1e-12)
+    pad_j = F.lit(side * 1e-9) + (F.abs(j) + 1) * F.lit(side * 1e-12)
+    x0, x1 = i * s - pad_i, (i + 1) * s + pad_i
+    y0, y1 = j * s - pad_j, (j + 1) * s + pad_j
     px, py = F.col("px"), F.col("py")
-    nb = nb.select("px", "py", "i", "j", "n",
-                   (max_sq_dist_to_box(px, py, x0, x1, y0, y1) < d2).alias("inside"),
-                   (min_sq_dist_to_box(px, py, x0, x1, y0, y1) > d2).alias("beyond"))
-    inside = nb.where(F.col("inside")).select("px", "py", F.col("n").alias("c"))
-    cut = nb.where(~F.col("inside") & ~F.col("beyond")).select("px", "py", "i", "j")
-    pairs = (cut.join(locs, ["i", "j"], "inner")
+    d2 = F.lit(D * D)
+    return (max_sq_dist_to_box(px, py, x0, x1, y0, y1) < d2,
+            min_sq_dist_to_box(px, py, x0, x1, y0, y1) > d2)
+
+
+def _block_neighbours(probes: DataFrame) -> DataFrame:
+    """``px, py`` with every block ``(gi, gj)`` of the 3x3 around its own."""
+    return (probes
+            .select("px", "py", "pgi", "pgj", F.explode(offsets(1)).alias("di"))
+            .select("px", "py", "pgj", (F.col("pgi") + F.col("di")).alias("gi"),
+                    F.explode(offsets(1)).alias("dj"))
+            .select("px", "py", "gi", (F.col("pgj") + F.col("dj")).alias("gj")))
+
+
+def _ball_counts(points: DataFrame, D: float, M: int | None = None,
+                 open_rows: int = OPEN_CELL_ROWS) -> DataFrame:
+    """Ball count of every location -> ``px, py, ball``.
+
+    With ``M`` (outlier mode) only locations that may be outliers are
+    probed, and the result holds exactly those with ``ball <= M``.
+    """
+    side = cell_side(D)
+    locs = _materialise(_with_cells(locations(points), side))
+    cells = _materialise(locs.groupBy("i", "j")
+                         .agg(F.count(F.lit(1)).alias("nl"), F.sum("w").alias("n")))
+    closed = _materialise(cells.where(F.col("nl") > open_rows).select("i", "j", "n"))
+    has_closed = closed.count() > 0
+
+    probes = locs
+    if M is not None:
+        full = cells.where(F.col("n") > M).select("i", "j")
+        probes = join_bounded(locs, full, ["i", "j"], "left_anti")
+    probes = probes.select(F.col("x").alias("px"), F.col("y").alias("py"),
+                           F.col("gi").alias("pgi"), F.col("gj").alias("pgj"))
+    nb = _block_neighbours(probes)
+
+    parts = locs.select("gi", "gj", "x", "y", "w")
+    if has_closed:
+        parts = join_bounded(locs, closed.select("i", "j"), ["i", "j"], "left_anti") \
+            .select("gi", "gj", "x", "y", "w")
+    hits = (nb.join(parts, ["gi", "gj"], "inner")
+            .where(dist("px", "py", "x", "y") < F.lit(D))
+            .select("px", "py", F.col("w").alias("c")))
+
+    if has_closed:
+        hits = hits.unionByName(_closed_hits(nb, locs, closed, D, side, M, hits))
+    balls = hits.groupBy("px", "py").agg(F.sum("c").alias("ball"))
+    return balls if M is None else balls.where(F.col("ball") <= M)
+
+
+def _closed_hits(nb: DataFrame, locs: DataFrame, closed: DataFrame, D: float, side: float,
+                 M: int | None, open_hits: DataFrame) -> DataFrame:
+    """``px, py, c`` contributions of the closed (dense) cells."""
+    dense = join_bounded(locs, closed.select("i", "j"), ["i", "j"], "left_semi")
+    subs = dense.groupBy("i", "j", "u", "v").agg(F.sum("w").alias("n"))
+    cl = closed.select("i", "j", "n", _block("i").alias("gi"), _block("j").alias("gj"))
+
+    cc = nb.join(cl, ["gi", "gj"], "inner")
+    inside, beyond = _box_tests(side, D, "i", "j")
+    cc = cc.select("px", "py", "i", "j", "n", inside.alias("inside"), beyond.alias("beyond"))
+    in_cells = cc.where(F.col("inside")).select("px", "py", F.col("n").alias("c"))
+    cut = cc.where(~F.col("inside") & ~F.col("beyond")).select("px", "py", "i", "j")
+
+    sb = cut.join(subs, ["i", "j"], "inner")
+    inside, beyond = _box_tests(side / SUBCELLS, D, "u", "v")
+    sb = sb.select("px", "py", "i", "j", "u", "v", "n",
+                   inside.alias("inside"), beyond.alias("beyond"))
+    in_subs = sb.where(F.col("inside")).select("px", "py", F.col("n").alias("c"))
+    cut_subs = sb.where(~F.col("inside") & ~F.col("beyond")).select("px", "py", "i", "j", "u", "v")
+
+    sure = in_cells.unionByName(in_subs)
+    if M is not None:
+        over = (sure.unionByName(open_hits).groupBy("px", "py").agg(F.sum("c").alias("c"))
+                .where(F.col("c") > M).select("px", "py"))
+        cut_subs = cut_subs.join(over, ["px", "py"], "left_anti")
+    pairs = (cut_subs.join(dense.select("i", "j", "u", "v", "x", "y", "w"),
+                           ["i", "j", "u", "v"], "inner")
              .where(dist("px", "py", "x", "y") < F.lit(D))
              .select("px", "py", F.col("w").alias("c")))
-    return inside.unionByName(pairs).groupBy("px", "py").agg(F.sum("c").alias("ball"))
+    return sure.unionByName(pairs)
 
 
 def _back_to_points(points: DataFrame, balls: DataFrame) -> DataFrame:
@@ -94,46 +176,31 @@ def _back_to_points(points: DataFrame, balls: DataFrame) -> DataFrame:
     return join_bounded(points.select("id", "x", "y"), b, ["x", "y"], "inner")
 
 
-def ball_counts(points: DataFrame, D: float) -> DataFrame:
+def ball_counts(points: DataFrame, D: float, open_rows: int = OPEN_CELL_ROWS) -> DataFrame:
     """The ball count of every point -> ``id, x, y, ball``."""
-    side = cell_side(D)
-    locs = _with_cells(locations(points), side)
-    cells = locs.groupBy("i", "j").agg(F.sum("w").alias("n"))
-    probes = locs.select(F.col("x").alias("px"), F.col("y").alias("py"),
-                         F.col("i").alias("pi"), F.col("j").alias("pj"))
-    balls = _grid_ball_counts(probes, locs, cells, D, side)
-    b = balls.select(F.col("px").alias("x"), F.col("py").alias("y"), "ball")
+    b = _ball_counts(points, D, open_rows=open_rows).select(F.col("px").alias("x"), F.col("py").alias("y"), "ball")
     return points.select("id", "x", "y").join(b, ["x", "y"], "inner")
 
 
-def exact_outliers_grid(points: DataFrame, D: float, M: int) -> DataFrame:
-    """Outliers with their ball counts -> ``id, x, y, ball``."""
-    side = cell_side(D)
-    locs = _with_cells(locations(points), side)
-    cells = locs.groupBy("i", "j").agg(F.sum("w").alias("n"))
-    keep = merge_counts(cells).where((F.col("n") > 0) & (F.col("n3") <= M)).select("i", "j")
-    probes = (locs.join(keep, ["i", "j"], "left_semi")
-              .select(F.col("x").alias("px"), F.col("y").alias("py"),
-                      F.col("i").alias("pi"), F.col("j").alias("pj")))
-    balls = _grid_ball_counts(probes, locs, cells, D, side).where(F.col("ball") <= M)
-    return _back_to_points(points, balls)
+def exact_outliers_grid(points: DataFrame, D: float, M: int,
+                        open_rows: int = OPEN_CELL_ROWS) -> DataFrame:
+    """Outliers with their ball counts -> ``id, x, y, ball``.
+
+    Grid-pruned: cells with more than M points, and probes whose sure count
+    from whole cells and sub-cells exceeds M, never reach the pair test.
+    """
+    return _back_to_points(points, _ball_counts(points, D, M, open_rows))
 
 
-def exact_outliers_band(points: DataFrame, D: float, M: int) -> DataFrame:
-    """The theta self-join ``dist(a, b) < D`` as a band join.
+def exact_outliers_band(points: DataFrame, D: float, M: int,
+                        open_rows: int = OPEN_CELL_ROWS) -> DataFrame:
+    """The theta self-join ``dist(a, b) < D`` -> ``id, x, y, ball`` of the outliers.
 
-    Buckets of side D; a point's partners lie in its 3x3 neighbour buckets.
-    Output ``id, x, y, ball`` for the outliers.
+    The join condition is evaluated over the block band (equi-join on the
+    3x3 neighbour blocks plus the distance filter) for every point, with no
+    pruning; only the final filter keeps ``ball <= M``.
     """
-    if not D > 0:
-        raise ValueError(f"distance D must be > 0, got {D!r}")
-    locs = _with_buckets(locations(points), D)
-    probes = locs.select(F.col("x").alias("px"), F.col("y").alias("py"),
-                         F.col("i").alias("pi"), F.col("j").alias("pj"))
-    balls = (_neighbours(probes, 1).join(locs, ["i", "j"], "inner")
-             .where(dist("px", "py", "x", "y") < F.lit(D))
-             .groupBy("px", "py").agg(F.sum("w").alias("ball"))
-             .where(F.col("ball") <= M))
+    balls = _ball_counts(points, D, open_rows=open_rows).where(F.col("ball") <= M)
     return _back_to_points(points, balls)
 
 

@@ -140,3 +140,32 @@ def test_separable_equals_literal_stencil(spark):
         a = sorted(tuple(r) for r in lit.select("i", "j", "n_sq", "center").collect())
         b = sorted(tuple(r) for r in grid.square_counts(cells, size).select("i", "j", "n_sq", "center").collect())
         assert a == b
+
+
+def _brute_balls(pts, D):
+    import numpy as np
+    xy = np.array([(x, y) for _, x, y in pts])
+    d = np.sqrt(((xy[:, None, :] - xy[None, :, :]) ** 2).sum(-1))
+    return {pid: int(c) for (pid, _, _), c in zip(pts, (d < D).sum(1))}
+
+
+@pytest.mark.parametrize("open_rows", [64, 4, 0])
+def test_dense_cells_match_brute_force(spark, open_rows):
+    """A hot cluster, a heap of copies and sparse points; dense cells take
+    the whole-cell and sub-cell path when ``open_rows`` is small."""
+    import numpy as np
+    rng = np.random.default_rng(7)
+    hot = rng.normal(0.0, 0.15, size=(300, 2))
+    sparse = rng.uniform(-3, 3, size=(200, 2))
+    xy = np.vstack([hot, sparse, np.full((30, 2), 0.05)])
+    pts = [(k, float(x), float(y)) for k, (x, y) in enumerate(xy)]
+    df = spark.createDataFrame(pts, "id long, x double, y double")
+    truth = _brute_balls(pts, 0.4)
+    got = {r.id: r.ball for r in exact.ball_counts(df, 0.4, open_rows=open_rows).collect()}
+    assert got == truth
+    for M in (3, 40):
+        want = {k: v for k, v in truth.items() if v <= M}
+        out = {r.id: r.ball for r in exact.exact_outliers_grid(df, 0.4, M, open_rows=open_rows).collect()}
+        assert out == want
+        band = {r.id: r.ball for r in exact.exact_outliers_band(df, 0.4, M, open_rows=open_rows).collect()}
+        assert band == want
