@@ -14,7 +14,7 @@ point lies inside the 3x3 blocks around its own block. A probe is exploded
 to those 9 blocks (9 rows, not the 49 of a cell stencil) and equi-joined on
 the block key with a *partner table* in which
 
-* an *open* cell (at most ``OPEN_CELL_ROWS`` locations) lists its
+* an *open* cell (at most ``OPEN_CELL_ROWS`` points) lists its
   locations, tested one by one with ``dist < D``;
 * a *closed* cell (a dense one) is one row with its count: if its whole box
   lies within D of the probe it adds the count, if it lies beyond D it adds
@@ -39,7 +39,7 @@ from ouzel.functions.geometry import (cell_index, cell_side, dist, max_sq_dist_t
                                       min_sq_dist_to_box, offsets)
 from ouzel.operators.joins import join_bounded
 
-# Locations a cell may hold and still be matched point by point.
+# Points a cell may hold and still be matched point by point.
 OPEN_CELL_ROWS = 64
 # Sub-cells per cell side for the second-level inside/beyond test.
 SUBCELLS = 8
@@ -110,11 +110,14 @@ def _ball_counts(points: DataFrame, D: float, M: int | None = None,
     probed, and the result holds exactly those with ``ball <= M``.
     """
     side = cell_side(D)
-    locs = _materialise(_with_cells(locations(points), side))
-    cells = _materialise(locs.groupBy("i", "j")
-                         .agg(F.count(F.lit(1)).alias("nl"), F.sum("w").alias("n")))
-    closed = _materialise(cells.where(F.col("nl") > open_rows).select("i", "j", "n"))
-    has_closed = closed.count() > 0
+    locs = _with_cells(locations(points), side)
+    # points per cell, straight from the points (map-side combined); a cell
+    # with at most ``open_rows`` points has at most that many locations
+    cells = _materialise(points.select(cell_index("x", side).alias("i"),
+                                       cell_index("y", side).alias("j"))
+                         .groupBy("i", "j").agg(F.count(F.lit(1)).alias("n")))
+    closed = cells.where(F.col("n") > open_rows)
+    has_closed = closed.limit(1).count() > 0
 
     probes = locs
     if M is not None:

@@ -33,10 +33,14 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "ouzel") -> SparkSession:
+                app_name: str = "ouzel", driver_memory: str | None = None) -> SparkSession:
+    """A session with ``DEFAULT_CONF``; ``driver_memory`` only takes effect
+    when this call starts the JVM (in local mode it is the executors' heap)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
