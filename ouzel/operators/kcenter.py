@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 from ouzel.functions.geometry import dist, sq_dist
 
 CENTER_SCHEMA = "ord int, id long, x double, y double"
+# Largest group one Python worker runs farthest-first on (16 bytes per point
+# in NumPy, a few times that in pandas).
+MAX_GROUP_ROWS = 2_000_000
 CORESET_SCHEMA = "b long, ord int, id long, x double, y double"
 
 
@@ -63,15 +66,17 @@ def _first_index(n: int, seed: int | None, salt: int) -> int:
     return int(np.random.default_rng([seed, salt & 0x7FFFFFFF]).integers(0, n))
 
 
-def _fft_group(K: int, seed: int | None, key_col: str | None):
+def _fft_group(K: int, seed: int | None, key_col: str | list[str] | None):
+    keys = [key_col] if isinstance(key_col, str) else list(key_col or [])
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) == 0:
-            cols = ([key_col] if key_col else []) + ["ord", "id", "x", "y"]
-            return pd.DataFrame({c: [] for c in cols})
+            return pd.DataFrame({c: [] for c in keys + ["ord", "id", "x", "y"]})
         pdf = pdf.sort_values(["id"], kind="stable").reset_index(drop=True)
         x = pdf["x"].to_numpy(dtype=np.float64)
         y = pdf["y"].to_numpy(dtype=np.float64)
-        salt = int(pdf[key_col].iloc[0]) if key_col else 0
+        key_vals = [int(pdf[k].iloc[0]) for k in keys]
+        salt = hash(tuple(key_vals)) if len(key_vals) > 1 else (key_vals[0] if key_vals else 0)
         idx = fft_indices(x, y, K, _first_index(len(pdf), seed, salt))
         out = pd.DataFrame({
             "ord": np.arange(len(idx), dtype=np.int32),
@@ -79,32 +84,48 @@ def _fft_group(K: int, seed: int | None, key_col: str | None):
             "x": x[idx],
             "y": y[idx],
         })
-        if key_col:
-            out.insert(0, key_col, np.int64(salt))
+        for pos, (k, v) in enumerate(zip(keys, key_vals)):
+            out.insert(pos, k, np.int64(v))
         return out
     return run
 
 
 def fft_coreset(points: DataFrame, K: int, bucket: str | Column = "b",
-                seed: int | None = None) -> DataFrame:
+                seed: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """K centers per bucket -> ``b, ord, id, x, y``.
 
-    A bucket is loaded into one Python worker (16 bytes per point plus
-    pandas overhead), so the number of buckets must keep a bucket within a
-    worker's memory; see ``buckets_for``.
+    One Python worker runs farthest-first over a group, so no group may
+    exceed ``max_group_rows``. A bucket above that (a large or a hot bucket)
+    is split by a hash of ``id`` into ``s = ceil(n / max_group_rows)``
+    groups; each group yields K centers, and the union of those (K*s rows,
+    reduced in further rounds while it is too large) yields the bucket's K
+    centers, as the union of the buckets' centers does in round 2. A bucket
+    that fits is processed whole, exactly as without the split.
     """
     b = F.col(bucket) if isinstance(bucket, str) else bucket
     pts = points.select(b.cast("long").alias("b"), "id", "x", "y")
-    return pts.groupBy("b").applyInPandas(_fft_group(K, seed, "b"), CORESET_SCHEMA)
-
-
-def buckets_for(n_points: int, max_bucket_rows: int = 5_000_000) -> int:
-    """Number of buckets so that none exceeds ``max_bucket_rows`` on average."""
-    return max(1, math.ceil(n_points / max_bucket_rows))
+    split = (pts.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+             .select("b", F.ceil(F.col("n") / F.lit(max_group_rows)).alias("s")))
+    s_max = split.agg(F.max("s")).first()[0]
+    if s_max is None or s_max <= 1:
+        return pts.groupBy("b").applyInPandas(_fft_group(K, seed, "b"), CORESET_SCHEMA)
+    # one row per bucket value: bounded by the number of buckets, a parameter
+    parts = (pts.join(F.broadcast(split), ["b"], "inner")
+             .select("b", F.pmod(F.xxhash64("id"), F.col("s")).alias("g"), "id", "x", "y"))
+    schema = "b long, g long, ord int, id long, x double, y double"
+    cs = parts.groupBy("b", "g").applyInPandas(_fft_group(K, seed, ["b", "g"]), schema)
+    fanout = max(2, max_group_rows // max(K, 1))
+    groups = s_max
+    while K * groups > max_group_rows:
+        cs = (cs.withColumn("g", F.floor(F.col("g") / F.lit(fanout)))
+              .groupBy("b", "g").applyInPandas(_fft_group(K, seed, ["b", "g"]), schema))
+        groups = math.ceil(groups / fanout)
+    return cs.select("b", "id", "x", "y").groupBy("b").applyInPandas(
+        _fft_group(K, seed, "b"), CORESET_SCHEMA)
 
 
 def fft_centers(coreset: DataFrame, K: int, seed: int | None = None,
-                coreset_rows: int | None = None, max_group_rows: int = 2_000_000) -> DataFrame:
+                coreset_rows: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """K centers from the coresets -> ``ord, id, x, y``.
 
     ``coreset_rows`` is the known bound K*L. If it exceeds

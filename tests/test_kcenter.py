@@ -79,3 +79,20 @@ def test_coreset_tree_reduction(spark):
     centers = kcenter.collect_centers(kcenter.fft_centers(coreset, 5, coreset_rows=80,
                                                           max_group_rows=30))
     assert len(centers) == 5 and len({c[1] for c in centers}) == 5
+
+
+def test_coreset_split_of_large_buckets(spark):
+    """Buckets above the group cap are split by hash, reduced back to K rows
+    per bucket; below the cap the result is the plain per-bucket FFT."""
+    pe = points_from_embeddings(spark, SF)
+    plain = sorted(tuple(r) for r in kcenter.fft_coreset(pe, 5, "b").collect())
+    same = sorted(tuple(r) for r in kcenter.fft_coreset(pe, 5, "b", max_group_rows=10_000).collect())
+    assert plain == same
+    split = kcenter.fft_coreset(pe, 5, "b", max_group_rows=12)   # 125 rows per bucket
+    sizes = {r.b: r["count"] for r in split.groupBy("b").count().collect()}
+    assert sizes == {0: 5, 1: 5, 2: 5, 3: 5}
+    centers = kcenter.collect_centers(kcenter.fft_centers(split, 5, coreset_rows=20))
+    r = kcenter.radius(pe, centers).collect()[0].radius
+    r_it = kcenter.radius(pe, kcenter.fft_iterative(pe, 5)).collect()[0].radius
+    assert len({c[1] for c in centers}) == 5
+    assert r <= 8 * r_it + 1e-12
