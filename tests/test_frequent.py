@@ -102,3 +102,26 @@ def test_flags_and_report(ev):
     report = frequent.frequent_report(ev, n, phi, eps, 0.1, 42)
     assert report.where("is_true").count() == 12
     assert report.where(F.col("sticky_count").isNotNull()).count() == rep.count()
+
+
+def test_sticky_reports_true_items_with_high_probability(ev, rows):
+    """Over many seeds every truly frequent item is reported (count >=
+    (phi - eps) * n) in at least a 1 - delta share of the runs; no reported
+    count exceeds the true count."""
+    n, phi, eps, delta = 8000, 0.015, 0.01, 0.1
+    true = {}
+    for _, it in rows[:n]:
+        true[it] = true.get(it, 0) + 1
+    frequent_items = [it for it, c in true.items() if c >= phi * n]
+    seeds = range(40)
+    hits = {it: 0 for it in frequent_items}
+    for seed in seeds:
+        table = sticky_replay(rows, n, phi, eps, delta, seed)
+        for it, c in table.items():
+            assert c <= true[it]
+            if it in hits and c >= (phi - eps) * n:
+                hits[it] += 1
+    assert all(h >= (1 - delta) * len(seeds) for h in hits.values())
+    for seed in (3, 17):   # the distributed form is the same draw
+        t = {r.item: r["count"] for r in frequent.sticky_table(ev, n, phi, eps, delta, seed).collect()}
+        assert t == sticky_replay(rows, n, phi, eps, delta, seed)
