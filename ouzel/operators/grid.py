@@ -12,10 +12,10 @@ Cells of a 7x7 block with no points are class ``empty``.
 
 Plan shape: the only point-level step is ``cell_counts`` (hash aggregate with
 map-side combine, so a cell holding a third of all points costs one row per
-task). Everything after works on cells. The 7x7 sums are separable: one
-explode along ``i`` (7 rows per cell) and one along ``j`` (7 rows per row-sum
-key) instead of 49 rows per cell; every key receives at most 7 rows per
-pass, so no key can be skewed.
+task). Everything after works on cells: ``merge_counts`` is one explode to
+the 49 stencil keys and one aggregate (at most 49 rows per key, so no key
+can be skewed); the per-square tables of ``square_counts`` use two
+separable passes of 7 rows.
 """
 
 from __future__ import annotations
@@ -87,25 +87,22 @@ def merge_counts(cells: DataFrame) -> DataFrame:
     """``N3``, ``N7`` and the cell's own count ``n`` for every cell of
     the 7x7 stencil union (``n = 0`` for unoccupied cells).
 
-    Two separable passes; one row-sum pass carries the 3-wide and 7-wide
-    sums and the center count together.
+    One pass: every occupied cell sends its count to the 49 cells whose 7x7
+    square contains it, flagged for the 3x3 and the center, and one
+    aggregate (partial before the shuffle) sums them. A key receives at most
+    49 rows, so no key can be skewed. Two separable passes (7 + 7 rows)
+    would shuffle the 7-row pass in addition and, on a sparse grid, as many
+    rows in the second pass, so the single pass moves less data.
     """
-    near = F.abs(F.col("di")) <= 1
-    rows = (cells
+    near = (F.abs(F.col("di")) <= 1) & (F.abs(F.col("dj")) <= 1)
+    center = (F.col("di") == 0) & (F.col("dj") == 0)
+    return (cells
             .select("i", "j", "n", F.explode(offsets(3)).alias("di"))
-            .select((F.col("i") + F.col("di")).alias("i"), "j",
+            .select("i", "j", "n", "di", F.explode(offsets(3)).alias("dj"))
+            .select((F.col("i") + F.col("di")).alias("i"), (F.col("j") + F.col("dj")).alias("j"),
                     F.col("n").alias("r7"),
                     F.when(near, F.col("n")).otherwise(F.lit(0)).alias("r3"),
-                    F.when(F.col("di") == 0, F.col("n")).otherwise(F.lit(0)).alias("r0"))
-            .groupBy("i", "j")
-            .agg(F.sum("r7").alias("r7"), F.sum("r3").alias("r3"), F.sum("r0").alias("r0")))
-    near_j = F.abs(F.col("dj")) <= 1
-    return (rows
-            .select("i", "j", "r7", "r3", "r0", F.explode(offsets(3)).alias("dj"))
-            .select("i", (F.col("j") + F.col("dj")).alias("j"),
-                    F.col("r7"),
-                    F.when(near_j, F.col("r3")).otherwise(F.lit(0)).alias("r3"),
-                    F.when(F.col("dj") == 0, F.col("r0")).otherwise(F.lit(0)).alias("r0"))
+                    F.when(center, F.col("n")).otherwise(F.lit(0)).alias("r0"))
             .groupBy("i", "j")
             .agg(F.sum("r3").alias("n3"), F.sum("r7").alias("n7"), F.sum("r0").alias("n")))
 
