@@ -32,6 +32,7 @@ HEADLINE = [
     "exact_outliers_theta",   # exact outliers, band join
     "ball_counts",
     "fft_radius",             # k-center rounds 1-3
+    "fft_radius_orders",      # k-center rounds 1-3 on the 150k points from orders (sf0.1)
     "fft_outliers",           # clustering radius -> outliers
     "fft_iterative",
     "item_counts",

@@ -97,18 +97,19 @@ def fft_chain(src: str, K: int, part: str, prefix: str) -> tuple[list[str], str]
     return ctes, union
 
 
-def two_round_ctes() -> str:
-    """CTEs pe, coreset (b, ord, id, x, y) and centers (ord, id, x, y)."""
-    c1, u1 = fft_chain("pe", P.PE_K, "b", "r1")
+def two_round_ctes(src: str = PE, name: str = "pe") -> str:
+    """CTEs ``name`` (points with bucket b), coreset (b, ord, id, x, y) and
+    centers (ord, id, x, y)."""
+    c1, u1 = fft_chain(name, P.PE_K, "b", "r1")
     c2, u2 = fft_chain("cs", P.PE_K, "g", "r2")
-    return ("WITH pe AS (" + PE + "),\n" + ",\n".join(c1)
+    return (f"WITH {name} AS (" + src + "),\n" + ",\n".join(c1)
             + f",\ncoreset AS ({u1}),\ncs AS (SELECT 0 AS g, id, x, y FROM coreset),\n"
             + ",\n".join(c2) + f",\ncenters AS (SELECT ord, id, x, y FROM ({u2}))")
 
 
-def radius_cte() -> str:
+def radius_cte(pts: str = "pe") -> str:
     return (f"rad AS (SELECT max(m) AS radius FROM (SELECT p.id, min({dist_sql('p', 'c')}) AS m "
-            f"FROM pe p, centers c GROUP BY p.id))")
+            f"FROM {pts} p, centers c GROUP BY p.id))")
 
 
 def ev_ctes() -> str:
@@ -196,6 +197,9 @@ def build() -> dict[str, str]:
                          f"(SELECT x, y FROM centers WHERE ord = 1) b")
     q["cluster_radius"] = (f"WITH pe AS ({PE}), centers AS (SELECT * FROM pe ORDER BY id LIMIT {P.PE_K}),\n"
                            + radius_cte() + "\nSELECT radius FROM rad")
+    po_b = f"SELECT id, x, y, id % {P.PE_L} AS b FROM ({PO})"
+    q["fft_radius_orders"] = (two_round_ctes(po_b, "pb") + ",\n" + radius_cte("pb")
+                              + "\nSELECT radius FROM rad")
     fft_side = "((SELECT radius FROM rad) / (2 * sqrt(2)))"
     q["fft_outliers"] = (tr + ",\n" + radius_cte() + "," + grid_ctes("pe", fft_side, P.PE_FFT_M)
                          + "\nSELECT class, count(*) AS cells, sum(n)::BIGINT AS points FROM cls GROUP BY class")

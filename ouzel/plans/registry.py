@@ -182,6 +182,15 @@ def fft_radius(spark, sf):
     return kcenter.radius(pe, centers)
 
 
+def fft_radius_orders(spark, sf):
+    """F1c on the points from orders (bucket ``id mod L``)."""
+    po = _po(spark, sf).withColumn("b", F.pmod(F.col("id"), F.lit(P.PE_L)))
+    coreset = kcenter.fft_coreset(po, P.PE_K, "b")
+    centers = kcenter.collect_centers(kcenter.fft_centers(coreset, P.PE_K,
+                                                          coreset_rows=P.PE_K * P.PE_L))
+    return kcenter.radius(po, centers)
+
+
 def nearest_center_distance(spark, sf):
     pe, centers = _two_round_centers(spark, sf)
     return kcenter.nearest_center_distance(pe, centers)
@@ -378,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "fft_coreset": fft_coreset,
     "fft_centers": fft_centers,
     "fft_radius": fft_radius,
+    "fft_radius_orders": fft_radius_orders,
     "fft_outliers": fft_outliers,
     "fft_iterative": fft_iterative,
     # frequent items
