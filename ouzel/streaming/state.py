@@ -1,8 +1,9 @@
 """State tables for ``foreachBatch`` operators.
 
 A ``VersionedTable`` is a parquet table partitioned by ``batch_id`` in the
-shared folder. Batch ``k`` reads the newest version written before ``k`` and
-overwrites only its own partition (dynamic partition overwrite). A batch
+shared folder. Batch ``k`` reads the newest version written before ``k``
+(found from the folder names, read alone) and overwrites only its own
+partition (dynamic partition overwrite). A batch
 replayed after a failure therefore rewrites the same version from the same
 input: the result is exactly-once even though the sink is at-least-once.
 """
@@ -31,18 +32,32 @@ class VersionedTable:
             return None
         return self.spark.read.schema(self.schema + ", batch_id long").parquet(self.path)
 
+    def versions(self) -> list[int]:
+        """Batch ids with a written version, from the folder names only.
+
+        Listing the ``batch_id=<k>`` folders costs one file-system call,
+        whatever the size of the versions, so a long stream does not re-read
+        its history every batch.
+        """
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("batch_id="):
+                out.append(int(name[len("batch_id="):]))
+        return sorted(out)
+
     def latest_before(self, batch_id: int | None = None) -> DataFrame:
-        """The newest version strictly before ``batch_id`` (all, if None)."""
-        df = self._all()
-        if df is None:
-            return self.spark.createDataFrame([], self.schema)
-        versions = df.select("batch_id").distinct()
-        if batch_id is not None:
-            versions = versions.where(F.col("batch_id") < batch_id)
-        last = versions.agg(F.max("batch_id")).collect()[0][0]
-        if last is None:
+        """The newest version strictly before ``batch_id`` (the newest, if None)."""
+        ids = [v for v in self.versions() if batch_id is None or v < batch_id]
+        if not ids:
             return self.spark.createDataFrame([], self.schema)
-        return df.where(F.col("batch_id") == F.lit(last)).drop("batch_id")
+        return (self.spark.read.schema(self.schema)
+                .parquet(f"{self.path.rstrip('/')}/batch_id={ids[-1]}"))
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
