@@ -117,34 +117,36 @@ def _ball_counts(points: DataFrame, D: float, M: int | None = None,
                                        cell_index("y", side).alias("j"))
                          .groupBy("i", "j").agg(F.count(F.lit(1)).alias("n")))
     closed = cells.where(F.col("n") > open_rows)
-    has_closed = closed.limit(1).count() > 0
+    sizes = cells.agg(F.count_if(F.col("n") > open_rows).alias("closed"),
+                      F.count_if(F.col("n") > (M if M is not None else open_rows)).alias("full")).first()
+    has_closed = sizes["closed"] > 0
 
     probes = locs
-    if M is not None:
+    if M is not None and sizes["full"] > 0:
         full = cells.where(F.col("n") > M).select("i", "j")
-        probes = join_bounded(locs, full, ["i", "j"], "left_anti")
+        probes = join_bounded(locs, full, ["i", "j"], "left_anti", rows=sizes["full"])
     probes = probes.select(F.col("x").alias("px"), F.col("y").alias("py"),
                            F.col("gi").alias("pgi"), F.col("gj").alias("pgj"))
     nb = _block_neighbours(probes)
 
     parts = locs.select("gi", "gj", "x", "y", "w")
     if has_closed:
-        parts = join_bounded(locs, closed.select("i", "j"), ["i", "j"], "left_anti") \
-            .select("gi", "gj", "x", "y", "w")
+        parts = join_bounded(locs, closed.select("i", "j"), ["i", "j"], "left_anti",
+                             rows=sizes["closed"]).select("gi", "gj", "x", "y", "w")
     hits = (nb.join(parts, ["gi", "gj"], "inner")
             .where(dist("px", "py", "x", "y") < F.lit(D))
             .select("px", "py", F.col("w").alias("c")))
 
     if has_closed:
-        hits = hits.unionByName(_closed_hits(nb, locs, closed, D, side, M, hits))
+        hits = hits.unionByName(_closed_hits(nb, locs, closed, sizes["closed"], D, side, M, hits))
     balls = hits.groupBy("px", "py").agg(F.sum("c").alias("ball"))
     return balls if M is None else balls.where(F.col("ball") <= M)
 
 
-def _closed_hits(nb: DataFrame, locs: DataFrame, closed: DataFrame, D: float, side: float,
-                 M: int | None, open_hits: DataFrame) -> DataFrame:
+def _closed_hits(nb: DataFrame, locs: DataFrame, closed: DataFrame, n_closed: int, D: float,
+                 side: float, M: int | None, open_hits: DataFrame) -> DataFrame:
     """``px, py, c`` contributions of the closed (dense) cells."""
-    dense = join_bounded(locs, closed.select("i", "j"), ["i", "j"], "left_semi")
+    dense = join_bounded(locs, closed.select("i", "j"), ["i", "j"], "left_semi", rows=n_closed)
     subs = dense.groupBy("i", "j", "u", "v").agg(F.sum("w").alias("n"))
     cl = closed.select("i", "j", "n", _block("i").alias("gi"), _block("j").alias("gj"))
 

@@ -13,16 +13,20 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
     """Join ``big`` with ``small``, broadcasting ``small`` only if it is small.
 
-    ``small`` is materialised once (kept for the join) and counted. Below
-    ``max_rows`` the join is a broadcast hash join: no shuffle of ``big``, so
-    a hot key on the big side costs nothing extra. Above it, a shuffle join
-    is planned and AQE splits skewed partitions of ``big``.
+    ``small`` is materialised once (kept for the join) and counted, unless
+    the caller already knows its row count (``rows``). Below ``max_rows``
+    the join is a broadcast hash join: no shuffle of ``big``, so a hot key
+    on the big side costs nothing extra. Above it, a shuffle join is planned
+    and AQE splits skewed partitions of ``big``.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
+    if rows is None:
+        small = small.persist(StorageLevel.MEMORY_AND_DISK)
+        n = small.count()
+    else:
+        n = rows
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
