@@ -47,17 +47,6 @@ def offsets(r: int) -> Column:
     return F.sequence(F.lit(-r), F.lit(r))
 
 
-def cell_box_bounds(i: Column, j: Column, side: float, pad: float):
-    """Closed bounding box of cell (i, j), padded by ``pad`` on each side.
-
-    Cell q covers ``[q*side, (q+1)*side]`` in every case (negative cells are
-    half-open the other way, but the closed box contains them).
-    """
-    s = F.lit(side)
-    p = F.lit(pad)
-    return (i * s - p, (i + 1) * s + p, j * s - p, (j + 1) * s + p)
-
-
 def min_sq_dist_to_box(px: Column, py: Column, x0: Column, x1: Column,
                        y0: Column, y1: Column) -> Column:
     dx = F.greatest(x0 - px, F.lit(0.0), px - x1)
