@@ -14,8 +14,10 @@ Plan shape: the only point-level step is ``cell_counts`` (hash aggregate with
 map-side combine, so a cell holding a third of all points costs one row per
 task). Everything after works on cells: ``merge_counts`` is one explode to
 the 49 stencil keys and one aggregate (at most 49 rows per key, so no key
-can be skewed); the per-square tables of ``square_counts`` use two
-separable passes of 7 rows.
+can be skewed); it lists every stencil cell, as the per-cell outputs need.
+``class_summary`` needs only totals and works on super-cells of 7x7 cells:
+at most 4 rows per occupied cell, at most 169 cells per group. The
+per-square tables of ``square_counts`` use two separable passes of 7 rows.
 """
 
 from __future__ import annotations
@@ -123,11 +125,70 @@ def classify_cells(points: DataFrame, D: float, M: int, include_empty: bool = Tr
     return merged.select("i", "j", "n", "n3", "n7", class_expr(M).alias("class"))
 
 
+# Super-cells are blocks of SUPER x SUPER cells; with SUPER = 7 the positions
+# of one super-cell fit the 49 low bits of a long.
+SUPER = 7
+
+
+def _supercell_groups(cells: DataFrame) -> DataFrame:
+    """One row per super-cell touched by a 7x7 stencil -> ``cover, halo, core``.
+
+    Every occupied cell is sent to the super-cells its 7x7 stencil touches
+    (at most 2x2, as the stencil reaches 3 < 7 cells out), with its position
+    ``(ri, rj)`` relative to that super-cell and a 49-bit mask of the
+    super-cell positions inside its stencil. Per super-cell: ``cover`` = OR
+    of the masks (the stencil union there), ``halo`` = the cells sent to it
+    (distinct cells within 3 of it, so at most 13 x 13 = 169 entries, a
+    bound that no skew can break) and ``core`` = the halo cells inside it.
+    """
+    def targets(c: str) -> F.Column:
+        return F.array_distinct(F.array(F.floor((F.col(c) - 3) / F.lit(SUPER)),
+                                        F.floor((F.col(c) + 3) / F.lit(SUPER))))
+    sent = (cells.select("i", "j", "n", targets("i").alias("tis"), targets("j").alias("tjs"))
+            .select("i", "j", "n", "tjs", F.explode("tis").alias("ti"))
+            .select("i", "j", "n", "ti", F.explode("tjs").alias("tj"))
+            .select("ti", "tj", (F.col("i") - F.col("ti") * SUPER).alias("ri"),
+                    (F.col("j") - F.col("tj") * SUPER).alias("rj"), "n"))
+    # bit 7*r + c for rows r0..r1 and columns c0..c1 of the stencil within
+    # the super-cell; both factors are sums of powers of two below 2^43 and
+    # 2^7, exact in double, multiplied as longs
+    rows = F.expr("CAST((pow(2, 7 * (least(6, ri + 3) + 1)) - pow(2, 7 * greatest(0, ri - 3)))"
+                  " / 127 AS BIGINT)")
+    cols = F.expr("CAST((pow(2, least(6, rj + 3) - greatest(0, rj - 3) + 1) - 1)"
+                  " * pow(2, greatest(0, rj - 3)) AS BIGINT)")
+    return (sent.withColumn("mask", rows * cols)
+            .groupBy("ti", "tj")
+            .agg(F.bit_or("mask").alias("cover"),
+                 F.collect_list(F.struct("ri", "rj", "n")).alias("halo"))
+            .select("cover", "halo",
+                    F.expr("filter(halo, h -> h.ri BETWEEN 0 AND 6 AND h.rj BETWEEN 0 AND 6)")
+                    .alias("core")))
+
+
 def class_summary(points: DataFrame, D: float, M: int, include_empty: bool = True) -> DataFrame:
-    """Per class, the number of cells and of points."""
-    return (classify_cells(points, D, M, include_empty)
-            .groupBy("class")
-            .agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("points")))
+    """Per class, the number of cells and of points.
+
+    Same answer as grouping ``classify_cells``, computed on super-cells: each
+    occupied cell is shuffled to at most 4 super-cells instead of to its 49
+    stencil keys. N3 and N7 of an occupied cell are sums over its
+    super-cell's halo (at most 169 entries), and the empty cells of a
+    super-cell are the bits of its stencil cover minus its occupied cells.
+    """
+    groups = _supercell_groups(cell_counts(points, D))
+    near = ("aggregate(halo, 0L, (a, h) -> a + IF(abs(h.ri - c.ri) <= {r} "
+            "AND abs(h.rj - c.rj) <= {r}, h.n, 0L))")
+    occupied = (groups.select("halo", F.explode("core").alias("c"))
+                .select(F.col("c.n").alias("n"), F.expr(near.format(r=1)).alias("n3"),
+                        F.expr(near.format(r=3)).alias("n7"))
+                .select(class_expr(M).alias("class"), F.lit(1).cast("long").alias("cells"), "n"))
+    if include_empty:
+        empty = groups.select(F.lit(EMPTY).alias("class"),
+                              (F.bit_count("cover") - F.size("core")).cast("long").alias("cells"),
+                              F.lit(0).cast("long").alias("n"))
+        occupied = occupied.unionByName(empty)
+    return (occupied.groupBy("class")
+            .agg(F.sum("cells").alias("cells"), F.sum("n").alias("points"))
+            .where(F.col("cells") > 0))
 
 
 def class_cells(points: DataFrame, D: float, M: int, include_empty: bool = False) -> DataFrame:

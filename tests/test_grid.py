@@ -169,3 +169,21 @@ def test_dense_cells_match_brute_force(spark, open_rows):
         assert out == want
         band = {r.id: r.ball for r in exact.exact_outliers_band(df, 0.4, M, open_rows=open_rows).collect()}
         assert band == want
+
+
+def test_supercell_summary_equals_stencil_grouping(spark):
+    """class_summary (super-cells) equals grouping the 49-key stencil table,
+    also with negative coordinates and dense cells."""
+    import numpy as np
+    rng = np.random.default_rng(11)
+    xy = np.vstack([rng.normal(0.0, 0.3, size=(400, 2)), rng.uniform(-6, 6, size=(300, 2))])
+    dense = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(xy)],
+                                  "id long, x double, y double")
+    sf = "/root/testdata/sf0.001"
+    for pts, D, M in [(dense, 0.4, 3), (dense, 0.4, 40), (points_from_orders(spark, sf), 1.0, 3),
+                      (points_from_embeddings(spark, sf), 0.05, 3)]:
+        for empty in (True, False):
+            want = (grid.classify_cells(pts, D, M, empty).groupBy("class")
+                    .agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("points")))
+            got = grid.class_summary(pts, D, M, empty)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
