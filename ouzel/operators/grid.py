@@ -118,10 +118,13 @@ def class_expr(M: int) -> F.Column:
 
 
 def classify_cells(points: DataFrame, D: float, M: int, include_empty: bool = True) -> DataFrame:
-    """``i, j, n, n3, n7, class`` for every cell of the stencil union."""
-    merged = merge_counts(cell_counts(points, D))
-    if not include_empty:
-        merged = merged.where(F.col("n") > 0)
+    """``i, j, n, n3, n7, class`` for every cell of the stencil union, or
+    for the occupied cells only (``include_empty=False``, computed on
+    super-cells, at most 4 shuffled rows per cell)."""
+    if include_empty:
+        merged = merge_counts(cell_counts(points, D))
+    else:
+        merged = _occupied(_supercell_groups(cell_counts(points, D)))
     return merged.select("i", "j", "n", "n3", "n7", class_expr(M).alias("class"))
 
 
@@ -160,11 +163,24 @@ def _supercell_groups(cells: DataFrame) -> DataFrame:
             .groupBy("ti", "tj")
             .agg(F.bit_or("mask").alias("cover"),
                  F.collect_list(F.struct("ri", "rj", "n")).alias("halo"))
-            .select("cover", "halo",
+            .select("ti", "tj", "cover", "halo",
                     F.expr("filter(halo, h -> h.ri BETWEEN 0 AND 6 AND h.rj BETWEEN 0 AND 6)")
                     .alias("core")))
 
 
+_NEAR = ("aggregate(halo, 0L, (a, h) -> a + IF(abs(h.ri - c.ri) <= {r} "
+         "AND abs(h.rj - c.rj) <= {r}, h.n, 0L))")
+
+
+def _occupied(groups: DataFrame) -> DataFrame:
+    """``i, j, n, n3, n7`` of every occupied cell, from its super-cell's halo."""
+    return (groups.select("ti", "tj", "halo", F.explode("core").alias("c"))
+            .select((F.col("ti") * SUPER + F.col("c.ri")).alias("i"),
+                    (F.col("tj") * SUPER + F.col("c.rj")).alias("j"),
+                    F.col("c.n").alias("n"), F.expr(_NEAR.format(r=1)).alias("n3"),
+                    F.expr(_NEAR.format(r=3)).alias("n7")))
+
+
 def class_summary(points: DataFrame, D: float, M: int, include_empty: bool = True) -> DataFrame:
     """Per class, the number of cells and of points.
 
@@ -175,11 +191,7 @@ def class_summary(points: DataFrame, D: float, M: int, include_empty: bool = Tru
     super-cell are the bits of its stencil cover minus its occupied cells.
     """
     groups = _supercell_groups(cell_counts(points, D))
-    near = ("aggregate(halo, 0L, (a, h) -> a + IF(abs(h.ri - c.ri) <= {r} "
-            "AND abs(h.rj - c.rj) <= {r}, h.n, 0L))")
-    occupied = (groups.select("halo", F.explode("core").alias("c"))
-                .select(F.col("c.n").alias("n"), F.expr(near.format(r=1)).alias("n3"),
-                        F.expr(near.format(r=3)).alias("n7"))
+    occupied = (_occupied(groups)
                 .select(class_expr(M).alias("class"), F.lit(1).cast("long").alias("cells"), "n"))
     if include_empty:
         empty = groups.select(F.lit(EMPTY).alias("class"),

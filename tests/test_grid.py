@@ -187,3 +187,14 @@ def test_supercell_summary_equals_stencil_grouping(spark):
                     .agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("points")))
             got = grid.class_summary(pts, D, M, empty)
             assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_supercell_occupied_cells_equal_stencil(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    xy = np.vstack([rng.normal(-1.0, 0.2, size=(300, 2)), rng.uniform(-5, 5, size=(300, 2))])
+    pts = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(xy)],
+                                "id long, x double, y double")
+    want = grid.classify_cells(pts, 0.4, 3, include_empty=True).where(F.col("n") > 0)
+    got = grid.classify_cells(pts, 0.4, 3, include_empty=False)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
