@@ -22,14 +22,21 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
+import sys
+
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ouzel.functions.geometry import dist, sq_dist
 
+# The grouped functions below run in Python workers, which need not have
+# this package installed: ship this module's code with the functions
+# (pickled by value) instead of a reference to the module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CENTER_SCHEMA = "ord int, id long, x double, y double"
 # Largest group one Python worker runs farthest-first on (16 bytes per point
 # in NumPy, a few times that in pandas).
