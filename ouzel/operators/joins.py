@@ -13,7 +13,7 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
+                 max_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """Join ``big`` with ``small``, broadcasting ``small`` only if it is small.
 
     ``small`` is materialised once (kept for the join) and counted, unless
@@ -22,6 +22,8 @@ def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner",
     on the big side costs nothing extra. Above it, a shuffle join is planned
     and AQE splits skewed partitions of ``big``.
     """
+    if max_rows is None:
+        max_rows = BROADCAST_MAX_ROWS
     if rows is None:
         small = small.persist(StorageLevel.MEMORY_AND_DISK)
         n = small.count()
