@@ -41,6 +41,13 @@ def whole_row() -> Column:
     return F.struct(F.col("*"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it if ``df`` has such a column."""
+    while name.lower() in map(str.lower, df.columns):
+        name = f"_{name}"
+    return name
+
+
 def written(df: DataFrame, name: str, partitioned: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, and a
     lost executor costs no recomputation of what came before."""

@@ -29,9 +29,11 @@ def line_key(line: Column) -> Column:
 
 
 def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: str = "text",
-                        id_col: str = "doc_id") -> DataFrame:
+                        id_col: str = "doc_id", out: str = "line_dedup") -> DataFrame:
     """``docs`` with the column ``text`` rebuilt from the lines that stay, then
-    ``n_lines`` and ``n_dropped`` (long) inside the struct column ``line_dedup``."""
+    ``n_lines`` and ``n_dropped`` (long) inside the struct column ``out``, which
+    replaces a column of that name."""
+    docs = docs.drop(out)
     others = [c for c in docs.columns if c != text]
     base = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
@@ -52,11 +54,11 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                .groupBy("id").agg(F.collect_set("pos").alias("drop")))
 
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("drop", F.array().cast("array<int>")))
-    out = base.join(dropped, "id", "left").select("row", "lines", kept.alias("kept"))
+    joined = base.join(dropped, "id", "left").select("row", "lines", kept.alias("kept"))
     rebuilt = F.array_join(F.transform("kept", lambda i: F.get(F.col("lines"), i)), "\n")
     cols = [rebuilt.alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
     n = F.size("lines").cast("long")
-    return out.select(*cols, F.struct(n.alias("n_lines"), (n - F.size("kept")).alias("n_dropped")).alias("line_dedup"))
+    return joined.select(*cols, F.struct(n.alias("n_lines"), (n - F.size("kept")).alias("n_dropped")).alias(out))
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from ouzel.llm import line_dedup, maxscore, simhash, url_filter, warc
+from ouzel.llm import decontaminate, line_dedup, maxscore, packing, quality, simhash, suffix_dedup, url_filter, warc
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_maxscore": maxscore.op4_maxscore,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_simhash": simhash.op6_simhash,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_warc": warc.op9_warc,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLES = {

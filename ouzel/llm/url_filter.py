@@ -98,13 +98,13 @@ def fitting_rule(keys: DataFrame, rules: DataFrame, max_labels: int) -> DataFram
 
 
 def filter_urls(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str]], url: str = "url",
-                min_support: float = 0.002, min_confidence: float = 0.6) -> DataFrame:
-    """``pages`` with a struct column ``url_filter`` (host, path, rule, verdict, mined).
+                min_support: float = 0.002, min_confidence: float = 0.6, out: str = "url_filter") -> DataFrame:
+    """``pages`` with a struct column ``out`` (host, path, rule, verdict, mined), in place of one of that name.
 
     ``labelled``: rows (url, bad boolean). ``rules``: (action, host, path prefix).
     ``mined`` says whether a mined rule fits, also where the caller's rule decides.
     """
-    spark = pages.sparkSession
+    spark, pages = pages.sparkSession, pages.drop(out)
     host, path, query = url_parts(F.col(url))
     of = lambda df: df.select(F.struct(host.alias("host"), path.alias("path"), query.alias("query")).alias("key"))
     tokens = url_tokens(F.col("key.host"), F.col("key.path"), F.col("key.query"))
@@ -123,12 +123,12 @@ def filter_urls(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, st
     # tagged with the caller's rows after the lookups, on plain keys: the hot ones can be split by AQE
     tagged = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"),
                           F.struct(host.alias("host"), path.alias("path"), query.alias("query")).alias("key"))
-    out = tagged.join(verdicts, "key", "left")
+    judged = tagged.join(verdicts, "key", "left")
     mined_flag = F.coalesce("mined", F.lit(False))
     verdict = F.coalesce("action", F.when(mined_flag, F.lit("block")).otherwise(F.lit("allow")))
-    return out.select(*[F.col(f"row.`{c}`") for c in pages.columns],
+    return judged.select(*[F.col(f"row.`{c}`") for c in pages.columns],
                       F.struct(F.col("key.host").alias("host"), F.col("key.path").alias("path"), F.col("rule"),
-                               verdict.alias("verdict"), mined_flag.alias("mined")).alias("url_filter"))
+                               verdict.alias("verdict"), mined_flag.alias("mined")).alias(out))
 
 
 def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
