@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ouzel.llm import decontaminate, line_dedup, maxscore, packing, quality, simhash, suffix_dedup, url_filter, warc
+from ouzel.llm import decontaminate, language_model, line_dedup, maxscore, packing, quality, simhash, suffix_dedup, url_filter, warc
 
 QUERIES = {
+    "op1_language_model": language_model.op1_language_model,
     "op2_packing": packing.op2_packing,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_maxscore": maxscore.op4_maxscore,
