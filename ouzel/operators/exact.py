@@ -12,48 +12,38 @@ Grids. Cells have side ``s = D/(2*sqrt 2)`` (diagonal D/2, the grid of the
 approximate method); blocks are 3x3 cells, side ``3s > D``, so the ball of a
 point lies inside the 3x3 blocks around its own block. A probe is exploded
 to those 9 blocks (9 rows, not the 49 of a cell stencil) and equi-joined on
-the block key with a *partner table* in which
+the block key with the block's cells:
 
-* an *open* cell (at most ``OPEN_CELL_ROWS`` points) lists its
+* an *open* cell (at most ``OPEN_CELL_ROWS`` locations) lists its
   locations, tested one by one with ``dist < D``;
 * a *closed* cell (a dense one) is one row with its count: if its whole box
   lies within D of the probe it adds the count, if it lies beyond D it adds
-  nothing, and only if the circle cuts it its 8x8 sub-cells are tested the
-  same way; points are compared one by one only in cut sub-cells.
-
-So a block key carries at most ``9 * OPEN_CELL_ROWS`` partner rows, however
-the points are distributed; a hot block only makes the probe side of a key
-large, which AQE's skew join splits. In outlier mode, probes in cells with
-more than M points are dropped up front (a cell's diagonal is D/2, so each of
-its points has all the others in its ball), and a probe whose sure count
-already exceeds M leaves before any pair of a cut sub-cell is formed.
+  nothing, and if the circle cuts it, its SUB x SUB sub-cells are tested in the
+  same way on the next level, down to open ones.
+
+So a key carries at most ``9 * OPEN_CELL_ROWS`` partner rows on the first level and
+``SUB * SUB * OPEN_CELL_ROWS`` below, however the points are distributed, and two
+dense spots one D apart meet only along the circles; a hot block only makes the
+probe side of a key large, which AQE's skew join splits. In outlier mode, probes in
+cells with more than M points are dropped up front (a cell's diagonal is D/2, so
+each of its points has all the others in its ball), and after every level the probes
+whose count already exceeds M. Each level is a table in the shared folder.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ouzel.functions.geometry import (cell_index, cell_side, dist, max_sq_dist_to_box,
                                       min_sq_dist_to_box, offsets)
-from ouzel.operators.joins import join_bounded
+from ouzel.session import shared_dir, written
 
-# Points a cell may hold and still be matched point by point.
+# Locations a cell may hold and still be matched one by one.
 OPEN_CELL_ROWS = 64
-# Sub-cells per cell side for the second-level inside/beyond test.
-SUBCELLS = 8
-
-
-def _materialise(df: DataFrame) -> DataFrame:
-    """Compute a table used by several branches of the plan once.
-
-    Kept in memory and on local disk; a block lost with an executor is
-    recomputed from its (short) lineage, so the job survives the loss.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
-    return df
+# Sub-cells per cell side, and levels: below the last one cells are no wider than the
+# rounding of their bounds, and all are open.
+SUB, LEVELS = 4, 20
 
 
 def locations(points: DataFrame) -> DataFrame:
@@ -65,14 +55,6 @@ def _block(c: str) -> Column:
     return F.floor(F.col(c) / F.lit(3))
 
 
-def _with_cells(df: DataFrame, side: float, sub: int = SUBCELLS) -> DataFrame:
-    """Cell ``(i, j)``, sub-cell ``(u, v)`` (side ``side/sub``) and block ``(gi, gj)``."""
-    return (df.withColumn("i", cell_index("x", side)).withColumn("j", cell_index("y", side))
-              .withColumn("u", cell_index("x", side / sub))
-              .withColumn("v", cell_index("y", side / sub))
-              .withColumn("gi", _block("i")).withColumn("gj", _block("j")))
-
-
 def _box_tests(side: float, D: float, ci: str, cj: str) -> tuple[Column, Column]:
     """``inside`` / ``beyond`` tests of the padded box of cell (ci, cj) of ``side``.
 
@@ -94,12 +76,12 @@ def _box_tests(side: float, D: float, ci: str, cj: str) -> tuple[Column, Column]
 
 
 def _block_neighbours(probes: DataFrame) -> DataFrame:
-    """``px, py`` with every block ``(gi, gj)`` of the 3x3 around its own."""
+    """``px, py`` with every block ``(ki, kj)`` of the 3x3 around its own."""
     return (probes
             .select("px", "py", "pgi", "pgj", F.explode(offsets(1)).alias("di"))
-            .select("px", "py", "pgj", (F.col("pgi") + F.col("di")).alias("gi"),
+            .select("px", "py", "pgj", (F.col("pgi") + F.col("di")).alias("ki"),
                     F.explode(offsets(1)).alias("dj"))
-            .select("px", "py", "gi", (F.col("pgj") + F.col("dj")).alias("gj")))
+            .select("px", "py", "ki", (F.col("pgj") + F.col("dj")).alias("kj")))
 
 
 def _ball_counts(points: DataFrame, D: float, M: int | None = None,
@@ -109,82 +91,57 @@ def _ball_counts(points: DataFrame, D: float, M: int | None = None,
     With ``M`` (outlier mode) only locations that may be outliers are
     probed, and the result holds exactly those with ``ball <= M``.
     """
-    side = cell_side(D)
-    locs = _with_cells(locations(points), side)
-    # points per cell, straight from the points (map-side combined); a cell
-    # with at most ``open_rows`` points has at most that many locations
-    cells = _materialise(points.select(cell_index("x", side).alias("i"),
-                                       cell_index("y", side).alias("j"))
-                         .groupBy("i", "j").agg(F.count(F.lit(1)).alias("n")))
-    closed = cells.where(F.col("n") > open_rows)
-    sizes = cells.agg(F.count_if(F.col("n") > open_rows).alias("closed"),
-                      F.count_if(F.col("n") > (M if M is not None else open_rows)).alias("full")).first()
-    has_closed = sizes["closed"] > 0
-
-    probes = locs
-    if M is not None and sizes["full"] > 0:
-        full = cells.where(F.col("n") > M).select("i", "j")
-        probes = join_bounded(locs, full, ["i", "j"], "left_anti", rows=sizes["full"])
-    probes = probes.select(F.col("x").alias("px"), F.col("y").alias("py"),
-                           F.col("gi").alias("pgi"), F.col("gj").alias("pgj"))
-    nb = _block_neighbours(probes)
-
-    parts = locs.select("gi", "gj", "x", "y", "w")
-    if has_closed:
-        parts = join_bounded(locs, closed.select("i", "j"), ["i", "j"], "left_anti",
-                             rows=sizes["closed"]).select("gi", "gj", "x", "y", "w")
-    hits = (nb.join(parts, ["gi", "gj"], "inner")
-            .where(dist("px", "py", "x", "y") < F.lit(D))
-            .select("px", "py", F.col("w").alias("c")))
-
-    if has_closed:
-        hits = hits.unionByName(_closed_hits(nb, locs, closed, sizes["closed"], D, side, M, hits))
-    balls = hits.groupBy("px", "py").agg(F.sum("c").alias("ball"))
-    return balls if M is None else balls.where(F.col("ball") <= M)
+    spark, side = points.sparkSession, cell_side(D)
+    kept = lambda df, name: written(df, shared_dir(spark, f"balls-{name}"))
+    here = (locations(points).withColumn("i", cell_index("x", side)).withColumn("j", cell_index("y", side))
+            .withColumn("ki", _block("i")).withColumn("kj", _block("j")))
+    here = kept(here.select("ki", "kj", "i", "j", "x", "y", "w"), "locations")
 
-
-def _closed_hits(nb: DataFrame, locs: DataFrame, closed: DataFrame, n_closed: int, D: float,
-                 side: float, M: int | None, open_hits: DataFrame) -> DataFrame:
-    """``px, py, c`` contributions of the closed (dense) cells."""
-    dense = join_bounded(locs, closed.select("i", "j"), ["i", "j"], "left_semi", rows=n_closed)
-    subs = dense.groupBy("i", "j", "u", "v").agg(F.sum("w").alias("n"))
-    cl = closed.select("i", "j", "n", _block("i").alias("gi"), _block("j").alias("gj"))
-
-    cc = nb.join(cl, ["gi", "gj"], "inner")
-    inside, beyond = _box_tests(side, D, "i", "j")
-    cc = cc.select("px", "py", "i", "j", "n", inside.alias("inside"), beyond.alias("beyond"))
-    in_cells = cc.where(F.col("inside")).select("px", "py", F.col("n").alias("c"))
-    cut = cc.where(~F.col("inside") & ~F.col("beyond")).select("px", "py", "i", "j")
-
-    sb = cut.join(subs, ["i", "j"], "inner")
-    inside, beyond = _box_tests(side / SUBCELLS, D, "u", "v")
-    sb = sb.select("px", "py", "i", "j", "u", "v", "n",
-                   inside.alias("inside"), beyond.alias("beyond"))
-    in_subs = sb.where(F.col("inside")).select("px", "py", F.col("n").alias("c"))
-    cut_subs = sb.where(~F.col("inside") & ~F.col("beyond")).select("px", "py", "i", "j", "u", "v")
-
-    sure = in_cells.unionByName(in_subs)
+    probes = here
     if M is not None:
-        over = (sure.unionByName(open_hits).groupBy("px", "py").agg(F.sum("c").alias("c"))
-                .where(F.col("c") > M).select("px", "py"))
-        cut_subs = cut_subs.join(over, ["px", "py"], "left_anti")
-    pairs = (cut_subs.join(dense.select("i", "j", "u", "v", "x", "y", "w"),
-                           ["i", "j", "u", "v"], "inner")
-             .where(dist("px", "py", "x", "y") < F.lit(D))
-             .select("px", "py", F.col("w").alias("c")))
-    return sure.unionByName(pairs)
+        full = here.groupBy("i", "j").agg(F.sum("w").alias("n")).where(F.col("n") > M).select("i", "j")
+        probes = here.join(full, ["i", "j"], "left_anti")
+    pairs = _block_neighbours(probes.select(F.col("x").alias("px"), F.col("y").alias("py"),
+                                            F.col("ki").alias("pgi"), F.col("kj").alias("pgj")))
+    found = None
+    for level in range(LEVELS):
+        cells = here.groupBy("ki", "kj", "i", "j").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("m"))
+        closed = cells.where(F.col("m") > open_rows).select("ki", "kj", "i", "j", "n")
+        last = level == LEVELS - 1 or closed.isEmpty()
+        listed = here if last else here.join(closed, ["ki", "kj", "i", "j"], "left_anti")
+        hits = (pairs.join(listed.select("ki", "kj", "x", "y", "w"), ["ki", "kj"])
+                .where(dist("px", "py", "x", "y") < F.lit(D)).select("px", "py", F.col("w").alias("c")))
+        if last:
+            found = hits if found is None else found.unionByName(hits)
+            break
+        inside, beyond = _box_tests(side, D, "i", "j")
+        tested = kept(pairs.join(closed, ["ki", "kj"])
+                      .select("px", "py", "i", "j", "n", inside.alias("inside"), beyond.alias("beyond"))
+                      .where(~F.col("beyond")), "tested")
+        sure = tested.where("inside").select("px", "py", F.col("n").alias("c")).unionByName(hits)
+        found = sure if found is None else found.unionByName(sure)
+        found = kept(found.groupBy("px", "py").agg(F.sum("c").alias("c")), "found")
+        pairs = tested.where("not inside").select("px", "py", F.col("i").alias("ki"), F.col("j").alias("kj"))
+        if M is not None:
+            pairs = pairs.join(found.where(F.col("c") > M).select("px", "py"), ["px", "py"], "left_anti")
+        pairs = kept(pairs, "pairs")
+        side /= SUB
+        dense = here.join(closed, ["ki", "kj", "i", "j"], "left_semi")
+        here = kept(dense.select(F.col("i").alias("ki"), F.col("j").alias("kj"), cell_index("x", side).alias("i"),
+                                 cell_index("y", side).alias("j"), "x", "y", "w"), "locations")
+    balls = found.groupBy("px", "py").agg(F.sum("c").alias("ball"))
+    return balls if M is None else balls.where(F.col("ball") <= M)
 
 
 def _back_to_points(points: DataFrame, balls: DataFrame) -> DataFrame:
     """Attach ``ball`` of each location to its points -> ``id, x, y, ball``."""
     b = balls.select(F.col("px").alias("x"), F.col("py").alias("y"), "ball")
-    return join_bounded(points.select("id", "x", "y"), b, ["x", "y"], "inner")
+    return points.select("id", "x", "y").join(b, ["x", "y"])
 
 
 def ball_counts(points: DataFrame, D: float, open_rows: int = OPEN_CELL_ROWS) -> DataFrame:
     """The ball count of every point -> ``id, x, y, ball``."""
-    b = _ball_counts(points, D, open_rows=open_rows).select(F.col("px").alias("x"), F.col("py").alias("y"), "ball")
-    return points.select("id", "x", "y").join(b, ["x", "y"], "inner")
+    return _back_to_points(points, _ball_counts(points, D, open_rows=open_rows))
 
 
 def exact_outliers_grid(points: DataFrame, D: float, M: int,
@@ -202,11 +159,10 @@ def exact_outliers_band(points: DataFrame, D: float, M: int,
     """The theta self-join ``dist(a, b) < D`` -> ``id, x, y, ball`` of the outliers.
 
     The join condition is evaluated over the block band (equi-join on the
-    3x3 neighbour blocks plus the distance filter) for every point, with no
-    pruning; only the final filter keeps ``ball <= M``.
+    3x3 neighbour blocks plus the distance filter), for the points that may have
+    a ball of at most M.
     """
-    balls = _ball_counts(points, D, open_rows=open_rows).where(F.col("ball") <= M)
-    return _back_to_points(points, balls)
+    return _back_to_points(points, _ball_counts(points, D, M, open_rows))
 
 
 def exact_outliers_topk(outliers: DataFrame, K: int) -> DataFrame:

@@ -26,11 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ouzel.functions.random import HEX_DIGITS, coin, draw_hex
-from ouzel.operators.joins import join_bounded
 
 
-def stream_length(items: DataFrame, num: int = 4, den: int = 5) -> int:
-    """n as a fraction ``num/den`` of the rows (4/5 for the standard view)."""
+def stream_length(items: DataFrame, num: int = 1, den: int = 1) -> int:
+    """n as a fraction ``num/den`` of the rows (all of them by default)."""
     return items.count() * num // den
 
 
@@ -103,16 +102,15 @@ def sticky_table(items: DataFrame, n: int, phi: float, epsilon: float, delta: fl
     """the sticky hash table -> ``item, entry, count``.
 
     Entries come from the arrivals whose coin came up (about ``r`` rows):
-    one aggregate gives each item's first such arrival. That table is
-    checked for size and broadcast, so the join that counts arrivals from
-    the entry on is map-side and a hot item costs nothing extra; the count
-    then combines map-side.
+    one aggregate gives each item's first such arrival. AQE joins it from its
+    measured size: map-side while it is small, else by a shuffle whose hot
+    items it splits; the count then combines map-side.
     """
     _, p = sticky_rate(n, phi, epsilon, delta)
     pre = prefix(items, n)
     entries = (pre.where(coin("seq", seed, p))
                .groupBy("item").agg(F.min("seq").alias("entry")))
-    joined = join_bounded(pre.select("seq", "item"), entries, ["item"], "inner")
+    joined = pre.select("seq", "item").join(entries, ["item"])
     return (joined.where(F.col("seq") >= F.col("entry"))
             .groupBy("item").agg(F.min("entry").alias("entry"), F.count(F.lit(1)).alias("count")))
 
@@ -124,24 +122,20 @@ def sticky_report(table: DataFrame, n: int, phi: float, epsilon: float) -> DataF
 
 
 def flag_true(estimated: DataFrame, truth: DataFrame) -> DataFrame:
-    """Add ``is_true`` (the item is truly frequent).
-
-    ``truth`` has at most 1/phi rows, a bound fixed by phi, so it is
-    broadcast.
-    """
+    """Add ``is_true`` (the item is truly frequent)."""
     t = truth.select("item", F.lit(True).alias("_t"))
-    return (estimated.join(F.broadcast(t), ["item"], "left")
+    return (estimated.join(t, ["item"], "left")
             .withColumn("is_true", F.col("_t").isNotNull()).drop("_t"))
 
 
 def false_positives(estimated: DataFrame, truth: DataFrame) -> DataFrame:
     """Estimated items that are not truly frequent (``-``)."""
-    return estimated.join(F.broadcast(truth.select("item")), ["item"], "left_anti")
+    return estimated.join(truth.select("item"), ["item"], "left_anti")
 
 
 def true_hits(estimated: DataFrame, truth: DataFrame) -> DataFrame:
     """Estimated items that are truly frequent (``+``)."""
-    return estimated.join(F.broadcast(truth.select("item")), ["item"], "left_semi")
+    return estimated.join(truth.select("item"), ["item"], "left_semi")
 
 
 def distinct_items(items: DataFrame) -> DataFrame:

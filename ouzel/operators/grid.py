@@ -15,18 +15,26 @@ map-side combine, so a cell holding a third of all points costs one row per
 task). Everything after works on cells: ``merge_counts`` is one explode to
 the 49 stencil keys and one aggregate (at most 49 rows per key, so no key
 can be skewed); it lists every stencil cell, as the per-cell outputs need.
-``class_summary`` needs only totals and works on super-cells of 7x7 cells:
-at most 4 rows per occupied cell, at most 169 cells per group. The
-per-square tables of ``square_counts`` use two separable passes of 7 rows.
+``class_summary`` and the classes of occupied cells work on tiles of 16x16 cells:
+at most 4 rows per occupied cell, at most 22x22 cells per tile, box sums by Arrow
+batches. The per-square tables of ``square_counts`` use two separable passes of 7 rows.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ouzel.functions.geometry import cell_index, cell_side, offsets
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])   # workers need no installed package
+
 # The class labels of the grid method.
 OUTLIER = "outlier"
 UNCERTAIN = "uncertain"
@@ -120,86 +128,92 @@ def class_expr(M: int) -> F.Column:
 def classify_cells(points: DataFrame, D: float, M: int, include_empty: bool = True) -> DataFrame:
     """``i, j, n, n3, n7, class`` for every cell of the stencil union, or
     for the occupied cells only (``include_empty=False``, computed on
-    super-cells, at most 4 shuffled rows per cell)."""
+    tiles, at most 4 shuffled rows per cell)."""
     if include_empty:
         merged = merge_counts(cell_counts(points, D))
     else:
-        merged = _occupied(_supercell_groups(cell_counts(points, D)))
+        merged = _occupied(cell_counts(points, D))
     return merged.select("i", "j", "n", "n3", "n7", class_expr(M).alias("class"))
 
 
-# Super-cells are blocks of SUPER x SUPER cells; with SUPER = 7 the positions
-# of one super-cell fit the 49 low bits of a long.
-SUPER = 7
+# Tiles are TILE x TILE cells; a tile's sums need the cells up to REACH beyond it.
+TILE, REACH = 16, 3
+SIDE = TILE + 2 * REACH
+CHUNK = 512            # tiles laid out together
 
 
-def _supercell_groups(cells: DataFrame) -> DataFrame:
-    """One row per super-cell touched by a 7x7 stencil -> ``cover, halo, core``.
+def _tiles(cells: DataFrame) -> DataFrame:
+    """Every occupied cell, sent to the at most 2x2 tiles that its 7x7 stencil touches.
 
-    Every occupied cell is sent to the super-cells its 7x7 stencil touches
-    (at most 2x2, as the stencil reaches 3 < 7 cells out), with its position
-    ``(ri, rj)`` relative to that super-cell and a 49-bit mask of the
-    super-cell positions inside its stencil. Per super-cell: ``cover`` = OR
-    of the masks (the stencil union there), ``halo`` = the cells sent to it
-    (distinct cells within 3 of it, so at most 13 x 13 = 169 entries, a
-    bound that no skew can break) and ``core`` = the halo cells inside it.
+    ``ti, tj, ri, rj, n``: the tile and the cell's place in it (from -REACH on), sorted
+    by tile. A tile receives at most SIDE * SIDE cells, a bound that no skew can break.
     """
-    def targets(c: str) -> F.Column:
-        return F.array_distinct(F.array(F.floor((F.col(c) - 3) / F.lit(SUPER)),
-                                        F.floor((F.col(c) + 3) / F.lit(SUPER))))
-    sent = (cells.select("i", "j", "n", targets("i").alias("tis"), targets("j").alias("tjs"))
-            .select("i", "j", "n", "tjs", F.explode("tis").alias("ti"))
-            .select("i", "j", "n", "ti", F.explode("tjs").alias("tj"))
-            .select("ti", "tj", (F.col("i") - F.col("ti") * SUPER).alias("ri"),
-                    (F.col("j") - F.col("tj") * SUPER).alias("rj"), "n"))
-    # bit 7*r + c for rows r0..r1 and columns c0..c1 of the stencil within
-    # the super-cell; both factors are sums of powers of two below 2^43 and
-    # 2^7, exact in double, multiplied as longs
-    rows = F.expr("CAST((pow(2, 7 * (least(6, ri + 3) + 1)) - pow(2, 7 * greatest(0, ri - 3)))"
-                  " / 127 AS BIGINT)")
-    cols = F.expr("CAST((pow(2, least(6, rj + 3) - greatest(0, rj - 3) + 1) - 1)"
-                  " * pow(2, greatest(0, rj - 3)) AS BIGINT)")
-    return (sent.withColumn("mask", rows * cols)
-            .groupBy("ti", "tj")
-            .agg(F.bit_or("mask").alias("cover"),
-                 F.collect_list(F.struct("ri", "rj", "n")).alias("halo"))
-            .select("ti", "tj", "cover", "halo",
-                    F.expr("filter(halo, h -> h.ri BETWEEN 0 AND 6 AND h.rj BETWEEN 0 AND 6)")
-                    .alias("core")))
-
-
-_NEAR = ("aggregate(halo, 0L, (a, h) -> a + IF(abs(h.ri - c.ri) <= {r} "
-         "AND abs(h.rj - c.rj) <= {r}, h.n, 0L))")
-
-
-def _occupied(groups: DataFrame) -> DataFrame:
-    """``i, j, n, n3, n7`` of every occupied cell, from its super-cell's halo."""
-    return (groups.select("ti", "tj", "halo", F.explode("core").alias("c"))
-            .select((F.col("ti") * SUPER + F.col("c.ri")).alias("i"),
-                    (F.col("tj") * SUPER + F.col("c.rj")).alias("j"),
-                    F.col("c.n").alias("n"), F.expr(_NEAR.format(r=1)).alias("n3"),
-                    F.expr(_NEAR.format(r=3)).alias("n7")))
+    def touched(c: str) -> F.Column:
+        low, high = (F.floor((F.col(c) + d) / F.lit(TILE)) for d in (-REACH, REACH))
+        return F.explode_outer(F.when(low == high, F.array(low)).otherwise(F.array(low, high)))
+    sent = (cells.select("i", "j", "n", touched("i").alias("ti"))
+            .select("i", "j", "n", "ti", touched("j").alias("tj"))
+            .select("ti", "tj", (F.col("i") - F.col("ti") * TILE).alias("ri"), (F.col("j") - F.col("tj") * TILE).alias("rj"), "n"))
+    return sent.repartition("ti", "tj").sortWithinPartitions("ti", "tj")
+
+
+def _box(grid: np.ndarray, r: int) -> np.ndarray:
+    """Sums over the (2r+1) x (2r+1) squares around each cell of the tiles (the cells inside REACH)."""
+    sums = np.zeros((len(grid), SIDE + 1, SIDE + 1), grid.dtype)
+    sums[:, 1:, 1:] = grid.cumsum(1).cumsum(2)
+    lo, hi = REACH - r, REACH + r + 1
+    top, low = slice(lo, lo + TILE), slice(hi, hi + TILE)
+    return sums[:, low, low] - sums[:, top, low] - sums[:, low, top] + sums[:, top, top]
+
+
+def _per_tile(tiles: DataFrame, schema: str, result) -> DataFrame:
+    """``result(ti, tj, n, n3, n7)`` over chunks of tiles: arrays (tiles, TILE, TILE) of the cells' sums."""
+    def laid_out(rows: np.ndarray) -> pa.RecordBatch:
+        new = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)])
+        grid = np.zeros((int(new.sum()), SIDE, SIDE), np.int64)
+        grid[np.cumsum(new) - 1, rows[:, 2] + REACH, rows[:, 3] + REACH] = rows[:, 4]
+        inner = slice(REACH, REACH + TILE)
+        return result(rows[new, 0], rows[new, 1], grid[:, inner, inner], _box(grid, 1), _box(grid, 3))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, 5), np.int64)   # the last tile goes on in the next batch
+        for b in it:
+            rows = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1).astype(np.int64)])
+            starts = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
+            for k in range(0, len(starts) - 1, CHUNK):
+                yield laid_out(rows[starts[k]:starts[min(k + CHUNK, len(starts) - 1)]])
+            held = rows[starts[-1]:] if len(starts) else rows
+        if len(held):
+            yield laid_out(held)
+
+    return tiles.mapInArrow(run, schema)
+
+
+def _occupied(cells: DataFrame) -> DataFrame:
+    """``i, j, n, n3, n7`` of every occupied cell."""
+    def result(ti, tj, n, n3, n7):
+        t, i, j = np.nonzero(n)
+        cols = (ti[t] * TILE + i, tj[t] * TILE + j, n[t, i, j], n3[t, i, j], n7[t, i, j])
+        return pa.record_batch([pa.array(c) for c in cols], names=["i", "j", "n", "n3", "n7"])
+    return _per_tile(_tiles(cells), "i long, j long, n long, n3 long, n7 long", result)
 
 
 def class_summary(points: DataFrame, D: float, M: int, include_empty: bool = True) -> DataFrame:
     """Per class, the number of cells and of points.
 
-    Same answer as grouping ``classify_cells``, computed on super-cells: each
-    occupied cell is shuffled to at most 4 super-cells instead of to its 49
-    stencil keys. N3 and N7 of an occupied cell are sums over its
-    super-cell's halo (at most 169 entries), and the empty cells of a
-    super-cell are the bits of its stencil cover minus its occupied cells.
+    Same answer as grouping ``classify_cells``: each occupied cell is shuffled to the at
+    most 4 tiles that need it instead of to its 49 stencil keys, the sums of a tile are
+    box sums over its cells, and each chunk of tiles gives one row per class.
     """
-    groups = _supercell_groups(cell_counts(points, D))
-    occupied = (_occupied(groups)
-                .select(class_expr(M).alias("class"), F.lit(1).cast("long").alias("cells"), "n"))
-    if include_empty:
-        empty = groups.select(F.lit(EMPTY).alias("class"),
-                              (F.bit_count("cover") - F.size("core")).cast("long").alias("cells"),
-                              F.lit(0).cast("long").alias("n"))
-        occupied = occupied.unionByName(empty)
-    return (occupied.groupBy("class")
-            .agg(F.sum("cells").alias("cells"), F.sum("n").alias("points"))
+    names = [EMPTY, NON_OUTLIER, OUTLIER, UNCERTAIN] if include_empty else [None, NON_OUTLIER, OUTLIER, UNCERTAIN]
+
+    def result(ti, tj, n, n3, n7):
+        kind = np.where(n == 0, np.where(n7 > 0, 0, -1), np.where(n3 > M, 1, np.where(n7 <= M, 2, 3)))
+        rows = [(c, int((kind == k).sum()), int(n[kind == k].sum())) for k, c in enumerate(names) if c]
+        return pa.record_batch([pa.array(list(c)) for c in zip(*rows)], names=["class", "cells", "points"])
+
+    return (_per_tile(_tiles(cell_counts(points, D)), "class string, cells long, points long", result)
+            .groupBy("class").agg(F.sum("cells").alias("cells"), F.sum("points").alias("points"))
             .where(F.col("cells") > 0))
 
 

@@ -2,16 +2,20 @@
 
 Two distributed rounds plus a radius round:
 
-1. ``fft_coreset``: FFT inside every bucket (``groupBy(b).applyInPandas``,
-   NumPy over the bucket's points) -> at most K points per bucket.
-2. ``fft_centers``: FFT over the union of the coresets (at most K*L rows,
-   a size fixed by the parameters). When K*L exceeds ``max_group_rows``
-   the coresets are reduced in more rounds of the same kind first.
-3. ``radius``: the largest distance from a point to its nearest center. The
-   K centers are gathered once (K rows) and become literal expressions, so
-   the round is one codegen pass with a global max: no join, no shuffle.
-
-First center: the smallest id (default, repeatable) or a seeded random one.
+1. ``fft_coreset``: FFT inside every bucket -> at most K points per bucket.
+2. ``fft_centers``: FFT over the union of the coresets (at most K*L rows).
+3. ``radius``: the largest distance from a point to its nearest center.
+
+A bucket of at most ``max_group_rows`` points is traversed by one Python worker
+(NumPy over the bucket's points); a larger one by K rounds of a per-bucket arg-max
+over all tasks, with the least distances kept in the shared folder. Both choose
+the same centers, so the answer does not depend on the limit.
+
+The passes over all points against the K centers (``nearest_center``, ``radius``, ...)
+are Arrow batch passes: the centers travel with the function, and the plan is the
+same for any K.
+
+First center: the smallest id (default, repeatable) or a seeded draw.
 Next center: the point farthest from the chosen ones, smallest id on ties.
 Distances are ``sqrt(dx*dx + dy*dy)`` everywhere, so Spark, NumPy and SQL
 agree to the last bit.
@@ -19,29 +23,33 @@ agree to the last bit.
 
 from __future__ import annotations
 
-import math
-from typing import Sequence
-
 import sys
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, cloudpickle
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ouzel.functions.geometry import dist, sq_dist
+from ouzel.functions.geometry import dist
+from ouzel.session import delete, shared_dir, written
 
-# The grouped functions below run in Python workers, which need not have
-# this package installed: ship this module's code with the functions
+# The functions below that run in Python workers, which need not have this
+# package installed: ship this module's code with the functions
 # (pickled by value) instead of a reference to the module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CENTER_SCHEMA = "ord int, id long, x double, y double"
-# Largest group one Python worker runs farthest-first on (16 bytes per point
-# in NumPy, a few times that in pandas).
-MAX_GROUP_ROWS = 2_000_000
 CORESET_SCHEMA = "b long, ord int, id long, x double, y double"
+# Largest bucket one Python worker traverses (24 bytes per point in NumPy, a
+# few times that in pandas).
+MAX_GROUP_ROWS = 2_000_000
+# Distances of a pass computed at a time (points x centers).
+PASS_CELLS = 1 << 21
+# Rounds between two written tables of least distances.
+KEEP_EVERY = 8
 
 
 def fft_indices(x: np.ndarray, y: np.ndarray, K: int, first: int = 0) -> list[int]:
@@ -67,87 +75,86 @@ def fft_indices(x: np.ndarray, y: np.ndarray, K: int, first: int = 0) -> list[in
     return chosen
 
 
-def _first_index(n: int, seed: int | None, salt: int) -> int:
-    if seed is None:
-        return 0
-    return int(np.random.default_rng([seed, salt & 0x7FFFFFFF]).integers(0, n))
+def _priority(seed: int | None) -> Column:
+    """The first center is the point with the smallest value of this, then the smallest id."""
+    return F.col("id") if seed is None else F.xxhash64(F.lit(seed), "id")
 
 
-def _fft_group(K: int, seed: int | None, key_col: str | list[str] | None):
-    keys = [key_col] if isinstance(key_col, str) else list(key_col or [])
-
+def _fft_group(K: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) == 0:
-            return pd.DataFrame({c: [] for c in keys + ["ord", "id", "x", "y"]})
-        pdf = pdf.sort_values(["id"], kind="stable").reset_index(drop=True)
-        x = pdf["x"].to_numpy(dtype=np.float64)
-        y = pdf["y"].to_numpy(dtype=np.float64)
-        key_vals = [int(pdf[k].iloc[0]) for k in keys]
-        salt = hash(tuple(key_vals)) if len(key_vals) > 1 else (key_vals[0] if key_vals else 0)
-        idx = fft_indices(x, y, K, _first_index(len(pdf), seed, salt))
-        out = pd.DataFrame({
-            "ord": np.arange(len(idx), dtype=np.int32),
-            "id": pdf["id"].to_numpy()[idx].astype(np.int64),
-            "x": x[idx],
-            "y": y[idx],
-        })
-        for pos, (k, v) in enumerate(zip(keys, key_vals)):
-            out.insert(pos, k, np.int64(v))
-        return out
+        pdf = pdf.sort_values("id", kind="stable")
+        x, y, ids = (pdf[c].to_numpy() for c in ("x", "y", "id"))
+        idx = fft_indices(x, y, K, int(np.argmin(pdf["pri"].to_numpy())))
+        return pd.DataFrame({"b": pdf["b"].to_numpy()[idx], "ord": np.arange(len(idx), dtype=np.int32),
+                             "id": ids[idx], "x": x[idx], "y": y[idx]})
     return run
 
 
+def _fft_rounds(pts: DataFrame, K: int) -> DataFrame:
+    """``CORESET_SCHEMA`` of buckets of any size: K rounds, each one aggregate over all points.
+
+    A round adds one center per bucket; the centers of the last rounds (few per bucket)
+    are joined by bucket, and every ``KEEP_EVERY`` rounds the least distances are written.
+    """
+    spark, folders = pts.sparkSession, [shared_dir(pts.sparkSession, "fft-distances")]
+    kept = written(pts.withColumn("d2", F.lit(float("inf"))), folders[0])
+    first = F.min_by(F.struct("id", "x", "y"), F.struct("pri", "id"))
+    buckets = kept.groupBy("b").agg(first.alias("c"), F.count(F.lit(1)).alias("n")).collect()
+    chosen, left = [(r.b, 0, r.c.id, r.c.x, r.c.y) for r in buckets], {r.b: r.n for r in buckets}
+    recent = list(chosen)
+    for k in range(1, K):
+        by_bucket: dict[int, list] = {}
+        for b, _, _, x, y in recent:
+            by_bucket.setdefault(b, []).append((x, y))
+        near = spark.createDataFrame(list(by_bucket.items()), "b long, near array<struct<x: double, y: double>>")
+        d2 = F.array_min(F.transform("near", lambda c: (F.col("x") - c.x) * (F.col("x") - c.x)
+                                     + (F.col("y") - c.y) * (F.col("y") - c.y)))
+        cur = kept.join(near, "b", "left").withColumn("d2", F.least("d2", d2)).drop("near")
+        if k % KEEP_EVERY == 0:
+            folders.append(shared_dir(spark, "fft-distances"))
+            kept, recent = written(cur, folders[-1]), []
+            cur = kept
+        best = F.max_by(F.struct("id", "x", "y"), F.struct(F.sqrt("d2"), -F.col("id")))
+        new = [(r.b, k, r.c.id, r.c.x, r.c.y) for r in cur.groupBy("b").agg(best.alias("c")).collect() if k < left[r.b]]
+        if not new:
+            break
+        chosen += new
+        recent += new
+    for f in folders:
+        delete(spark, f)
+    return spark.createDataFrame(chosen, CORESET_SCHEMA)
+
+
+def _fft_buckets(pts: DataFrame, K: int, max_group_rows: int, fits: bool) -> DataFrame:
+    """``CORESET_SCHEMA`` for points ``b, id, x, y, pri``. ``fits``: no bucket is above the limit."""
+    run = lambda df: df.groupBy("b").applyInPandas(_fft_group(K), CORESET_SCHEMA)
+    if fits:
+        return run(pts)
+    # at most rows / max_group_rows buckets are above it
+    large = [r.b for r in pts.groupBy("b").count().where(F.col("count") > max_group_rows).collect()]
+    if not large:
+        return run(pts)
+    of_large = F.col("b").isin(large)
+    return run(pts.where(~of_large)).unionByName(_fft_rounds(pts.where(of_large), K))
+
+
 def fft_coreset(points: DataFrame, K: int, bucket: str | Column = "b",
                 seed: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """K centers per bucket -> ``b, ord, id, x, y``.
-
-    One Python worker runs farthest-first over a group, so no group may
-    exceed ``max_group_rows``. A bucket above that (a large or a hot bucket)
-    is split by a hash of ``id`` into ``s = ceil(n / max_group_rows)``
-    groups; each group yields K centers, and the union of those (K*s rows,
-    reduced in further rounds while it is too large) yields the bucket's K
-    centers, as the union of the buckets' centers does in round 2. A bucket
-    that fits is processed whole, exactly as without the split.
-    """
+    """K centers per bucket -> ``b, ord, id, x, y``."""
     b = F.col(bucket) if isinstance(bucket, str) else bucket
-    pts = points.select(b.cast("long").alias("b"), "id", "x", "y")
-    split = (pts.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-             .select("b", F.ceil(F.col("n") / F.lit(max_group_rows)).alias("s")))
-    s_max = split.agg(F.max("s")).first()[0]
-    if s_max is None or s_max <= 1:
-        return pts.groupBy("b").applyInPandas(_fft_group(K, seed, "b"), CORESET_SCHEMA)
-    # one row per bucket value: bounded by the number of buckets, a parameter
-    parts = (pts.join(F.broadcast(split), ["b"], "inner")
-             .select("b", F.pmod(F.xxhash64("id"), F.col("s")).alias("g"), "id", "x", "y"))
-    schema = "b long, g long, ord int, id long, x double, y double"
-    cs = parts.groupBy("b", "g").applyInPandas(_fft_group(K, seed, ["b", "g"]), schema)
-    fanout = max(2, max_group_rows // max(K, 1))
-    groups = s_max
-    while K * groups > max_group_rows:
-        cs = (cs.withColumn("g", F.floor(F.col("g") / F.lit(fanout)))
-              .groupBy("b", "g").applyInPandas(_fft_group(K, seed, ["b", "g"]), schema))
-        groups = math.ceil(groups / fanout)
-    return cs.select("b", "id", "x", "y").groupBy("b").applyInPandas(
-        _fft_group(K, seed, "b"), CORESET_SCHEMA)
+    pts = points.select(b.cast("long").alias("b"), F.col("id").cast("long").alias("id"), "x", "y", _priority(seed).alias("pri"))
+    return _fft_buckets(pts, K, max_group_rows, False)
 
 
 def fft_centers(coreset: DataFrame, K: int, seed: int | None = None,
                 coreset_rows: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """K centers from the coresets -> ``ord, id, x, y``.
 
-    ``coreset_rows`` is the known bound K*L. If it exceeds
-    ``max_group_rows``, the coreset is first reduced by FFT over hashed
-    groups of at most ``max_group_rows`` rows, until one group suffices.
+    ``coreset_rows``: the known bound K*L; without it the coreset's rows are counted.
     """
-    cs = coreset.select("id", "x", "y")
-    rows = coreset_rows
-    while rows is not None and rows > max_group_rows:
-        groups = math.ceil(rows / max_group_rows)
-        cs = (cs.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)))
-              .groupBy("g").applyInPandas(_fft_group(K, seed, "g"), "g long, ord int, id long, x double, y double")
-              .select("id", "x", "y"))
-        rows = groups * K
-    return cs.groupBy().applyInPandas(_fft_group(K, seed, None), CENTER_SCHEMA)
+    pts = coreset.select(F.lit(0).cast("long").alias("b"), "id", "x", "y", _priority(seed).alias("pri"))
+    fits = coreset_rows is not None and coreset_rows <= max_group_rows
+    return _fft_buckets(pts, K, max_group_rows, fits).select("ord", "id", "x", "y")
 
 
 def collect_centers(centers: DataFrame) -> list[tuple[int, int, float, float]]:
@@ -156,10 +163,24 @@ def collect_centers(centers: DataFrame) -> list[tuple[int, int, float, float]]:
     return [(int(r["ord"]), int(r["id"]), float(r["x"]), float(r["y"])) for r in rows]
 
 
-def min_sq_dist_expr(centers: Sequence[tuple], x: str = "x", y: str = "y") -> Column:
-    """B6 over all centers: ``least`` of the squared distances."""
-    terms = [sq_dist(F.col(x), F.col(y), F.lit(cx), F.lit(cy)) for (_, _, cx, cy) in centers]
-    return terms[0] if len(terms) == 1 else F.least(*terms)
+def _pass(points: DataFrame, centers: Sequence[tuple], schema: str, result) -> DataFrame:
+    """One Arrow pass over ``id, x, y``: ``result(id, squared distances (points, centers))`` gives the output columns."""
+    if not centers:
+        raise ValueError("no centers")
+    cx, cy = (np.array([c[i] for c in centers], np.float64) for i in (2, 3))
+    names = [f.split()[0] for f in schema.split(", ")]
+    step = max(1, PASS_CELLS // len(centers))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for at in range(0, b.num_rows, step):
+                part = b.slice(at, step)
+                x, y = (part.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+                dx, dy = x[:, None] - cx, y[:, None] - cy
+                cols = result(part.column(0), dx * dx + dy * dy)
+                yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=names)
+
+    return points.select("id", "x", "y").mapInArrow(run, schema)
 
 
 def nearest_center_distance(points: DataFrame, centers: Sequence[tuple]) -> DataFrame:
@@ -168,25 +189,19 @@ def nearest_center_distance(points: DataFrame, centers: Sequence[tuple]) -> Data
     ``sqrt(min d^2)`` equals ``min sqrt(d^2)`` exactly (sqrt is monotone and
     correctly rounded), and saves K-1 square roots per point.
     """
-    if not centers:
-        raise ValueError("no centers")
-    return points.select("id", F.sqrt(min_sq_dist_expr(centers)).alias("d"))
+    return _pass(points, centers, "id long, d double", lambda i, d2: (i, np.sqrt(d2.min(1))))
 
 
 def nearest_center(points: DataFrame, centers: Sequence[tuple]) -> DataFrame:
-    """C4: every point against every center -> ``id, center_id, d``.
+    """C4: every point against every center -> ``id, center_id, d``; the earlier center on ties."""
+    ids = np.array([c[1] for c in centers], np.int64)
 
-    ``least`` over ``struct(d, ord, center id)`` picks the nearest center,
-    the earlier one on ties, without a cross join.
-    """
-    if not centers:
-        raise ValueError("no centers")
-    structs = [F.struct(dist(F.col("x"), F.col("y"), F.lit(cx), F.lit(cy)).alias("d"),
-                        F.lit(o).alias("o"), F.lit(cid).cast("long").alias("cid"))
-               for (o, cid, cx, cy) in centers]
-    best = structs[0] if len(structs) == 1 else F.least(*structs)
-    return (points.select("id", best.alias("s"))
-            .select("id", F.col("s.cid").alias("center_id"), F.col("s.d").alias("d")))
+    def best(i, d2):
+        d = np.sqrt(d2)
+        k = d.argmin(1)
+        return i, ids[k], d[np.arange(len(k)), k]
+
+    return _pass(points, centers, "id long, center_id long, d double", best)
 
 
 def pairwise_min(points: DataFrame, a: tuple, b: tuple) -> DataFrame:
@@ -197,14 +212,8 @@ def pairwise_min(points: DataFrame, a: tuple, b: tuple) -> DataFrame:
 
 def radius(points: DataFrame, centers: Sequence[tuple]) -> DataFrame:
     """Max over all points of the distance to the nearest center."""
-    return (points.select(min_sq_dist_expr(centers).alias("d2"))
-            .agg(F.sqrt(F.max("d2")).alias("radius")))
-
-
-def farthest_point(points: DataFrame, cx: float, cy: float) -> DataFrame:
-    """The point farthest from ``(cx, cy)``, smallest id on ties -> ``id, d``."""
-    d = dist("x", "y", F.lit(cx), F.lit(cy))
-    return points.select("id", d.alias("d")).orderBy(F.col("d").desc(), F.col("id")).limit(1)
+    per_batch = _pass(points, centers, "id long, d double", lambda i, d2: (i[:1], np.sqrt(d2.min(1).max(keepdims=True))))
+    return per_batch.agg(F.max("d").alias("radius"))
 
 
 def mr_fft(points: DataFrame, K: int, L: int, bucket: str | Column = "b",
@@ -215,52 +224,10 @@ def mr_fft(points: DataFrame, K: int, L: int, bucket: str | Column = "b",
     return centers, radius(points, centers)
 
 
-def fft_iterative(points: DataFrame, K: int, seed: int | None = None,
-                  checkpoint_every: int = 8) -> list[tuple]:
-    """F1e: farthest-first over the whole table, no coreset.
-
-    K-1 distributed arg-max rounds (per-partition top-1, then one row per
-    partition). The running minimum distance is written with a reliable
-    ``checkpoint`` (into ``spark.checkpoint.dir``) every ``checkpoint_every``
-    centers, so each round evaluates at most that many new distances and
-    the plan never grows with K.
-    """
-    pts = points.select("id", "x", "y")
-    if seed is None:
-        first = pts.orderBy("id").limit(1).collect()
-    else:
-        first = (pts.select("id", "x", "y", F.xxhash64(F.lit(seed), "id").alias("h"))
-                 .orderBy("h", "id").limit(1).collect())
-    if not first:
-        return []
-    r0 = first[0]
-    centers = [(0, int(r0["id"]), float(r0["x"]), float(r0["y"]))]
-    base = pts.persist(StorageLevel.MEMORY_AND_DISK)
-    held = [base]
-    has_d2 = False
-    pending: list[tuple] = list(centers)
-    for k in range(1, K):
-        terms = [sq_dist(F.col("x"), F.col("y"), F.lit(cx), F.lit(cy)) for (_, _, cx, cy) in pending]
-        if has_d2:
-            terms.append(F.col("d2"))
-        d2 = terms[0] if len(terms) == 1 else F.least(*terms)
-        cur = base.select("id", "x", "y", d2.alias("d2"))
-        row = cur.orderBy(F.sqrt(F.col("d2")).desc(), F.col("id")).limit(1).collect()[0]
-        c = (k, int(row["id"]), float(row["x"]), float(row["y"]))
-        centers.append(c)
-        pending.append(c)
-        if k % checkpoint_every == 0 and k < K - 1:
-            terms = [sq_dist(F.col("x"), F.col("y"), F.lit(cx), F.lit(cy)) for (_, _, cx, cy) in pending]
-            if has_d2:
-                terms.append(F.col("d2"))
-            d2 = terms[0] if len(terms) == 1 else F.least(*terms)
-            base = base.select("id", "x", "y", d2.alias("d2")).checkpoint(eager=True)
-            held.append(base)
-            has_d2 = True
-            pending = []
-    for h in held:
-        h.unpersist()
-    return centers
+def fft_iterative(points: DataFrame, K: int, seed: int | None = None) -> list[tuple]:
+    """F1e: farthest-first over the whole table, no coreset: the rounds of one bucket."""
+    pts = points.select(F.lit(0).cast("long").alias("b"), F.col("id").cast("long").alias("id"), "x", "y", _priority(seed).alias("pri"))
+    return collect_centers(_fft_rounds(pts, K).drop("b"))
 
 
 def centers_frame(spark, centers: Sequence[tuple]) -> DataFrame:

@@ -18,7 +18,8 @@ PO = ("SELECT o_orderkey AS id, "
 PE = (f"SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, "
       f"vec_id % {P.PE_L} AS b FROM embeddings")
 EV = "SELECT event_id AS seq, CAST(floor(value) AS BIGINT) AS item FROM events"
-PAR = f"SELECT count(*) * {P.EV_NUM} // {P.EV_DEN} AS n FROM events"
+PAR = "SELECT count(*) AS n FROM events"
+PREFIX = f"(SELECT count(*) * {P.PREFIX_NUM} // {P.PREFIX_DEN} FROM events)"
 
 
 def dbl(v: float) -> str:
@@ -97,6 +98,16 @@ def fft_chain(src: str, K: int, part: str, prefix: str) -> tuple[list[str], str]
     return ctes, union
 
 
+def fft_recursive(src: str, K: int, name: str) -> str:
+    """Farthest-first in every bucket of ``src`` (b, id, x, y) as a recursive CTE: a row
+    for each point and round ``t``, with the center (cid, cx, cy) of its bucket in that round."""
+    pick = ", ".join(f"first_value({c}) OVER (PARTITION BY b ORDER BY {{o}}) AS c{c}" for c in ("id", "x", "y"))
+    d = "sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy))"
+    return (f"{name} AS (SELECT 0 AS t, b, id, x, y, 'infinity'::DOUBLE AS d, {pick.format(o='id')} FROM {src} UNION ALL "
+            f"SELECT t + 1, b, id, x, y, d, {pick.format(o='d DESC, id')} FROM "
+            f"(SELECT t, b, id, x, y, least(d, {d}) AS d FROM {name} WHERE t < {K - 1}))")
+
+
 def two_round_ctes(src: str = PE, name: str = "pe") -> str:
     """CTEs ``name`` (points with bucket b), coreset (b, ord, id, x, y) and
     centers (ord, id, x, y)."""
@@ -141,8 +152,8 @@ def build() -> dict[str, str]:
 
     # sources
     q["points_csv_scan"] = f"SELECT x, y FROM ({PO})"
-    q["points_repartition"] = (f"SELECT vec_id % {P.PE_L} AS b, count(*) AS rows FROM embeddings "
-                               f"GROUP BY 1")
+    q["points_repartition"] = (f"SELECT (vec_id % {P.PE_L})::INTEGER AS part, vec_id % {P.PE_L} AS b, count(*) AS rows "
+                               f"FROM embeddings GROUP BY ALL")
     q["points_count"] = "SELECT count(*) AS n_points FROM orders"
     q["stream_items_scan"] = EV
 
@@ -195,8 +206,6 @@ def build() -> dict[str, str]:
     q["pairwise_min"] = (tr + f"\nSELECT p.id, least({dist_sql('p', 'a')}, {dist_sql('p', 'b')}) AS d "
                          f"FROM pe p, (SELECT x, y FROM centers WHERE ord = 0) a, "
                          f"(SELECT x, y FROM centers WHERE ord = 1) b")
-    q["cluster_radius"] = (f"WITH pe AS ({PE}), centers AS (SELECT * FROM pe ORDER BY id LIMIT {P.PE_K}),\n"
-                           + radius_cte() + "\nSELECT radius FROM rad")
     po_b = f"SELECT id, x, y, id % {P.PE_L} AS b FROM ({PO})"
     q["fft_radius_orders"] = (two_round_ctes(po_b, "pb") + ",\n" + radius_cte("pb")
                               + "\nSELECT radius FROM rad")
@@ -206,10 +215,18 @@ def build() -> dict[str, str]:
     ci, ui = fft_chain("pg", P.PE_K, "g", "it")
     q["fft_iterative"] = (f"WITH pe AS ({PE}), pg AS (SELECT 0 AS g, id, x, y FROM pe),\n"
                           + ",\n".join(ci) + f"\nSELECT ord, id, x, y FROM ({ui})")
+    q["cluster_radius"] = (f"WITH pe AS ({PE}), pg AS (SELECT 0 AS g, id, x, y FROM pe),\n" + ",\n".join(ci)
+                           + f",\ncenters AS ({ui}),\n" + radius_cte() + "\nSELECT radius FROM rad")
+    po_l = f"SELECT id, x, y, id % {P.ORD_L} AS b FROM ({PO})"
+    q["fft_radius_orders_k100"] = (f"WITH RECURSIVE pb AS ({po_l}),\n" + fft_recursive("pb", P.ORD_K, "r1")
+                                   + ",\ncs AS (SELECT 0 AS b, cid AS id, cx AS x, cy AS y FROM (SELECT DISTINCT b, t, cid, cx, cy FROM r1)),\n"
+                                   + fft_recursive("cs", P.ORD_K, "r2")
+                                   + ",\ncenters AS (SELECT DISTINCT t AS ord, cid AS id, cx AS x, cy AS y FROM r2),\n"
+                                   + radius_cte("pb") + "\nSELECT radius FROM rad")
 
     # frequent items
     ev = ev_ctes()
-    q["stream_prefix"] = ev + "SELECT seq, item FROM pre"
+    q["stream_prefix"] = f"SELECT seq, item FROM ({EV}) WHERE seq < {PREFIX}"
     q["random_coin"] = ev + "SELECT seq, item, draw, pass FROM coins"
     q["item_counts"] = ev + "SELECT item, count FROM counts"
     q["frequent_exact"] = ev + "SELECT item, count FROM freq"
@@ -241,6 +258,9 @@ def build() -> dict[str, str]:
     q["stream_sticky"] = q["sticky_sample"]
     q["stream_distinct"] = q["distinct_items"]
     q["stream_frequent_report"] = q["frequent_report"]
+    q["stream_line_report"] = q["frequent_report"]
+    q["stream_batch_sizes"] = "SELECT count(*) AS rows, 0 AS repeated FROM events"
+    q["stop_after_items"] = f"SELECT {PREFIX} AS n, TRUE AS reached, 0 AS batches_after"
     return q
 
 

@@ -13,4 +13,6 @@ EV_PHI = 0.015
 EV_EPSILON = 0.01
 EV_DELTA = 0.1
 EV_SEED = 42
-EV_NUM, EV_DEN = 4, 5   # n = rows * 4 // 5
+PREFIX_NUM, PREFIX_DEN = 4, 5   # n = rows * 4 // 5 where the prefix is the feature
+ORD_K = 100       # centers for the points from orders
+ORD_L = 16        # their buckets

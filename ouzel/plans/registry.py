@@ -10,6 +10,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ouzel.functions.geometry import dist
 from ouzel.operators import exact, frequent, grid, kcenter
@@ -18,7 +19,7 @@ from ouzel.session import shared_dir
 from ouzel.sources.points import (items_from_events, points_from_embeddings, points_from_orders,
                                   read_points_text, write_points_text)
 from ouzel.streaming import frequent_stream as fs
-from ouzel.streaming.state import VersionedTable
+from ouzel.streaming.state import BatchLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +37,13 @@ def _ev(spark, sf):
 
 
 def _n(spark, sf) -> int:
-    return frequent.stream_length(_ev(spark, sf), P.EV_NUM, P.EV_DEN)
+    """All arrivals."""
+    return frequent.stream_length(_ev(spark, sf))
+
+
+def _n_prefix(spark, sf) -> int:
+    """The n of the two queries whose feature is a part of the stream."""
+    return frequent.stream_length(_ev(spark, sf), P.PREFIX_NUM, P.PREFIX_DEN)
 
 
 # ---------------------------------------------------------------- sources
@@ -48,8 +55,9 @@ def points_csv_scan(spark, sf):
 
 
 def points_repartition(spark, sf):
-    pe = _pe(spark, sf).repartition(P.PE_L, "b")
-    return pe.groupBy("b").agg(F.count(F.lit(1)).alias("rows"))
+    """A2: bucket b of the L buckets is partition b."""
+    pe = _pe(spark, sf).repartitionById(P.PE_L, F.col("b").cast("int"))
+    return pe.groupBy(F.spark_partition_id().alias("part"), "b").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def points_count(spark, sf):
@@ -57,14 +65,14 @@ def points_count(spark, sf):
 
 
 def stream_items_scan(spark, sf):
-    out = VersionedTable(spark, shared_dir(spark, "stream-scan") + "/rows", "seq long, item long")
+    out = BatchLog(spark, shared_dir(spark, "stream-scan") + "/rows", "seq long, item long")
     work = shared_dir(spark, "stream-scan-ckpt")
 
     def sink(df, batch_id):
         out.write(df, batch_id)
 
     fs._run(fs.item_stream(spark, sf), sink, f"{work}/checkpoint")
-    return out.all_versions().select("seq", "item")
+    return out.rows().select("seq", "item")
 
 
 # ---------------------------------------------------------------- grid
@@ -163,9 +171,11 @@ def farthest_point(spark, sf):
 
 def _two_round_centers(spark, sf):
     pe = _pe(spark, sf)
-    coreset = kcenter.fft_coreset(pe, P.PE_K, "b")
-    return pe, kcenter.collect_centers(kcenter.fft_centers(coreset, P.PE_K,
-                                                           coreset_rows=P.PE_K * P.PE_L))
+    return pe, kcenter.mr_fft(pe, P.PE_K, P.PE_L)[0]
+
+
+def _orders_bucketed(spark, sf, L: int):
+    return _po(spark, sf).withColumn("b", F.pmod(F.col("id"), F.lit(L)))
 
 
 def fft_coreset(spark, sf):
@@ -173,8 +183,8 @@ def fft_coreset(spark, sf):
 
 
 def fft_centers(spark, sf):
-    _, centers = _two_round_centers(spark, sf)
-    return kcenter.centers_frame(spark, centers)
+    coreset = kcenter.fft_coreset(_pe(spark, sf), P.PE_K, "b")
+    return kcenter.fft_centers(coreset, P.PE_K, coreset_rows=P.PE_K * P.PE_L)
 
 
 def fft_radius(spark, sf):
@@ -184,11 +194,12 @@ def fft_radius(spark, sf):
 
 def fft_radius_orders(spark, sf):
     """F1c on the points from orders (bucket ``id mod L``)."""
-    po = _po(spark, sf).withColumn("b", F.pmod(F.col("id"), F.lit(P.PE_L)))
-    coreset = kcenter.fft_coreset(po, P.PE_K, "b")
-    centers = kcenter.collect_centers(kcenter.fft_centers(coreset, P.PE_K,
-                                                          coreset_rows=P.PE_K * P.PE_L))
-    return kcenter.radius(po, centers)
+    return kcenter.mr_fft(_orders_bucketed(spark, sf, P.PE_L), P.PE_K, P.PE_L)[1]
+
+
+def fft_radius_orders_k100(spark, sf):
+    """F1c at the size of the published runs: 100 centers, 16 buckets."""
+    return kcenter.mr_fft(_orders_bucketed(spark, sf, P.ORD_L), P.ORD_K, P.ORD_L)[1]
 
 
 def nearest_center_distance(spark, sf):
@@ -207,11 +218,9 @@ def pairwise_min(spark, sf):
 
 
 def cluster_radius(spark, sf):
-    """Radius of the clustering whose centers are the K smallest ids."""
+    """The radius of the clustering around the iterative centers."""
     pe = _pe(spark, sf)
-    rows = pe.orderBy("id").limit(P.PE_K).collect()
-    centers = [(o, int(r["id"]), float(r["x"]), float(r["y"])) for o, r in enumerate(rows)]
-    return kcenter.radius(pe, centers)
+    return kcenter.radius(pe, kcenter.fft_iterative(pe, P.PE_K))
 
 
 def fft_outliers(spark, sf):
@@ -228,7 +237,7 @@ def fft_iterative(spark, sf):
 # ---------------------------------------------------------------- frequent items
 
 def stream_prefix(spark, sf):
-    return frequent.prefix(_ev(spark, sf), _n(spark, sf))
+    return frequent.prefix(_ev(spark, sf), _n_prefix(spark, sf))
 
 
 def item_counts(spark, sf):
@@ -338,17 +347,34 @@ def stream_distinct(spark, sf):
 
 
 def stream_frequent_report(spark, sf):
-    return fs.stream_frequent_report(spark, lambda: fs.item_stream(spark, sf), _n(spark, sf),
+    return fs.stream_frequent_report(spark, fs.item_stream(spark, sf), _n(spark, sf),
+                                     P.EV_PHI, P.EV_EPSILON, P.EV_DELTA, P.EV_SEED)
+
+
+def stream_line_report(spark, sf):
+    """S5 from text lines: the items of ``events`` in arrival order, one number a line."""
+    lines = shared_dir(spark, "stream-lines")
+    (_ev(spark, sf).repartitionByRange("seq").sortWithinPartitions("seq")
+     .select(F.col("item").cast("string")).write.text(lines))
+    return fs.stream_frequent_report(spark, fs.line_stream(spark, lines), _n(spark, sf),
                                      P.EV_PHI, P.EV_EPSILON, P.EV_DELTA, P.EV_SEED)
 
 
 def stream_batch_sizes(spark, sf):
-    return fs.stream_batch_sizes(spark, fs.item_stream(spark, sf, max_files_per_trigger=1))
+    """S8 in a form that does not depend on the cut: the rows of all batches, and whether any was seen twice."""
+    sizes = fs.stream_batch_sizes(spark, fs.item_stream(spark, sf, max_files_per_trigger=1))
+    return sizes.agg(F.sum("rows").alias("rows"), (F.count("batch_id") - F.count_distinct("batch_id")).alias("repeated"))
 
 
 def stop_after_items(spark, sf):
-    return fs.stream_until(spark, fs.item_stream(spark, sf, max_files_per_trigger=1),
-                           _n(spark, sf))
+    """S6 in a form that does not depend on the cut: n, whether n rows went through, and the
+    batches that ran although those before them had n rows already."""
+    n = _n_prefix(spark, sf)
+    sizes = fs.stream_until(spark, fs.item_stream(spark, sf, max_files_per_trigger=1), n)
+    before = F.sum("rows").over(Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1))   # a row per batch
+    return sizes.withColumn("before", F.coalesce(before, F.lit(0))).agg(
+        F.lit(n).cast("long").alias("n"), (F.sum("rows") >= n).alias("reached"),
+        F.count_if(F.col("before") >= n).alias("batches_after"))
 
 
 QUERIES: dict[str, Query] = {
@@ -388,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "fft_centers": fft_centers,
     "fft_radius": fft_radius,
     "fft_radius_orders": fft_radius_orders,
+    "fft_radius_orders_k100": fft_radius_orders_k100,
     "fft_outliers": fft_outliers,
     "fft_iterative": fft_iterative,
     # frequent items
@@ -414,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "stream_sticky": stream_sticky,
     "stream_distinct": stream_distinct,
     "stream_frequent_report": stream_frequent_report,
+    "stream_line_report": stream_line_report,
     "stream_batch_sizes": stream_batch_sizes,
     "stop_after_items": stop_after_items,
 }

@@ -4,16 +4,17 @@
 the caller's session. ``shared_dir`` returns a fresh folder under the
 cluster's shared checkpoint folder (``spark.checkpoint.dir``), which is where
 every intermediate table, CSV round trip and stream checkpoint is written.
-It never falls back to a machine-local folder when the setting exists.
+Without the setting, a session on one machine (``local[...]``) gets a temporary
+folder; on a cluster, whose machines share no such folder, it is an error.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package. AQE re-plans joins
 # from measured sizes (sort-merge -> broadcast only when the measured side
@@ -54,13 +55,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Read from ``spark.checkpoint.dir`` (or an already set SparkContext
-    checkpoint folder). Only when neither is set, as in a bare test session,
-    a temporary folder is created and registered as the checkpoint folder.
+    checkpoint folder). When neither is set: a temporary folder if driver and
+    executors are one process, else a ``RuntimeError``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: {master} needs a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="ouzel-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -69,11 +73,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint folder."""
+    """A new, unique path below the shared checkpoint folder; its writer makes the folder."""
     root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/ouzel/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root.rstrip('/')}/ouzel/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop objects: the same store that Spark's writers use."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this package has written."""
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back: computed once, the lineage cut, nothing cached."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,38 +1,43 @@
 """Frequent items over a stream (Structured Streaming).
 
 The source is any streaming DataFrame with ``seq bigint, item bigint``
-(``item_stream`` reads parquet files; a socket or Kafka source can be passed
-instead). Each operator runs one query with a checkpoint in the shared
-folder and ``trigger(availableNow=True)`` by default, then returns its
-result as a table read back from the shared folder (never through the
-driver).
-
-* ``stream_item_counts``: built-in streaming aggregation (state store,
-  partial aggregation before the shuffle), update mode into a parquet sink;
-  the result keeps the newest count of every item.
+(``item_stream`` reads parquet files), or a line stream with the text column
+``value`` (``line_stream`` reads text files; a socket or Kafka source has the same
+shape), whose lines are cast to numbers and numbered as they arrive. Each
+operator runs one query with a checkpoint in the shared folder and
+``trigger(availableNow=True)`` by default, then returns its result as a table read
+back from the shared folder (never through the driver).
+
+* ``stream_item_counts``: counts per item, added up batch by batch.
 * ``stream_reservoir``: the bottom-m sample merged batch by batch.
-* ``stream_sticky``: the sticky table as a versioned state table; each batch
-  adds entries from its coin arrivals and counts arrivals from the entries
-  on, with the same broadcast-after-size-check join as the batch form.
+* ``stream_sticky``: the sticky table; each batch adds entries from its coin
+  arrivals and counts arrivals from the entries on.
+* ``stream_frequent_report``: the three methods in one pass over the stream.
 * ``stream_distinct``: distinct items, item total and largest item.
 * ``stream_batch_sizes``: rows per batch.
 * ``stop_after_items``: stop a running query once n rows went through.
+
+The states are ``StateTable``s: a batch writes the keys it changes, not the whole
+state, and old versions go, so a long stream keeps a bounded number of files. A
+batch that is used by several steps is kept for the batch only.
 """
 
 from __future__ import annotations
 
 import time
-from typing import Callable
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ouzel.functions.random import coin, draw_hex
 from ouzel.operators import frequent
-from ouzel.operators.joins import join_bounded
 from ouzel.session import shared_dir
 from ouzel.sources.points import items_from_event_rows
-from ouzel.streaming.state import VersionedTable
+from ouzel.streaming.state import BatchLog, StateTable, totals
+
+Step = Callable[[DataFrame, int], None]
 
 
 def item_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None,
@@ -49,8 +54,32 @@ def item_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | N
     return items_from_event_rows(reader.parquet(f"{base}/{pattern}"))
 
 
-def _run(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-         output_mode: str = "append", trigger: dict | None = None) -> None:
+def line_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Text files as a stream of lines: ``value``, and where the line's piece of a file starts."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.text(folder).select("value", F.col("_metadata.file_path").alias("file"),
+                                      F.col("_metadata.file_block_start").alias("block"))
+
+
+def numbered(lines: DataFrame, first: int) -> DataFrame:
+    """A batch of lines as ``seq, item``: cast (a bad line fails the batch), numbered from ``first``.
+
+    The order is that of the files' names and the places in them, or, from a source
+    without files, that of the batch's partitions; the first number of a piece is
+    ``first`` plus the rows of the pieces before it.
+    """
+    place = F.monotonically_increasing_id()
+    part = F.struct("file", "block") if "file" in lines.columns else F.struct(F.shiftright(place, 33).alias("part"))
+    rows = lines.select(F.trim("value").cast("bigint").alias("item"), part.alias("part"), place.alias("at"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))   # a row per piece
+    starts = (rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("least"))
+              .select("part", (F.lit(first) + F.coalesce(before, F.lit(0)) - F.col("least")).alias("start")))
+    return rows.join(starts, "part").select((F.col("start") + F.col("at")).alias("seq"), "item")
+
+
+def _run(stream: DataFrame, fn: Step, checkpoint: str, output_mode: str = "append", trigger: dict | None = None) -> None:
     writer = (stream.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
               .foreachBatch(fn))
@@ -61,6 +90,61 @@ def _run(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: st
         raise RuntimeError(str(q.exception()))
 
 
+# ------------------------------------------------ the steps of a batch (seq, item)
+
+def _counts(spark: SparkSession, workdir: str) -> tuple[StateTable, Step]:
+    state = StateTable(spark, f"{workdir}/counts", "item long, count long", totals("item", count="sum"))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        state.write(batch.groupBy("item").agg(F.count(F.lit(1)).alias("count")), batch_id)
+    return state, step
+
+
+def _reservoir(spark: SparkSession, workdir: str, phi: float, seed: int) -> tuple[StateTable, Step]:
+    m = frequent.reservoir_size(phi)
+    state = StateTable(spark, f"{workdir}/sample", "seq long, item long, pri string",
+                       lambda rows: rows.orderBy("pri", "seq").limit(m))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        drawn = batch.select("seq", "item", draw_hex("seq", seed).alias("pri"))
+        state.write(drawn.orderBy("pri", "seq").limit(m), batch_id)
+    return state, step
+
+
+def _sticky(spark: SparkSession, workdir: str, p: float, seed: int) -> tuple[StateTable, Step]:
+    state = StateTable(spark, f"{workdir}/table", "item long, entry long, count long",
+                       totals("item", entry="min", count="sum"))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        # an item of an earlier batch counts all its arrivals, a new one those from its entry on
+        known = state.before(batch_id).select("item", "entry")
+        fresh = (batch.where(coin("seq", seed, p)).groupBy("item").agg(F.min("seq").alias("entry"))
+                 .join(known.select("item"), "item", "left_anti"))
+        counted = (batch.join(known.unionByName(fresh), "item").where(F.col("seq") >= F.col("entry"))
+                   .groupBy("item").agg(F.min("entry").alias("entry"), F.count(F.lit(1)).alias("count")))
+        state.write(counted, batch_id)
+    return state, step
+
+
+def _kept(steps: list[Step], prepare: Callable[[DataFrame, int], DataFrame]) -> Step:
+    """Runs the steps on one read of the batch, which is dropped at its end."""
+    def run(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            batch = prepare(df, batch_id)
+            for step in steps:
+                step(batch, batch_id)
+        finally:
+            df.unpersist()
+    return run
+
+
+def _first(n: int | None) -> Callable[[DataFrame, int], DataFrame]:
+    return lambda df, _: (df if n is None else frequent.prefix(df, n)).select("seq", "item")
+
+
+# ------------------------------------------------ operators
+
 def stream_item_counts(spark: SparkSession, stream: DataFrame, n: int | None,
                        workdir: str | None = None, trigger: dict | None = None) -> DataFrame:
     """Exact counts as streaming state -> ``item, count``.
@@ -68,33 +152,20 @@ def stream_item_counts(spark: SparkSession, stream: DataFrame, n: int | None,
     ``n`` limits the stream to its first n arrivals (``None``: all).
     """
     workdir = workdir or shared_dir(spark, "stream-counts")
-    src = stream if n is None else stream.where(F.col("seq") < F.lit(n))
-    agg = src.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
-    out = VersionedTable(spark, f"{workdir}/updates", "item long, count long")
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        out.write(df, batch_id)
-
-    _run(agg, sink, f"{workdir}/checkpoint", "update", trigger)
-    # counts only grow, so the newest count of an item is its largest
-    return out.all_versions().groupBy("item").agg(F.max("count").alias("count"))
+    state, step = _counts(spark, workdir)
+    first = _first(n)
+    _run(stream, lambda df, k: step(first(df, k), k), f"{workdir}/checkpoint", trigger=trigger)
+    return state.before()
 
 
 def stream_reservoir(spark: SparkSession, stream: DataFrame, n: int, phi: float, seed: int,
                      workdir: str | None = None, trigger: dict | None = None) -> DataFrame:
     """The reservoir sample kept across batches -> ``seq, item, pri``."""
     workdir = workdir or shared_dir(spark, "stream-reservoir")
-    m = frequent.reservoir_size(phi)
-    state = VersionedTable(spark, f"{workdir}/sample", "seq long, item long, pri string")
-
-    def step(df: DataFrame, batch_id: int) -> None:
-        batch = (df.where(F.col("seq") < F.lit(n))
-                 .select("seq", "item", draw_hex("seq", seed).alias("pri")))
-        merged = state.latest_before(batch_id).unionByName(batch)
-        state.write(merged.orderBy("pri", "seq").limit(m), batch_id)
-
-    _run(stream, step, f"{workdir}/checkpoint", "append", trigger)
-    return state.latest_before(None)
+    state, step = _reservoir(spark, workdir, phi, seed)
+    first = _first(n)
+    _run(stream, lambda df, k: step(first(df, k), k), f"{workdir}/checkpoint", trigger=trigger)
+    return state.before()
 
 
 def stream_sticky(spark: SparkSession, stream: DataFrame, n: int, phi: float, epsilon: float,
@@ -102,31 +173,12 @@ def stream_sticky(spark: SparkSession, stream: DataFrame, n: int, phi: float, ep
                   trigger: dict | None = None) -> DataFrame:
     """S3: the sticky table as keyed state -> ``item, entry, count``.
 
-    Arrivals come in ``seq`` order across batches, so an item tracked in an
-    earlier batch counts all its arrivals of this batch, and an item that
-    enters in this batch counts its arrivals from the entry on.
+    Arrivals come in ``seq`` order across batches.
     """
     workdir = workdir or shared_dir(spark, "stream-sticky")
-    _, p = frequent.sticky_rate(n, phi, epsilon, delta)
-    state = VersionedTable(spark, f"{workdir}/table", "item long, entry long, count long")
-
-    def step(df: DataFrame, batch_id: int) -> None:
-        batch = df.where(F.col("seq") < F.lit(n)).select("seq", "item")
-        prev = state.latest_before(batch_id)
-        fresh = (batch.where(coin("seq", seed, p))
-                 .groupBy("item").agg(F.min("seq").alias("entry"))
-                 .join(prev.select("item"), ["item"], "left_anti"))
-        entries = prev.select("item", "entry").unionByName(fresh)
-        counted = (join_bounded(batch, entries, ["item"], "inner")
-                   .where(F.col("seq") >= F.col("entry"))
-                   .groupBy("item").agg(F.count(F.lit(1)).alias("count")))
-        new = (prev.unionByName(fresh.withColumn("count", F.lit(0).cast("long")))
-               .unionByName(counted.withColumn("entry", F.lit(None).cast("long")))
-               .groupBy("item").agg(F.min("entry").alias("entry"), F.sum("count").alias("count")))
-        state.write(new, batch_id)
-
-    _run(stream, step, f"{workdir}/checkpoint", "append", trigger)
-    return state.latest_before(None)
+    state, step = _sticky(spark, workdir, frequent.sticky_rate(n, phi, epsilon, delta)[1], seed)
+    _run(stream, _kept([step], _first(n)), f"{workdir}/checkpoint", trigger=trigger)
+    return state.before()
 
 
 def stream_distinct(spark: SparkSession, stream: DataFrame, workdir: str | None = None,
@@ -138,19 +190,33 @@ def stream_distinct(spark: SparkSession, stream: DataFrame, workdir: str | None
                       F.max("item").alias("largest_item"))
 
 
-def stream_frequent_report(spark: SparkSession, make_stream: Callable[[], DataFrame], n: int,
-                           phi: float, epsilon: float, delta: float, seed: int,
-                           trigger: dict | None = None) -> DataFrame:
-    """The three stream results joined -> same columns as ``frequent_report``."""
-    counts = stream_item_counts(spark, make_stream(), n, trigger=trigger)
-    sample = stream_reservoir(spark, make_stream(), n, phi, seed, trigger=trigger)
-    sticky = stream_sticky(spark, make_stream(), n, phi, epsilon, delta, seed, trigger=trigger)
-    exact = (counts.where(F.col("count") >= F.lit(float(n * phi)))
+def stream_frequent_report(spark: SparkSession, stream: DataFrame, n: int, phi: float, epsilon: float, delta: float,
+                           seed: int, workdir: str | None = None, trigger: dict | None = None) -> DataFrame:
+    """The three methods side by side, from one pass over ``seq, item`` or over lines (``value``).
+
+    Same columns as ``frequent_report``. Lines are numbered from the count of the
+    lines before the batch, which is kept like the other states.
+    """
+    workdir = workdir or shared_dir(spark, "stream-report")
+    counts, count = _counts(spark, workdir)
+    sample, draw = _reservoir(spark, workdir, phi, seed)
+    sticky, stick = _sticky(spark, workdir, frequent.sticky_rate(n, phi, epsilon, delta)[1], seed)
+    seen = StateTable(spark, f"{workdir}/seen", "rows long", totals(rows="sum"))
+    first = _first(n)
+
+    def prepare(df: DataFrame, batch_id: int) -> DataFrame:
+        if "seq" in df.columns:
+            return first(df, batch_id)
+        had = seen.before(batch_id).agg(F.sum("rows")).first()[0] or 0
+        seen.write(df.agg(F.count(F.lit(1)).alias("rows")), batch_id)
+        return first(numbered(df, had), batch_id)
+
+    _run(stream, _kept([count, draw, stick], prepare), f"{workdir}/checkpoint", trigger=trigger)
+    exact = (counts.before().where(F.col("count") >= F.lit(float(n * phi)))
              .select("item", F.col("count").alias("exact_count")))
-    res = frequent.sample_counts(sample)
-    st = (frequent.sticky_report(sticky, n, phi, epsilon)
+    st = (frequent.sticky_report(sticky.before(), n, phi, epsilon)
           .select("item", F.col("count").alias("sticky_count")))
-    return (exact.join(res, ["item"], "full_outer").join(st, ["item"], "full_outer")
+    return (exact.join(frequent.sample_counts(sample.before()), ["item"], "full_outer").join(st, ["item"], "full_outer")
             .withColumn("is_true", F.col("exact_count").isNotNull()))
 
 
@@ -158,50 +224,56 @@ def stream_batch_sizes(spark: SparkSession, stream: DataFrame, workdir: str | No
                        trigger: dict | None = None) -> DataFrame:
     """Rows of every non-empty batch -> ``batch_id, rows``."""
     workdir = workdir or shared_dir(spark, "stream-batches")
-    out = VersionedTable(spark, f"{workdir}/sizes", "rows long")
+    out = BatchLog(spark, f"{workdir}/sizes", "rows long")
 
     def step(df: DataFrame, batch_id: int) -> None:
-        out.write(df.agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 0), batch_id)
+        out.write(df.agg(F.count(F.lit(1)).alias("rows")), batch_id)
 
-    _run(stream, step, f"{workdir}/checkpoint", "append", trigger)
-    return out.all_versions().select("batch_id", "rows")
+    _run(stream, step, f"{workdir}/checkpoint", trigger=trigger)
+    return out.rows().where(F.col("rows") > 0).select("batch_id", "rows")
 
 
 def stop_after_items(query, n: int, poll_seconds: float = 0.05,
                      timeout_seconds: float = 600.0) -> int:
     """Stop ``query`` once at least n input rows went through.
 
-    Polls ``lastProgress`` from the calling thread (stopping from inside the
-    batch function could deadlock). Returns the rows seen.
+    Polls the query's progress from the calling thread (stopping from inside the
+    batch function could deadlock). Returns the rows seen. A query that fails,
+    ends early or does not get there in time is stopped and raises.
     """
-    seen = 0
-    last_batch = -1
-    start = time.time()
-    while query.isActive:
+    seen, last_batch, start = 0, -1, time.time()
+    while True:
+        active = query.isActive
         for prog in query.recentProgress:
             if prog["batchId"] > last_batch:
                 seen += int(prog.get("numInputRows", 0))
                 last_batch = prog["batchId"]
-        if seen >= n or time.time() - start > timeout_seconds:
+        late = time.time() - start > timeout_seconds
+        if seen >= n or late or not active:
             break
         time.sleep(poll_seconds)
+    failed = query.exception()
     query.stop()
+    if failed is not None:
+        raise RuntimeError(f"the stream failed after {seen} rows: {failed}")
+    if seen < n:
+        raise TimeoutError(f"{seen} of {n} rows after {timeout_seconds:g} s" if late else f"the stream ended after {seen} of {n} rows")
     return seen
 
 
 def stream_until(spark: SparkSession, stream: DataFrame, n: int, workdir: str | None = None,
-                 poll_seconds: float = 0.05) -> DataFrame:
+                 poll_seconds: float = 0.05, timeout_seconds: float = 600.0) -> DataFrame:
     """S6 as a query: run with a processing-time trigger, stop after n rows.
 
     Returns ``batch_id, rows`` of the batches processed before the stop.
     """
     workdir = workdir or shared_dir(spark, "stream-until")
-    out = VersionedTable(spark, f"{workdir}/sizes", "rows long")
+    out = BatchLog(spark, f"{workdir}/sizes", "rows long")
 
     def step(df: DataFrame, batch_id: int) -> None:
         out.write(df.agg(F.count(F.lit(1)).alias("rows")), batch_id)
 
     q = (stream.writeStream.option("checkpointLocation", f"{workdir}/checkpoint")
          .foreachBatch(step).trigger(processingTime="10 milliseconds").start())
-    stop_after_items(q, n, poll_seconds)
-    return out.all_versions().select("batch_id", "rows").where(F.col("rows") > 0)
+    stop_after_items(q, n, poll_seconds, timeout_seconds)
+    return out.rows().where(F.col("rows") > 0).select("batch_id", "rows")

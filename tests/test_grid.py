@@ -1,5 +1,6 @@
 """Grid method: golden 15-point input, cell edges, properties."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,7 +172,7 @@ def test_dense_cells_match_brute_force(spark, open_rows):
         assert band == want
 
 
-def test_supercell_summary_equals_stencil_grouping(spark):
+def test_tile_summary_equals_stencil_grouping(spark):
     """class_summary (super-cells) equals grouping the 49-key stencil table,
     also with negative coordinates and dense cells."""
     import numpy as np
@@ -189,7 +190,7 @@ def test_supercell_summary_equals_stencil_grouping(spark):
             assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_supercell_occupied_cells_equal_stencil(spark):
+def test_tile_occupied_cells_equal_stencil(spark):
     import numpy as np
     rng = np.random.default_rng(5)
     xy = np.vstack([rng.normal(-1.0, 0.2, size=(300, 2)), rng.uniform(-5, 5, size=(300, 2))])
@@ -198,3 +199,39 @@ def test_supercell_occupied_cells_equal_stencil(spark):
     want = grid.classify_cells(pts, 0.4, 3, include_empty=True).where(F.col("n") > 0)
     got = grid.classify_cells(pts, 0.4, 3, include_empty=False)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_two_dense_spots_one_distance_apart(spark):
+    """Spots whose points are all near the others' circle, cut down level by level."""
+    rng = np.random.default_rng(8)
+    n, D = 700, 1.0
+    xy = np.vstack([rng.normal(0, 0.02, (n, 2)), rng.normal(0, 0.02, (n, 2)) + [D, 0], rng.uniform(-2, 3, (100, 2))])
+    pts = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(xy)], "id long, x double, y double")
+    d = np.sqrt((xy[:, None, 0] - xy[None, :, 0]) ** 2 + (xy[:, None, 1] - xy[None, :, 1]) ** 2)
+    balls = (d < D).sum(1)
+    got = {r.id: r.ball for r in exact.ball_counts(pts, D, open_rows=8).collect()}
+    assert got == {k: int(b) for k, b in enumerate(balls)}
+    for M in (3, 900):
+        out = {r.id: r.ball for r in exact.exact_outliers_band(pts, D, M, open_rows=8).collect()}
+        assert out == {k: int(b) for k, b in enumerate(balls) if b <= M}
+
+
+def test_closer_than_cells_can_split(spark):
+    """Locations that differ only in their last bits end as listed ones."""
+    xs = [1.0]
+    for _ in range(30):
+        xs.append(float(np.nextafter(xs[-1], 2.0)))
+    pts = spark.createDataFrame([(k, x, 1.0) for k, x in enumerate(xs)], "id long, x double, y double")
+    assert {r.ball for r in exact.ball_counts(pts, 1.0, open_rows=2).collect()} == {31}
+
+
+def test_classes_in_all_tiles(spark):
+    """Cells on both sides of tile bounds, negative ones too, and one cell per tile."""
+    pts = [(k, 0.17678 + i * 0.35355, 0.17678 + j * 0.35355)
+           for k, (i, j) in enumerate([(i, j) for i in range(-20, 20, 3) for j in range(-20, 20, 5)] + [(500, 500), (-500, 3)])]
+    df = spark.createDataFrame(pts + [(10_000 + k, x, y) for k, x, y in pts[:40]], "id long, x double, y double")
+    whole = grid.classify_cells(df, 1.0, 3)
+    exp = {r["class"]: (r.cells, r.points) for r in whole.groupBy("class").agg(F.count("*").alias("cells"), F.sum("n").alias("points")).collect()}
+    assert exp == {r["class"]: (r.cells, r.points) for r in grid.class_summary(df, 1.0, 3).collect()}
+    cells = lambda d: sorted(tuple(r) for r in d.collect())
+    assert cells(whole.where("n > 0")) == cells(grid.classify_cells(df, 1.0, 3, include_empty=False))

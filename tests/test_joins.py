@@ -1,9 +1,11 @@
-"""The shuffle-join branch of ``join_bounded`` (taken above the broadcast
-bound, i.e. at scale) gives the same answers as the broadcast branch."""
+"""Broadcast and shuffle joins (AQE's choice, by measured size) give the same answers,
+and no query leaves a cached table behind."""
 
 import numpy as np
+import pytest
 
-from ouzel.operators import exact, frequent, joins
+from ouzel.operators import exact, frequent
+from ouzel.plans.registry import QUERIES
 from ouzel.sources.points import items_from_events
 
 SF = "/root/testdata/sf0.01"
@@ -17,7 +19,7 @@ def _dense(spark):
                                  "id long, x double, y double")
 
 
-def test_shuffle_branch_same_answers(spark, monkeypatch):
+def test_shuffle_joins_give_the_same_answers(spark):
     pts = _dense(spark)
     ev = items_from_events(spark, SF)
     n = frequent.stream_length(ev)
@@ -30,7 +32,22 @@ def test_shuffle_branch_same_answers(spark, monkeypatch):
         return out, balls, sticky
 
     broadcast = run()
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
-    shuffled = run()
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        shuffled = run()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
     assert shuffled == broadcast
     assert len(broadcast[0]) > 0 and len(broadcast[2]) > 0
+
+
+@pytest.mark.parametrize("key", ["exact_outliers_grid", "exact_outliers_theta", "ball_counts", "sticky_sample",
+                                 "fft_iterative", "stream_sticky", "stream_frequent_report"])
+def test_no_cached_table_is_left(spark, key):
+    persistent = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before = persistent()
+    QUERIES[key](spark, "/root/testdata/sf0.001").count()
+    assert persistent() == before

@@ -1,6 +1,7 @@
 """k-center: FFT rules, radius bounds, coreset sizes."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ouzel.operators import kcenter
@@ -40,7 +41,7 @@ def test_radius_bounds(spark):
     pe = points_from_embeddings(spark, SF)
     prev = None
     for K in (2, 4, 6):
-        it = kcenter.fft_iterative(pe, K, checkpoint_every=2)
+        it = kcenter.fft_iterative(pe, K)
         r_it = kcenter.radius(pe, it).collect()[0].radius
         if prev is not None:
             assert r_it <= prev + 1e-12
@@ -49,11 +50,11 @@ def test_radius_bounds(spark):
         assert rad.collect()[0].radius <= 4 * r_it + 1e-12
 
 
-def test_iterative_checkpoint_same_centers(spark):
+def test_iterative_same_centers_however_often_distances_are_written(spark, monkeypatch):
     pe = points_from_embeddings(spark, SF)
-    a = kcenter.fft_iterative(pe, 7, checkpoint_every=2)
-    b = kcenter.fft_iterative(pe, 7, checkpoint_every=100)
-    assert a == b
+    a = kcenter.fft_iterative(pe, 7)
+    monkeypatch.setattr(kcenter, "KEEP_EVERY", 2)
+    assert a == kcenter.fft_iterative(pe, 7)
     xy = pe.orderBy("id").select("x", "y").toPandas().to_numpy()
     idx = kcenter.fft_indices(xy[:, 0], xy[:, 1], 7)
     ids = pe.orderBy("id").select("id").toPandas()["id"].to_numpy()
@@ -73,26 +74,26 @@ def test_nearest_center(spark):
     assert np.allclose(dist.loc[pts.index, "d"].to_numpy(), d.min(axis=1), rtol=0, atol=1e-15)
 
 
-def test_coreset_tree_reduction(spark):
+@pytest.mark.parametrize("limit", [1, 12, 124, 10_000])
+@pytest.mark.parametrize("seed", [None, 5])
+def test_same_answer_with_any_group_limit(spark, limit, seed):
+    """Buckets (125 rows each) and the union of coresets, in a worker or by rounds; also K above the limit."""
     pe = points_from_embeddings(spark, SF)
-    coreset = kcenter.fft_coreset(pe.withColumn("b", F.pmod("id", F.lit(16))), 5, "b")
-    centers = kcenter.collect_centers(kcenter.fft_centers(coreset, 5, coreset_rows=80,
-                                                          max_group_rows=30))
-    assert len(centers) == 5 and len({c[1] for c in centers}) == 5
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    whole = kcenter.fft_coreset(pe, 5, "b", seed)
+    split = kcenter.fft_coreset(pe, 5, "b", seed, max_group_rows=limit)
+    assert rows(whole) == rows(split)
+    assert rows(kcenter.fft_centers(whole, 5, seed)) == rows(kcenter.fft_centers(whole, 5, seed, max_group_rows=limit))
 
 
-def test_coreset_split_of_large_buckets(spark):
-    """Buckets above the group cap are split by hash, reduced back to K rows
-    per bucket; below the cap the result is the plain per-bucket FFT."""
+def test_small_and_large_buckets_together(spark):
+    pe = points_from_embeddings(spark, SF).withColumn("b", F.when(F.col("id") < 3, 0).otherwise(1))
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(kcenter.fft_coreset(pe, 5, "b")) == rows(kcenter.fft_coreset(pe, 5, "b", max_group_rows=100))
+    assert rows(kcenter.fft_coreset(pe, 5, "b")) == rows(kcenter.fft_coreset(pe, 5, "b", max_group_rows=2))
+
+
+def test_plan_does_not_grow_with_k(spark):
     pe = points_from_embeddings(spark, SF)
-    plain = sorted(tuple(r) for r in kcenter.fft_coreset(pe, 5, "b").collect())
-    same = sorted(tuple(r) for r in kcenter.fft_coreset(pe, 5, "b", max_group_rows=10_000).collect())
-    assert plain == same
-    split = kcenter.fft_coreset(pe, 5, "b", max_group_rows=12)   # 125 rows per bucket
-    sizes = {r.b: r["count"] for r in split.groupBy("b").count().collect()}
-    assert sizes == {0: 5, 1: 5, 2: 5, 3: 5}
-    centers = kcenter.collect_centers(kcenter.fft_centers(split, 5, coreset_rows=20))
-    r = kcenter.radius(pe, centers).collect()[0].radius
-    r_it = kcenter.radius(pe, kcenter.fft_iterative(pe, 5)).collect()[0].radius
-    assert len({c[1] for c in centers}) == 5
-    assert r <= 8 * r_it + 1e-12
+    plan = lambda k: kcenter.radius(pe, [(i, i, 0.0, float(i)) for i in range(k)])._jdf.queryExecution().toString()
+    assert len(plan(200)) <= len(plan(2)) + 50

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ouzel.operators import frequent
 from ouzel.sources.points import items_from_events
+from ouzel.session import shared_dir
 from ouzel.streaming import frequent_stream as fs
+from ouzel.streaming.state import StateTable, totals
 
 SF = "/root/testdata/sf0.01"
 N, PHI, EPS, DELTA, SEED = 8000, 0.015, 0.01, 0.1, 42
@@ -89,3 +91,59 @@ def test_stop_after_items(spark, four_files, tmp_path):
     sizes = fs.stream_until(spark, fs.item_stream(spark, four_files, 1), 5000, str(tmp_path / "w"))
     total = sizes.agg(F.sum("rows")).collect()[0][0]
     assert total >= 5000
+
+
+def test_stop_raises_when_the_stream_is_short(spark, four_files, tmp_path):
+    with pytest.raises(TimeoutError, match="10000 of 20000"):
+        fs.stream_until(spark, fs.item_stream(spark, four_files), 20_000, str(tmp_path / "w"), timeout_seconds=8)
+
+
+def test_stop_raises_when_a_batch_fails(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.txt").write_text("1\n2\nthree\n")
+    bad = fs.line_stream(spark, str(src)).select(F.col("value").cast("bigint").alias("item"))
+    out = str(tmp_path / "out")
+    q = (bad.writeStream.option("checkpointLocation", str(tmp_path / "c"))
+         .foreachBatch(lambda df, k: df.write.mode("overwrite").parquet(out)).start())
+    with pytest.raises(RuntimeError, match="failed"):
+        fs.stop_after_items(q, 3, timeout_seconds=60)
+
+
+def test_lines_in_one_pass_with_a_restart(spark, batch, tmp_path):
+    """Bare numbers, numbered as they arrive over two runs, give the batch report."""
+    src, work = tmp_path / "src", str(tmp_path / "w")
+    src.mkdir()
+    items = [r.item for r in batch.orderBy("seq").collect()]
+
+    def run(k):
+        (src / f"part{k}.txt").write_text("".join(f"{i}\n" for i in items[k * 2500:(k + 1) * 2500]))
+        time.sleep(1.1)
+        return fs.stream_frequent_report(spark, fs.line_stream(spark, str(src), 1), len(items), PHI, EPS, DELTA, SEED, work)
+
+    for k in range(4):
+        got = run(k)
+    exp = frequent.frequent_report(batch, len(items), PHI, EPS, DELTA, SEED)
+    rows = lambda df: sorted((tuple(r) for r in df.select("item", "exact_count", "in_sample", "sticky_count", "is_true").collect()), key=str)
+    assert rows(got) == rows(exp)
+
+
+def test_state_keeps_a_bounded_number_of_versions(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "s"), "item long, count long", totals("item", count="sum"), every=3)
+    most = 0
+    for k in range(20):
+        change = spark.createDataFrame([(k % 4, 1)], "item long, count long")
+        state.write(change, k)
+        if k % 5 == 0:
+            state.write(change, k)   # a batch that is replayed
+        most = max(most, state.versions())
+        assert as_dict(state.before(k + 1), "item", "count") == {i: len(range(i, k + 1, 4)) for i in range(4) if i <= k}
+    assert most <= 2 + 2 * 3
+
+
+def test_no_folder_without_a_setting_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    cluster = N(conf=N(get=lambda *a: None), sparkContext=N(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(cluster, "x")
