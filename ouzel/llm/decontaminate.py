@@ -189,8 +189,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, min_cover
     def judge(raw: bytes) -> dict:
         words, found, spans = words_of(raw), set(), []
         for a in shared:
-            a.value.hits(words, found, spans)
-        spans = merged(spans) if len(shared) > 1 else spans
+            own_spans: list[list[int]] = []
+            a.value.hits(words, found, own_spans)
+            spans += own_spans
+        spans = merged(spans)
         n_hit = sum(e - s for s, e in spans)
         own = raw.decode()
         dirty = n_hit and n_hit / len(words) >= min_coverage
