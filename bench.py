@@ -33,6 +33,7 @@ HEADLINE = [
     "ball_counts",
     "fft_radius",             # k-center rounds 1-3
     "fft_radius_orders",      # k-center rounds 1-3 on the 150k points from orders (sf0.1)
+    "fft_radius_orders_k100", # the same with 100 centers and 16 buckets, as in the published runs
     "fft_outliers",           # clustering radius -> outliers
     "fft_iterative",
     "item_counts",
