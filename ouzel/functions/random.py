@@ -37,9 +37,3 @@ def coin(seq: Column | str, seed: int, p: float) -> Column:
     if th == "":
         return F.lit(False)
     return F.substring(draw_hex(seq, seed), 1, HEX_DIGITS) <= F.lit(th)
-
-
-def uniform(seq: Column | str, seed: int) -> Column:
-    """The draw as a double in [0, 1)."""
-    return F.conv(F.substring(draw_hex(seq, seed), 1, HEX_DIGITS), 16, 10).cast("double") / F.lit(
-        float(16 ** HEX_DIGITS))

@@ -1,7 +1,8 @@
 """Registered queries: one per operator key, each ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver tables through the standard views and runs
-over the whole table.
+over the whole table; only ``stream_prefix`` and ``stop_after_items``, whose
+feature it is, end after a part of the stream.
 """
 
 from __future__ import annotations
