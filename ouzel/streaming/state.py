@@ -70,7 +70,9 @@ class StateTable:
         changes.write.mode("overwrite").parquet(self._folder("changes", batch_id))
         if (batch_id + 1) % self.every:
             return
-        self.before(batch_id + 1).write.mode("overwrite").parquet(self._folder("full", batch_id))
+        own = self.spark.read.schema(self.schema).parquet(self._folder("changes", batch_id))
+        whole = self.merge(self.before(batch_id).unionByName(own))   # not from a full version of this batch, if it is replayed
+        whole.write.mode("overwrite").parquet(self._folder("full", batch_id))
         old = [k for k in batches_in(self.spark, f"{self.path}/full") if k < batch_id]
         for kind, keep in (("full", old[-1:]), ("changes", [])):
             for k in batches_in(self.spark, f"{self.path}/{kind}"):
