@@ -68,8 +68,9 @@ def features(raw: bytes, codes: dict[bytes, int]) -> tuple[np.ndarray, np.ndarra
     counts = Counter(words)
     if len(codes) > 300_000:
         codes.clear()
-    for w in counts.keys() - codes.keys():
-        codes[w] = zlib.crc32(w.lower()) % BUCKETS
+    for w in counts:
+        if w not in codes:
+            codes[w] = zlib.crc32(w.lower()) % BUCKETS
     stats = np.clip((np.array(statistics(raw, words, counts)) * BINS).astype(np.int64), 0, BINS - 1)
     x = np.log1p(np.fromiter(counts.values(), np.float64, len(counts)))
     x /= max(math.sqrt(float(x @ x)), 1.0)
