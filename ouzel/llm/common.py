@@ -35,12 +35,6 @@ def hash128(*cols: Column) -> list[Column]:
     return [F.xxhash64(*cols), F.xxhash64(F.lit("second"), *cols)]
 
 
-def whole_row() -> Column:
-    """All columns of the input as one struct: the operator's own columns then
-    clash with no column of the caller."""
-    return F.struct(F.col("*"))
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it if ``df`` has such a column."""
     while name.lower() in map(str.lower, df.columns):
@@ -48,14 +42,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def written(df: DataFrame, name: str, partitioned: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, and a
     lost executor costs no recomputation of what came before."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    w = df.write.mode("overwrite").option("compression", "zstd")
-    (w.partitionBy(partitioned) if partitioned else w).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = shared_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def utf8(col: pa.Array | pa.ChunkedArray) -> list[bytes]:
