@@ -53,27 +53,67 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 class Words:
     """Token ids of the white-space separated words of texts, remembered for recent words.
 
-    The tokenizer splits at white space, so the ids of a text are those of its words.
+    The tokenizer splits at white space, so the ids of a text are those of its words; it
+    lower-cases, so A-Z need not be told apart (but where a special token may be meant);
+    and marks after a letter are tokens of their own. Two generations of words are kept.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != ord("'"))   # 's and the like are tokens
+
+    def __init__(self, path: str, keep: int = 400_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
+        self.tokenizer, self.keep, self.known, self.old = Tokenizer.from_file(path), keep, {}, {}
+
+    @staticmethod
+    def of_worker(path: str) -> "Words":
+        """The Python worker's own, which it keeps for its next tasks."""
+        import tokenizers
+
+        kept = tokenizers.__dict__.setdefault("_kept_words", {})
+        if path not in kept:
+            kept[path] = Words(path)
+        return kept[path]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Remembers the ids of words."""
+        for at in range(0, len(words), 8192):
+            part = words[at:at + 8192]
+            e = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
+            ids, of = np.array(e.ids, "<u4"), np.array([-1 if w is None else w for w in e.word_ids], np.int64)
+            bounds = np.searchsorted(of, np.arange(len(part) + 1)).tolist()
+            raw = ids.tobytes()
+            self.known.update((w, raw[4 * s:4 * t]) for w, s, t in zip(part, bounds, bounds[1:]))
+
+    def _look_up(self, words: set[bytes]) -> None:
+        """Sees to it that the ids of ``words`` are known."""
+        known, old, new, marked = self.known, self.old, set(), []
+        for w in words:
+            if w in known:
+                continue
+            if (ids := old.get(w)) is not None:
+                known[w] = ids
+            elif len(stem := w.rstrip(self.MARKS)) < len(w) and stem[-1:].isalpha() and b"<|" not in w:
+                marked.append((w, stem, w[len(stem):]))
+            else:
+                new.add(w)
+        for _, stem, marks in marked:
+            for x in (stem, marks):
+                if x not in known:
+                    if x in old:
+                        known[x] = old[x]
+                    else:
+                        new.add(x)
+        self._learn(list(new))
+        for w, stem, marks in marked:
+            known[w] = known[stem] + known[marks]
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """For each text its ids and the end id, as little-endian unsigned 32-bit numbers."""
         if len(self.known) > self.keep:
-            self.known.clear()
-        split = [t.split() for t in texts]
-        new = list(set().union(*split) - self.known.keys())
-        for at in range(0, len(new), 8192):
-            words = new[at:at + 8192]
-            e = self.tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
-            ids, of = np.array(e.ids, "<u4"), np.array([-1 if w is None else w for w in e.word_ids], np.int64)
-            bounds = np.searchsorted(of, np.arange(len(words) + 1))
-            raw = ids.tobytes()
-            self.known.update((w, raw[4 * s:4 * t]) for w, s, t in zip(words, bounds[:-1].tolist(), bounds[1:].tolist()))
+            self.known, self.old = {}, self.known
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        self._look_up(set().union(*split))
         end = np.array([end_id], "<u4").tobytes()
         return [b"".join([*map(self.known.__getitem__, ws), end]) for ws in split]
 
@@ -82,10 +122,10 @@ def tokenised(docs: DataFrame, path: str, end_id: int = 2, text: str = "text", s
               id_col: str = "doc_id") -> DataFrame:
     """(part, doc_id, source, lead, n, ids): ``lead`` counts the source's tokens before, in the same task."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, lead = Words(path), TaskContext.get().partitionId(), {}
+        words, part, lead = Words.of_worker(path), TaskContext.get().partitionId(), {}
         for b in it:
-            for at in range(0, b.num_rows, 256):
-                c = b.slice(at, 256)
+            for at in range(0, b.num_rows, 1024):
+                c = b.slice(at, 1024)
                 rows = []
                 for doc_id, s, ids in zip(c.column(0).to_pylist(), c.column(1).to_pylist(), words.encode(utf8(c.column(2)), end_id)):
                     n = len(ids) // 4
