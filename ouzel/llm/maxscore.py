@@ -35,7 +35,8 @@ from pyspark.sql.window import Window
 
 from ouzel.llm.common import batch, pack, table, unpack, written
 
-SHARD, QUERY_BLOCK, POSTING_BLOCK = 8192, 1024, 2048
+SHARD, QUERY_BLOCK, POSTING_BLOCK = 16384, 1024, 4096
+PROBED = 16            # terms probed between two comparisons with the bar
 HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -65,6 +66,15 @@ def packed(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
     return dealt.groupBy("block").applyInPandas(one, "block long, dim int, ids binary, m binary"), blocks
 
 
+def added(q: np.ndarray, m: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """The sums over the postings of ``terms``, for every document of a block."""
+    if len(terms) == len(q):
+        return q @ m
+    own = np.zeros_like(q)
+    own[terms] = q[terms]
+    return own @ m
+
+
 def maxscore(q: np.ndarray, qid: int, ids: np.ndarray, postings: list[tuple], k: int) -> tuple[np.ndarray, np.ndarray]:
     """(scores, ids) of the best k of a shard, best first, ties to the smaller id.
 
@@ -82,17 +92,17 @@ def maxscore(q: np.ndarray, qid: int, ids: np.ndarray, postings: list[tuple], k:
             continue
         # non-essential: the tail whose widths together, above every term's least, stay under the bar
         width = np.append(np.cumsum((most - least)[::-1])[::-1], 0.0)
-        essential = int(np.argmax(least.sum() + width < bar)) if bar > -np.inf and least.sum() < bar else len(q)
-        live, cut = np.arange(m.shape[1]), essential
-        score = q[order[:cut]] @ m[order[:cut]]
+        cut = int(np.argmax(least.sum() + width < bar)) if least.sum() < bar else len(q)
+        score, live = added(q, m, order[:cut]), np.arange(m.shape[1])
         while True:
             keep = score + rest_most[cut] >= bar
             live, score = live[keep], score[keep]
             if cut == len(q) or not len(live):
                 break
-            until = min(len(q), cut + 8)
+            # few are left: probe their next terms; else their postings are added up like essential ones
+            until = min(len(q), cut + PROBED) if 3 * len(live) < m.shape[1] else len(q)
             terms = order[cut:until]
-            score = score + q[terms] @ m[np.ix_(terms, live)]
+            score = score + (q[terms] @ m[np.ix_(terms, live)] if until < len(q) or 3 * len(live) < m.shape[1] else added(q, m, terms)[live])
             cut = until
         found = ids[at + live]
         own = found != qid
