@@ -42,7 +42,6 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterator
 
@@ -56,10 +55,10 @@ from pyspark.sql import functions as F
 from ouzel.llm.common import fold, pack, pack_sorted, table, unpack, unpack_sorted, utf8, written
 from ouzel.session import shared_dir
 
-BLOCK = 1 << 22        # tokens of a block
-SHARD = 3 << 20        # training and held-out tokens for each restaurant shard
-PART = 1 << 21         # (block, word) entries for each word part
-HOT = 1 << 22          # tokens of a context that is split over shards
+BLOCK = 1 << 20        # tokens of a block
+SHARD = 1 << 20        # training and held-out tokens for each restaurant shard
+PART = 1 << 20         # (block, word) entries for each word part
+HOT = 1 << 20          # tokens of a context that is split over shards
 EXACT = 64             # customers of a dish whose tables are drawn exactly
 THETA, THETA0 = 1.0, 10.0
 END = b""              # no word is empty
@@ -90,6 +89,13 @@ def messages(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(c), f.type) for c, f in zip(cols, MESSAGES)], schema=MESSAGES)
 
 
+def each_row(it: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time: a batch may hold several blocks."""
+    for b in it:
+        for k in range(b.num_rows):
+            yield b.slice(k, 1).to_pylist()[0]
+
+
 # ---------------------------------------------------------------- texts to blocks
 
 class Numbered(dict):
@@ -148,13 +154,12 @@ def training(r: dict) -> np.ndarray:
 def word_counts(stored: DataFrame, parts: int, hot: int) -> tuple[DataFrame, int, int, dict[int, int]]:
     """(messages with each block's counts, N, V, {hot context: tokens})."""
     def send(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            for r in b.to_pylist():
-                words = unpack_sorted(r["words"])
-                c = np.bincount(unpack(r["tokens"], np.uint32)[training(r)], minlength=len(words))
-                cut = np.searchsorted(words, part_bounds(parts, 64))
-                yield messages([("count", 0, r["block"], p, pack_sorted(words[i:j]), pack(c[i:j].astype(np.uint32)))
-                                for p, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if j > i])
+        for r in each_row(it):
+            words = unpack_sorted(r["words"])
+            c = np.bincount(unpack(r["tokens"], np.uint32)[training(r)], minlength=len(words))
+            cut = np.searchsorted(words, part_bounds(parts, 64))
+            yield messages([("count", 0, r["block"], p, pack_sorted(words[i:j]), pack(c[i:j].astype(np.uint32)))
+                            for p, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if j > i])
 
     def meet(t: pa.Table) -> pa.Table:
         own = [unpack_sorted(x) for x in t.column("a").to_pylist()]
@@ -225,16 +230,15 @@ SHARDS = "hot long, s long, keys binary, counts binary, routes array<struct<bloc
 def shards(stored: DataFrame, n: int, hot: dict[int, int], limit: int) -> DataFrame:
     """The types of each shard, their training counts (0: held out only) and the blocks that ask for them."""
     def send(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            for r in b.to_pylist():
-                every = types_of(r, unpack_sorted(r["words"]), unpack(r["tokens"], np.uint32))
-                learned = training(r)
-                seen, c = np.unique(every[learned], return_counts=True)
-                keys = np.union1d(seen, every[~learned]) if not learned.all() else seen
-                counts = np.zeros(len(keys), np.uint32)
-                counts[np.searchsorted(keys, seen)] = c
-                for h, s, at in dealt(keys, n, hot, limit):
-                    yield messages([("types", h, s, r["block"], pack_sorted(keys[at]), pack(counts[at]))])
+        for r in each_row(it):
+            every = types_of(r, unpack_sorted(r["words"]), unpack(r["tokens"], np.uint32))
+            learned = training(r)
+            seen, c = np.unique(every[learned], return_counts=True)
+            keys = np.union1d(seen, every[~learned]) if not learned.all() else seen
+            counts = np.zeros(len(keys), np.uint32)
+            counts[np.searchsorted(keys, seen)] = c
+            for h, s, at in dealt(keys, n, hot, limit):
+                yield messages([("types", h, s, r["block"], pack_sorted(keys[at]), pack(counts[at]))])
 
     def meet(t: pa.Table) -> pa.Table:
         own = [unpack_sorted(x) for x in t.column("a").to_pylist()]
@@ -412,13 +416,12 @@ class Model:
         parts, d, seed, hot = self.parts, self.d, self.seed, self.hot
 
         def opening(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in it:
-                for r in b.to_pylist():
-                    s = Shard(r, parts)
-                    one = np.flatnonzero(s.c == 1)
-                    zero = np.flatnonzero(s.c == 0)   # their words are known to the parts too
-                    yield messages(s.ask("fixed", one, np.ones(len(one))) + s.ask("fixed", zero, None)
-                                   + s.ask("tables", s.multi, np.ones(len(s.multi))))
+            for r in each_row(it):
+                s = Shard(r, parts)
+                one = np.flatnonzero(s.c == 1)
+                zero = np.flatnonzero(s.c == 0)   # their words are known to the parts too
+                yield messages(s.ask("fixed", one, np.ones(len(one))) + s.ask("fixed", zero, None)
+                               + s.ask("tables", s.multi, np.ones(len(s.multi))))
 
         rows = self.shards.select("hot", "s", "keys", "counts")
         step = self._exchange(rows.mapInArrow(opening, MESSAGE), None, True, 0, Parent(self.vocab, 0.5))
@@ -428,16 +431,15 @@ class Model:
             parent = step["parent"]
 
             def sweep(it: Iterator[pa.RecordBatch], parent: Parent = parent, large: dict = large, number: int = number) -> Iterator[pa.RecordBatch]:
-                for b in it:
-                    for r in b.to_pylist():
-                        s, inbox = Shard(r, parts), r["inbox"] or []
-                        had = next((unpack(m["a"], np.uint32).astype(np.int64) for m in inbox if m["kind"] == "mine"), None)
-                        t = s.tables(had)
-                        others = s.by_context(t, large)[s.multi] - t[s.multi]
-                        base = parent.p(*s.answers(inbox, "parent", s.multi))
-                        rng = np.random.default_rng([seed, number, s.hot, s.s])
-                        new = Seating(d, THETA).draw(s.c[s.multi], others, base, rng)
-                        yield messages([("mine", s.hot, s.s, 0, pack(new.astype(np.uint32)), None)] + s.ask("tables", s.multi, new))
+                for r in each_row(it):
+                    s, inbox = Shard(r, parts), r["inbox"] or []
+                    had = next((unpack(m["a"], np.uint32).astype(np.int64) for m in inbox if m["kind"] == "mine"), None)
+                    t = s.tables(had)
+                    others = s.by_context(t, large)[s.multi] - t[s.multi]
+                    base = parent.p(*s.answers(inbox, "parent", s.multi))
+                    rng = np.random.default_rng([seed, number, s.hot, s.s])
+                    new = Seating(d, THETA).draw(s.c[s.multi], others, base, rng)
+                    yield messages([("mine", s.hot, s.s, 0, pack(new.astype(np.uint32)), None)] + s.ask("tables", s.multi, new))
 
             inbox = step["words"].where("kind = 'parent'")
             inbox = inbox.union(mine) if mine is not None else inbox
@@ -456,11 +458,10 @@ class Model:
         parts = self.parts
 
         def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in it:
-                for r in b.to_pylist():
-                    s = Shard(r, parts)
-                    had = next((unpack(m["a"], np.uint32).astype(np.int64) for m in r.get("inbox") or []), None)
-                    yield pa.record_batch([pa.array([s.hot - 1]), pa.array([int(s.tables(had).sum())])], names=["u", "n"])
+            for r in each_row(it):
+                s = Shard(r, parts)
+                had = next((unpack(m["a"], np.uint32).astype(np.int64) for m in r.get("inbox") or []), None)
+                yield pa.record_batch([pa.array([s.hot - 1]), pa.array([int(s.tables(had).sum())])], names=["u", "n"])
 
         own = rows.where("hot > 0")
         own = own if mine is None else with_messages(own, mine.where("hot > 0"), self.n, "hot", "s")
@@ -472,10 +473,9 @@ class Model:
         rows = self.shards.select("hot", "s", "keys", "counts", "routes")
 
         def ask(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in it:
-                for r in b.to_pylist():
-                    s = Shard(r, parts)
-                    yield messages(s.ask("ask", np.arange(len(s.keys)), None))
+            for r in each_row(it):
+                s = Shard(r, parts)
+                yield messages(s.ask("ask", np.arange(len(s.keys)), None))
 
         def answer(t: pa.Table) -> pa.Table:
             rows = t.to_pylist()
@@ -498,18 +498,17 @@ class Model:
         parents, larges = [x["parent"] for x in self.sweeps], [x["hot"] for x in self.sweeps]
 
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in it:
-                for r in b.to_pylist():
-                    s = Shard(r, parts)
-                    every = np.arange(len(s.keys))
-                    seated, p = s.by_context(s.c, hot), np.zeros(len(s.keys))
-                    for i, (parent, large) in enumerate(zip(parents, larges)):
-                        t = s.tables(next(unpack(m["a"], np.uint32).astype(np.int64) for m in r["inbox"] if m["kind"] == f"mine{i}"))
-                        base = parent.p(*s.answers(r["inbox"], f"seating{i}", every))
-                        p += (np.maximum(s.c - d * t, 0.0) + (THETA + d * s.by_context(t, large)) * base) / (THETA + seated)
-                    log = np.log10(p / len(parents)).astype(np.float32)
-                    for to in r["routes"]:
-                        yield messages([("p", s.hot, s.s, to["block"], pack(log[unpack_sorted(to["places"]).astype(np.int64)]), None)])
+            for r in each_row(it):
+                s = Shard(r, parts)
+                every = np.arange(len(s.keys))
+                seated, p = s.by_context(s.c, hot), np.zeros(len(s.keys))
+                for i, (parent, large) in enumerate(zip(parents, larges)):
+                    t = s.tables(next(unpack(m["a"], np.uint32).astype(np.int64) for m in r["inbox"] if m["kind"] == f"mine{i}"))
+                    base = parent.p(*s.answers(r["inbox"], f"seating{i}", every))
+                    p += (np.maximum(s.c - d * t, 0.0) + (THETA + d * s.by_context(t, large)) * base) / (THETA + seated)
+                log = np.log10(p / len(parents)).astype(np.float32)
+                for to in r["routes"]:
+                    yield messages([("p", s.hot, s.s, to["block"], pack(log[unpack_sorted(to["places"]).astype(np.int64)]), None)])
 
         return with_messages(rows, inbox, self.n, "hot", "s").mapInArrow(run, MESSAGE)
 
@@ -538,19 +537,18 @@ def score(docs: DataFrame, held: str = "held", burn: int = 1, samples: int = 2,
                         ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            for r in b.to_pylist():
-                words, t = unpack_sorted(r["words"]), unpack(r["tokens"], np.uint32)
-                c = np.concatenate([unpack(m["a"], np.int64) for m in sorted((m for m in r["inbox"] if m["kind"] == "count"), key=lambda m: m["r"])])
-                base = np.log10((c + 0.5) / (total + 0.5 * (vocab + 1)))
-                keys, place = np.unique(types_of(r, words, t), return_inverse=True)
-                p, got = np.zeros(len(keys)), {(m["hot"], m["s"]): m["a"] for m in r["inbox"] if m["kind"] == "p"}
-                for h, s, at in dealt(keys, wide, large, hot):
-                    p[at] = unpack(got[h, s], np.float32)
-                starts = np.cumsum([0] + r["size"][:-1])
-                yield pa.record_batch([pa.array(x, f.type) for x, f in zip((
-                    r["row"], r["doc_id"], r["held"], r["size"], np.add.reduceat((c > 0)[t].astype(np.int64), starts),
-                    np.add.reduceat(base[t], starts), np.add.reduceat(p[place], starts)), schema)], schema=schema)
+        for r in each_row(it):
+            words, t = unpack_sorted(r["words"]), unpack(r["tokens"], np.uint32)
+            c = np.concatenate([unpack(m["a"], np.int64) for m in sorted((m for m in r["inbox"] if m["kind"] == "count"), key=lambda m: m["r"])])
+            base = np.log10((c + 0.5) / (total + 0.5 * (vocab + 1)))
+            keys, place = np.unique(types_of(r, words, t), return_inverse=True)
+            p, got = np.zeros(len(keys)), {(m["hot"], m["s"]): m["a"] for m in r["inbox"] if m["kind"] == "p"}
+            for h, s, at in dealt(keys, wide, large, hot):
+                p[at] = unpack(got[h, s], np.float32)
+            starts = np.cumsum([0] + r["size"][:-1])
+            yield pa.record_batch([pa.array(x, f.type) for x, f in zip((
+                r["row"], r["doc_id"], r["held"], r["size"], np.add.reduceat((c > 0)[t].astype(np.int64), starts),
+                np.add.reduceat(base[t], starts), np.add.reduceat(p[place], starts)), schema)], schema=schema)
 
     pieces = with_messages(stored.drop("n_tokens", "n_words"), inbox, n, "block").mapInArrow(run, SCORED)
     return (pieces.groupBy("row", "doc_id", "held_out")
