@@ -9,17 +9,17 @@ A window that holds its anchor ``d`` bytes from its start is "at distance d". Al
 windows of an anchor share a core, the GRAM bytes from the anchor on, and lie in
 its reach, from the first byte of the farthest window to the last byte of the
 nearest one. ``neighbours`` sorts suffixes by leading bytes, then core, then reach:
-Spark samples the splitters, deals the suffixes into ranges and sorts each bucket,
-and every suffix is compared with the one before and after it, across the
-buckets' bounds too. Then
+splitters from a sample deal the suffixes into ranges, each bucket is sorted by the
+key's words in turn, and every suffix is compared with the one before and after it,
+across the buckets' bounds too. Then
 * a suffix whose reach stands twice has all of its windows repeated;
 * one whose core stands alone has none;
 * the others, at the edges of repeated passages, go on to the next level, where
   the distances are cut into narrower ranges with longer cores, and at last into
   single distances, where core and reach are the window itself.
 One row stands in for equal reaches on the way down. No bucket needs all suffixes
-of a core at once, so a passage in a third of all documents is spread over buckets
-like any other rows.
+of a core at once (splitters go on into the row's own number), so a passage in a
+third of all documents is spread over buckets like any other rows.
 
 Strings are compared by two independent 64-bit rolling hashes (128 bits).
 
@@ -45,10 +45,7 @@ LENGTH, GRAM, STEP = 400, 200, 25     # STEP: distances in a range of the middle
 CHUNK = 1 << 20                       # bytes hashed at a time
 U = np.uint64
 KEY = ("lead", "core", "reach")
-ROW = "lead long, core long, reach long, id1 long, id2 long, pos long, near int, far int"
-ROW_ARROW = pa.schema([(n, pa.int64()) for n in ("lead", "core", "reach", "id1", "id2", "pos")]
-                      + [("near", pa.int32()), ("far", pa.int32())])
-FOUND = "kind string, id1 long, id2 long, pos long, near int, far int"
+SAMPLED = 8            # texts or contexts sampled for each splitter
 
 
 class Rolling:
@@ -131,7 +128,39 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, one: Rolling, two:
                "core": one.of(p1[at], p1[at + GRAM], at).view(np.int64), "reach": reach.view(np.int64)}
 
 
-def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
+def sort_keys(columns: list[np.ndarray]) -> np.ndarray:
+    """Rows of long columns as byte strings in the same order."""
+    x = np.stack([c.astype(np.int64).view(U) ^ U(1 << 63) for c in columns], axis=1).astype(">u8")
+    return np.ascontiguousarray(x).view(f"S{8 * len(columns)}").reshape(-1)
+
+
+def in_buckets(splitters: np.ndarray | None, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """The rows with the bucket that their key, and the row's own first number after it, falls in."""
+    by = list(columns.values())[:len(KEY) + 1]
+    bucket = np.zeros(len(by[0]), np.int64) if splitters is None else np.searchsorted(splitters, sort_keys(by), side="right")
+    return pa.record_batch([*(pa.array(np.ascontiguousarray(c, np.int64)) for c in columns.values()), pa.array(bucket.astype(np.int32))],
+                           names=[*columns, "bucket"])
+
+
+def row_type(*own: str) -> str:
+    return ", ".join(f"{c} long" for c in (*KEY, *own)) + ", bucket int"
+
+
+def sampled_splitters(make, source: DataFrame, n: int) -> np.ndarray | None:
+    """n - 1 splitters of the suffixes ``make(rows)`` of ``source``, from about ``SAMPLED`` * n of its rows."""
+    total = source.count()
+    rows = make(source.sample(min(1.0, SAMPLED * n / max(total, 1)), 11))
+    got = rows.select(*rows.columns[:len(KEY) + 1]).collect()
+    if not got or n < 2:
+        return None
+    keys = np.sort(sort_keys(list(np.array(got, np.int64).T)))
+    return keys[np.linspace(0, len(keys) - 1, n + 1).astype(int)[1:-1]]
+
+
+ANCHOR = ("id1", "id2", "pos", "near", "far")
+
+
+def anchor_rows(docs: DataFrame, length: int, splitters: np.ndarray | None = None) -> DataFrame:
     """A row for every anchor of (id1, id2, text)."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Rolling(1, CHUNK + 2 * length), Rolling(2, CHUNK + 2 * length)
@@ -143,11 +172,11 @@ def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
                 ends = np.cumsum([len(t) for t in texts])
                 ids = [part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
                 for a in anchors(data, ends, length, one, two):
-                    yield pa.record_batch([pa.array(x) for x in (
-                        a["lead"], a["core"], a["reach"], ids[0][a["text"]], ids[1][a["text"]], a["pos"].astype(np.int64),
-                        a["near"].astype(np.int32), a["far"].astype(np.int32))], schema=ROW_ARROW)
+                    text = a.pop("text")
+                    yield in_buckets(splitters, {c: a[c] for c in KEY} | {"id1": ids[0][text], "id2": ids[1][text]}
+                                     | {c: a[c] for c in ("pos", "near", "far")})
 
-    return docs.mapInArrow(run, ROW)
+    return docs.select("id1", "id2", "text").mapInArrow(run, row_type(*ANCHOR))
 
 
 def verdicts(key: np.ndarray, before: np.ndarray, after: np.ndarray, has_before, has_after) -> tuple:
@@ -158,11 +187,15 @@ def verdicts(key: np.ndarray, before: np.ndarray, after: np.ndarray, has_before,
     return same_b | same_a, (core_b & ~same_b) | (core_a & ~same_a)
 
 
-def neighbours(rows: DataFrame) -> DataFrame:
-    """(kind, id1, id2, pos, near, far) in suffix order: ``all`` windows repeated, or ``on`` to the next level."""
-    spark = rows.sparkSession
-    schema = pa.schema([("kind", pa.string()), *list(ROW_ARROW)[3:], ("part", pa.int64()),
-                        *[(f"{c}{k}", pa.int64()) for k in range(3) for c in KEY]])
+def neighbours(make, source: DataFrame) -> DataFrame:
+    """(kind, the rows' own columns) of the suffixes ``make(source, splitters)``, in suffix order:
+    ``all`` windows repeated, or ``on`` to the next level."""
+    spark = source.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = make(source, sampled_splitters(make, source, n))
+    own = [c for c in rows.columns if c not in (*KEY, "bucket")]
+    sides = [f"{c}{k}" for k in range(3) for c in KEY]
+    schema = pa.schema([("kind", pa.string()), *((c, pa.int64()) for c in (*own, "part", *sides))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, bordered = TaskContext.get().partitionId(), None, False
@@ -185,28 +218,26 @@ def neighbours(rows: DataFrame) -> DataFrame:
             for kind, mask in (("all", every & ~edge), ("on", on & ~edge), ("border", edge)):
                 at = np.flatnonzero(mask)
                 if len(at):
-                    side = [(has_b, before), (None, key), (has_a, after)]
                     cols = [pa.array(np.ascontiguousarray(v[at, c]), mask=None if has is None else ~has[at])
-                            if kind == "border" else pa.nulls(len(at), pa.int64()) for has, v in side for c in range(3)]
-                    own = b.take(pa.array(at))
-                    yield pa.record_batch([pa.array([kind] * len(at)), *own.columns[3:], pa.array(np.full(len(at), part)), *cols],
-                                          schema=schema)
+                            if kind == "border" else pa.nulls(len(at), pa.int64())
+                            for has, v in ((has_b, before), (None, key), (has_a, after)) for c in range(3)]
+                    yield pa.record_batch([pa.array([kind] * len(at)), *b.take(pa.array(at)).columns[3:3 + len(own)],
+                                           pa.array(np.full(len(at), part)), *cols], schema=schema)
 
         before = np.zeros((0, 3), np.int64)
         for b in it:
             if not b.num_rows:
                 continue
-            own = np.stack([b.column(i).to_numpy() for i in range(3)], axis=1)
+            keys = np.stack([b.column(i).to_numpy() for i in range(3)], axis=1)
             if held is not None:
-                yield from out(held[0], np.concatenate([before, held[1], own[:1]]), False)
+                yield from out(held[0], np.concatenate([before, held[1], keys[:1]]), False)
                 before = held[1][-1:]
-            held = (b, own)
+            held = (b, keys)
         if held is not None:
             yield from out(held[0], np.concatenate([before, held[1]]), True)
 
-    order = [*KEY, "id1", "id2", "pos"]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ddl = FOUND + ", part long" + "".join(f", {c}{k} long" for k in range(3) for c in KEY)
+    dealt = rows.repartitionById(n, F.col("bucket")).sortWithinPartitions(*KEY)
+    ddl = "kind string, " + ", ".join(f"{c} long" for c in (*own, "part", *sides))
     found = written(dealt.mapInArrow(run, ddl), "suffix-neighbours")
     # two rows a bucket: the neighbours they lack are the borders of the next buckets that have rows
     borders = found.where("kind = 'border'").collect()
@@ -218,9 +249,10 @@ def neighbours(rows: DataFrame) -> DataFrame:
         after = cols(r, 2) if r.lead2 is not None else cols(borders[i + 1], 1) if i + 1 < len(borders) else None
         as_array = lambda x: np.array([x or (0, 0, 0)], np.int64)
         every, on = verdicts(as_array(cols(r, 1)), as_array(before), as_array(after), before is not None, after is not None)
-        settled += [(k, r.id1, r.id2, r.pos, r.near, r.far) for k, yes in (("all", every[0]), ("on", on[0])) if yes]
-    names = [x.split()[0] for x in FOUND.split(", ")]
-    return found.where("kind <> 'border'").select(*names).union(spark.createDataFrame(settled, FOUND))
+        settled += [(k, *(r[c] for c in own)) for k, yes in (("all", every[0]), ("on", on[0])) if yes]
+    names = ["kind", *own]
+    return (found.where("kind <> 'border'").select(*names)
+            .union(spark.createDataFrame(settled, "kind string, " + ", ".join(f"{c} long" for c in own))))
 
 
 def compressed(docs: DataFrame) -> DataFrame:
@@ -244,7 +276,7 @@ CONTEXT = "id1 long, id2 long, pos long, left int, context binary"
 
 
 def contexts(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """(id1, id2, pos, left, context): the reach of each place, ``left`` bytes of it before the anchor."""
+    """(place, id1, id2, pos, left, context): the reach of each anchor, ``left`` bytes of it before the anchor."""
     schema = pa.schema([("id1", pa.int64()), ("id2", pa.int64()), ("pos", pa.int64()), ("left", pa.int32()), ("context", pa.binary())])
     by_doc = places.groupBy("id1", "id2").agg(F.collect_set("pos").alias("at"))   # at most a text's anchors
 
@@ -258,11 +290,15 @@ def contexts(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
                         rows.append((id1, id2, p, p - start, t[start:p + length]))
                 yield batch(rows, schema)
 
-    return docs.join(by_doc, ["id1", "id2"]).select("id1", "id2", "at", "z").mapInArrow(run, CONTEXT)
+    cut = docs.join(by_doc, ["id1", "id2"]).select("id1", "id2", "at", "z").mapInArrow(run, CONTEXT)
+    return cut.withColumn("place", F.monotonically_increasing_id())   # as written
+
+
+RANGE = ("place", "near", "far")
 
 
-def narrower(places: DataFrame, length: int, step: int) -> DataFrame:
-    """Rows for ranges of ``step`` distances of each context (id1, id2, pos, left, context, near, far)."""
+def narrower(places: DataFrame, length: int, step: int, splitters: np.ndarray | None = None) -> DataFrame:
+    """Rows for ranges of ``step`` distances of each context (place, left, context, near, far)."""
     width = length - GRAM    # the anchor's column
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,52 +306,74 @@ def narrower(places: DataFrame, length: int, step: int) -> DataFrame:
         for b in it:
             for k in range(0, b.num_rows, 512):
                 p = b.slice(k, 512)
-                ids = [p.column(i).to_numpy() for i in range(3)]
-                left, raw = p.column(3).to_numpy().astype(np.int64), p.column(4).to_pylist()
-                near, far = (p.column(i).to_numpy().astype(np.int64) for i in (5, 6))
+                place, left, near, far = (p.column(i).to_numpy().astype(np.int64) for i in (0, 1, 3, 4))
+                raw = p.column(2).to_pylist()
                 s = np.zeros((len(raw), width + length), np.uint8)
                 for i, (x, t) in enumerate(zip(left.tolist(), raw)):
                     s[i, width - x:width - x + len(t)] = np.frombuffer(t, np.uint8)
                 right = np.array([len(t) for t in raw]) - left
+                low, high = np.maximum(near, length - right), np.minimum(far, left)
+                count = np.maximum(high // step - low // step + 1, 0)     # ranges of each context
+                i = np.repeat(np.arange(len(raw)), count)
+                if not len(i):
+                    continue
+                nth = np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+                d0 = (low[i] // step + nth) * step
+                d1 = np.minimum(d0 + step - 1, width)
+                lo, hi = np.maximum(d0, low[i]), np.minimum(d1, high[i])
                 p1, p2 = one.prefix(s), two.prefix(s)
-                for d0 in range(0, width + 1, step):
-                    d1 = min(d0 + step - 1, width)
-                    lo, hi = np.maximum.reduce([np.full(len(raw), d0), near, length - right]), np.minimum.reduce([np.full(len(raw), d1), far, left])
-                    i = np.flatnonzero(lo <= hi)
-                    if not len(i):
-                        continue
-                    c0, c1, r0, r1 = width - d0, width + length - d1, width - hi[i], width + length - lo[i]
-                    core = salted(one.of(p1[i, c0], p1[i, c1], c0), d0)
-                    reach = salted(two.of(p2[i, r0], p2[i, r1], r0), hi[i] * (length + 1) + lo[i])
-                    flat = s[i].reshape(-1)
-                    lead = leading(flat, np.arange(len(i)) * s.shape[1] + c0)
-                    yield pa.record_batch([pa.array(x) for x in (
-                        lead, core.view(np.int64), reach.view(np.int64), *(x[i] for x in ids), lo[i].astype(np.int32), hi[i].astype(np.int32))],
-                        schema=ROW_ARROW)
-
-    return places.select("id1", "id2", "pos", "left", "context", "near", "far").mapInArrow(run, ROW)
+                c0, c1, r0, r1 = width - d0, width + length - d1, width - hi, width + length - lo
+                core = salted(one.of(p1[i, c0], p1[i, c1], c0), d0).view(np.int64)
+                reach = salted(two.of(p2[i, r0], p2[i, r1], r0), hi * (length + 1) + lo).view(np.int64)
+                yield in_buckets(splitters, {"lead": core, "core": core, "reach": reach, "place": place[i], "near": lo, "far": hi})
+
+    return places.select("place", "left", "context", "near", "far").mapInArrow(run, row_type(*RANGE))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(id1, id2, start, end): byte ranges, possibly overlapping, covered by repeated strings of (id1, id2, doc_id, text)."""
+    """(id1, id2, pos, near, far, mask): the windows of (id1, id2, doc_id, text) that are repeated, as the distances
+    near .. far from the anchor at ``pos``; with a mask, near + b for each of its bits b."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
-    found = [neighbours(anchor_rows(docs.select("id1", "id2", "text"), length))]
-    edges = found[0].where("kind = 'on'").select("id1", "id2", "pos", "near", "far").distinct()
+    top = neighbours(lambda rows, splitters=None: anchor_rows(rows, length, splitters), docs)
+    edges = top.where("kind = 'on'").select("id1", "id2", "pos")
     around = written(contexts(compressed(docs), edges, length), "suffix-contexts")
-    for step in (STEP, 1):
-        places = around.join(edges, ["id1", "id2", "pos"])
-        found.append(neighbours(narrower(places, length, step)))
-        edges = found[-1].where("kind = 'on'").select("id1", "id2", "pos", "near", "far").distinct()
-    spans = None
-    for f in found:
-        s = f.where("kind = 'all'").select("id1", "id2", (F.col("pos") - F.col("far")).alias("start"),
-                                           (F.col("pos") - F.col("near") + length).alias("end"))
-        spans = s if spans is None else spans.union(s)
-    return spans
-
-
-RESULT = "n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, kept binary"
+    whole = around.withColumns({"near": F.lit(0), "far": F.lit(length - GRAM)})
+    ranges = neighbours(lambda rows, splitters=None: narrower(rows, length, STEP, splitters), whole)
+    straddling = ranges.where("kind = 'on'").select(*RANGE).distinct()
+    single = neighbours(lambda rows, splitters=None: narrower(rows, length, 1, splitters),
+                        written(around.select("place", "left", "context").join(straddling, "place"), "suffix-straddling"))
+    own = around.select("place", "id1", "id2", "pos")
+    bit = F.col("near") % 60
+    masks = (single.where("kind = 'all'").groupBy("place", (F.col("near") - bit).alias("near"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(near % 60 as int))")).alias("mask")))
+    below = (ranges.where("kind = 'all'").select("place", "near", "far", F.lit(None).cast("long").alias("mask"))
+             .union(masks.select("place", "near", F.lit(None).cast("long"), "mask")))
+    return (top.where("kind = 'all'").select("id1", "id2", "pos", "near", "far", F.lit(None).cast("long").alias("mask"))
+            .union(below.join(own, "place").select("id1", "id2", "pos", "near", "far", "mask")))
+
+
+def byte_spans(found: pa.ListArray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the merged byte ranges covered by repeated windows of a batch of texts."""
+    size = found.value_lengths().fill_null(0).to_numpy()
+    text, rows = np.repeat(np.arange(len(size)), size), found.flatten()
+    pos, near, far, mask = (rows.field(c).fill_null(-1).to_numpy() if c in ("far", "mask") else rows.field(c).to_numpy()
+                            for c in ("pos", "near", "far", "mask"))
+    whole = mask == -1                           # a mask has at most 60 bits, so none is -1
+    one, bit = np.nonzero(mask[~whole][:, None] >> np.arange(60) & 1)
+    single = (pos - near)[~whole][one] - bit
+    text = np.concatenate([text[whole], text[~whole][one]])
+    start = np.concatenate([(pos - far)[whole], single])
+    end = np.concatenate([(pos - near)[whole], single]) + length
+    if not len(text):
+        return text, start, end
+    order = np.lexsort((start, text))
+    text, start, end = text[order], start[order], end[order]
+    shift = text * (int(end.max()) + 1)          # a text's ranges lie behind those of the texts before
+    reach = np.maximum.accumulate(end + shift)
+    new = np.concatenate([[True], (start + shift)[1:] > reach[:-1]])
+    last = np.append(np.flatnonzero(new)[1:] - 1, len(text) - 1)
+    return text[new], start[new], (reach - shift)[last]
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", id_col: str = "doc_id",
@@ -324,32 +382,28 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", id
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = own.select(*[h.alias(f"id{i + 1}") for i, h in enumerate(hash128(F.col("doc_id"), F.col("text")))], "doc_id", "text")
     spans = (repeated_spans(keyed, length)
-             .groupBy("id1", "id2").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")))
+             .groupBy("id1", "id2").agg(F.collect_list(F.struct("pos", "near", "far", "mask")).alias("found")))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", span),
                         ("kept", pa.binary()), ("kept_sha256", pa.string())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            for k in range(0, b.num_rows, 256):
-                part, rows = b.slice(k, 256), []
-                for doc_id, found, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), inflated(part.column(2))):
-                    merged: list[dict] = []
-                    for s in found or ():
-                        if merged and s["start"] <= merged[-1]["end"]:
-                            merged[-1]["end"] = max(merged[-1]["end"], s["end"])
-                        else:
-                            merged.append(s)
-                    at, kept = 0, []
-                    for s in merged:
-                        kept.append(t[at:s["start"]])
-                        at = s["end"]
-                    kept = b"".join([*kept, t[at:]])
-                    rows.append((doc_id, len(t), len(t) - len(kept), merged, kept if with_kept else None,
-                                 hashlib.sha256(kept).hexdigest()))
+            for k in range(0, b.num_rows, 1024):
+                part, rows = b.slice(k, 1024), []
+                text, start, end = (x.tolist() for x in byte_spans(part.column(1), length))
+                i = 0
+                for d, (doc_id, t) in enumerate(zip(part.column(0).to_pylist(), inflated(part.column(2)))):
+                    at, kept, own = 0, [], []
+                    while i < len(text) and text[i] == d:
+                        kept.append(t[at:start[i]])
+                        own.append({"start": start[i], "end": end[i]})
+                        at, i = end[i], i + 1
+                    kept = b"".join([*kept, t[at:]]) if own else t
+                    rows.append((doc_id, len(t), len(t) - len(kept), own, kept if with_kept else None, hashlib.sha256(kept).hexdigest()))
                 yield batch(rows, schema)
 
-    return (compressed(keyed).join(spans, ["id1", "id2"], "left").select("doc_id", "spans", "z")
+    return (compressed(keyed).join(spans, ["id1", "id2"], "left").select("doc_id", "found", "z")
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: bigint, end: bigint>>, "
                              "kept binary, kept_sha256 string"))
 
