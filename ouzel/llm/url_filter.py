@@ -3,7 +3,9 @@
 Tokens of a URL are its host labels, path words and query keys. Labelled URLs
 become transactions with one more item, ``=bad``; Spark's FP-growth mines them,
 and the rules {tokens} -> {=bad} that pass the support and confidence limits are
-kept, less those that contain a shorter kept rule. The index lists a rule under
+kept, less those that contain a shorter kept rule. Support is a share and at least
+``MIN_COUNT`` bad rows, and the lower Wilson bound (``Z``) of a rule's confidence has
+to be above the share of bad rows, at any input size. The index lists a rule under
 its rarest token only; a URL meets the rules of its tokens in a join, and a rule
 holds if none of its tokens is missing. The caller's own allow and block rules
 (host suffix and path prefix, the longest wins) are looked up the same way, by
@@ -20,6 +22,8 @@ there are no mined rules; other columns are passed through.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +31,8 @@ from pyspark.sql import functions as F
 from ouzel.llm.common import lower_ascii, table
 
 BAD = "=bad"
+MIN_COUNT = 10   # bad rows behind a rule
+Z = 3.0          # standard errors between a rule's confidence and the base rate
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -52,17 +58,29 @@ def lower_ascii_all(words: Column) -> Column:
     return F.transform(words, lower_ascii)
 
 
-def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, partitions: int) -> DataFrame:
+def wilson_low(hits: Column, n: Column, z: float) -> Column:
+    """Lower Wilson bound of the share hits / n."""
+    p, zz = hits / n, z * z
+    return (p + zz / (2 * n) - z * F.sqrt(p * (1 - p) / n + zz / (4 * n * n))) / (1 + zz / n)
+
+
+def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, partitions: int,
+               min_count: int = MIN_COUNT, z: float = Z) -> DataFrame:
     """(rule_id, antecedent, confidence, support) from rows (tokens, bad boolean)."""
     spark = labelled.sparkSession
     items = labelled.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD))))
                             .otherwise(F.col("tokens")).alias("items"))
     empty = spark.createDataFrame([], "rule_id long, antecedent array<string>, confidence double, support double")
-    if items.isEmpty():
+    total, bad = labelled.agg(F.count("*"), F.count_if("bad")).first()
+    least = max(math.ceil(min_support * total), min_count)
+    if bad < least:
         return empty
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence,
+    # FP-growth rounds minSupport * total up: half a row less gives ``least`` itself
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total, minConfidence=min_confidence,
                      numPartitions=partitions).fit(items)
+    hits = F.round(F.col("support") * total)
     rules = (model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
+             .where(wilson_low(hits, F.round(hits / F.col("confidence")), z) > bad / total)
              .select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
              .withColumn("rule_id", F.xxhash64("antecedent")))
     # a rule goes if one of its proper, shorter subsets is a rule: looked up by dropping one token at a time
@@ -98,11 +116,13 @@ def fitting_rule(keys: DataFrame, rules: DataFrame, max_labels: int) -> DataFram
 
 
 def filter_urls(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str]], url: str = "url",
-                min_support: float = 0.002, min_confidence: float = 0.6, out: str = "url_filter") -> DataFrame:
+                min_support: float = 0.002, min_confidence: float = 0.6, out: str = "url_filter",
+                min_count: int = MIN_COUNT, z: float = Z) -> DataFrame:
     """``pages`` with a struct column ``out`` (host, path, rule, verdict, mined), in place of one of that name.
 
     ``labelled``: rows (url, bad boolean). ``rules``: (action, host, path prefix).
     ``mined`` says whether a mined rule fits, also where the caller's rule decides.
+    ``min_count``, ``z``: the least number of bad rows of a mined rule, and its distance from the base rate.
     """
     spark, pages = pages.sparkSession, pages.drop(out)
     host, path, query = url_parts(F.col(url))
@@ -113,7 +133,7 @@ def filter_urls(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, st
     known = labelled.where(F.col("bad").isNotNull()).select(F.struct(*[
         c.alias(n) for c, n in zip(url_parts(F.col("url")), ("host", "path", "query"))]).alias("key"), "bad")
     mined = mine_rules(known.select(tokens.alias("tokens"), "bad"), min_support, min_confidence,
-                       int(spark.conf.get("spark.sql.shuffle.partitions")))
+                       int(spark.conf.get("spark.sql.shuffle.partitions")), min_count, z)
     own = spark.createDataFrame([(h, p, a) for a, h, p in rules],
                                 "rule_host string, rule_path string, action string")
     most = max((h.count(".") + 1 for _, h, _ in rules), default=1)
@@ -132,7 +152,10 @@ def filter_urls(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, st
 
 
 def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(url, bad): a page is labelled by the row of ``labels`` with its id; bad is low quality."""
+    """(url, bad): a page is labelled by the row of ``labels`` with its id; bad is low quality.
+
+    ``labels`` covers documents and no table ties a document to a page: the ids are all there is.
+    """
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
     return table(spark, sf_dir, "pages").select("page_id", "url").join(labels, "page_id").select("url", "bad")
 

@@ -56,6 +56,22 @@ def test_mined_rules_against_counting(spark):
         assert r.url_filter.mined == mined and r.url_filter.verdict == ("block" if mined else "allow")
 
 
+def test_rules_need_a_count_and_to_beat_the_base_rate(spark):
+    """Equal shares of bad rows at two sizes: chance never makes a rule, a real one needs ten bad rows."""
+    def mined(urls, **limits):
+        labelled = spark.createDataFrame(urls, "url string, bad boolean")
+        rows = U.filter_urls(pages(spark, sorted({u for u, _ in urls})), labelled, [], **limits).collect()
+        return {r.url for r in rows if r.url_filter.mined}
+
+    for n in (4, 20):
+        noise = [(f"http://a{i}.net/w{i}", i % 7 == 0) for i in range(50 * n)]             # a token each, a seventh bad
+        spam = [(f"http://spam.org/s{i}", True) for i in range(n)]
+        assert mined(noise + spam) == ({u for u, _ in spam} if n >= 10 else set())
+    # three quarters are bad everywhere: 0.6 alone would block every page
+    common = [(f"http://h{i % 3}.net/x{i // 4 % 2}", i % 4 > 0) for i in range(240)]
+    assert mined(common) == set()
+
+
 def test_no_python_on_the_way(spark):
     plan = U.filter_urls(pages(spark, ["http://a.b/c"]), none(spark), RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
