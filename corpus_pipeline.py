@@ -5,9 +5,9 @@ decontamination -> packing. Each stage takes all that the one before kept; all
 but the last return the columns of ``documents``.
 
 Defined results: null text is judged as empty and is empty after line dedup;
-``n_chars``, if there, follows the text; repeated rows that stay are one row
-after near-dedup; rows without doc_id can't be named as copies and stay; an empty
-table gives an empty table.
+``n_chars``, if there, follows the text; near-dedup keeps one row of each group of
+near copies, also where rows repeat, share a doc_id or have none (these come last);
+an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ouzel.llm.common import free_name, table, written
+from ouzel.llm.common import free_name, hash128, table, written
 from ouzel.llm.decontaminate import benchmark_items, decontaminate, is_contaminated
 from ouzel.llm.line_dedup import drop_frequent_lines
 from ouzel.llm.packing import pack_documents, tokenizer_path
@@ -42,10 +42,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id."""
-    copies = (near_duplicates(docs, shingle=4, radius=4).where(F.col("doc_id") != F.col("component_id"))
-              .select("doc_id").distinct())
-    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """One row of each group of near copies: the smallest doc_id, of its rows the one with the smallest hash."""
+    pair = [F.col("doc_id").isNull(), F.col("doc_id"), F.coalesce("text", F.lit(""))]   # hashes skip nulls
+    ties = tuple(free_name(docs, n) for n in ("row_1", "row_2"))
+    named = docs.withColumns(dict(zip(ties, hash128(*pair))))
+    copies = (near_duplicates(named, shingle=4, radius=4, ties=ties)
+              .where(" or ".join(f"{t} <> component_id.{t}" for t in ties)).select(*ties).distinct())
+    return named.join(copies, list(ties), "left_anti").dropDuplicates(list(ties)).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

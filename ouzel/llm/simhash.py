@@ -51,16 +51,19 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, fp long) for every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text", id_col: str = "doc_id",
+                 ties: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp long, the long columns ``ties``) for every row."""
+    names = ("doc_id", "fp", *ties)
+    schema = pa.schema([(n, pa.int64()) for n in names])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             fp = np.array([fingerprint(t, shingle) for t in utf8(b.column(1))], np.uint64).view(np.int64)
-            yield pa.record_batch([b.column(0), pa.array(fp)], schema=schema)
+            yield pa.record_batch([b.column(0), pa.array(fp), *b.columns[2:]], schema=schema)
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, fp long")
+    return (docs.select(F.col(id_col).cast("long"), F.col(text), *[F.col(f"`{t}`") for t in ties])
+            .mapInArrow(run, ", ".join(f"`{n}` long" for n in names)))
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -152,15 +155,21 @@ def components(links: DataFrame, jumps: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, text: str = "text", id_col: str = "doc_id",
-                    block: int = BLOCK) -> DataFrame:
-    """(doc_id, fp long, component_id) for every row."""
-    prints = written(fingerprints(docs, shingle, text, id_col), "fingerprints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+                    block: int = BLOCK, ties: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp long, component_id) for every row.
+
+    ``ties``: long columns that tell rows apart by more than their doc_id. With them, a component's
+    id is the struct of its first row: those with a doc_id, the smallest doc_id, the smallest ``ties``;
+    the result has the columns ``ties`` too.
+    """
+    prints = written(fingerprints(docs, shingle, text, id_col, ties), "fingerprints")
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ties) if ties else F.col("doc_id")
+    nodes = written(prints.groupBy("fp").agg(F.min(name).alias("first")), "nodes")
     roots = components(near_links(nodes, radius, block))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     ids = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(ids, "fp").select("doc_id", "fp", "component_id", *ties)
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:

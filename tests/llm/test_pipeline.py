@@ -83,6 +83,19 @@ def test_repeated_rows_null_ids_and_odd_columns(spark, folder):
     assert C.packed(spark, docs, folder).count() > 0
 
 
+def test_near_dedup_by_row(spark, words):
+    """Rows that share a doc_id, or have none, are judged by their own text."""
+    one, two, three, four = (" ".join(words[i:i + 60]) for i in (0, 70, 140, 210))
+    rows = [(1, one), (2, one), (2, two),                     # 2's second text is no copy
+            (3, three), (3, three + " "), (3, three),         # copies under one id
+            (None, four), (None, four + "  "), (None, one)]   # and without id
+    docs = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, row_1 int")
+    got = C.dedup_near(spark, docs, "")
+    assert got.columns == docs.columns
+    left = [(r.doc_id, r.text.strip()) for r in got.collect()]
+    assert sorted(left, key=str) == sorted([(1, one), (2, two), (3, three), (None, four)], key=str)
+
+
 def test_empty_tables(spark, folder, tmp_path):
     empty = write_tables(tmp_path, *(table(spark, folder, "documents").limit(0),),
                          labels=table(spark, folder, "labels").limit(0), benchmark=table(spark, folder, "benchmark").limit(0))
