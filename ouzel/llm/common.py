@@ -94,3 +94,15 @@ def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Itera
 def batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [()] * len(schema)
     return pa.record_batch([pa.array(list(c), f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+# DuckDB has no crc32: the table of the reversed polynomial, made by its rule, and the sum over a text's bytes.
+CRC_TABLE = """crc_table AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc_of)"""
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of a text; the query needs ``CRC_TABLE`` and ``crc_table`` among its tables."""
+    return (f"xor(list_reduce(list_concat([4294967295], list_transform(range(strlen({text})), "
+            f"lambda k: ('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT)), "
+            f"lambda a, b: xor(a >> 8, crc_of[1 + (xor(a, b) & 255)])), 4294967295)")
