@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ouzel.llm import (decontaminate, language_model, line_dedup, maxscore, merkle, packing, quality, simhash, suffix_dedup, url_filter,
-                       warc)
+from ouzel.llm import (decontaminate, language_model, line_dedup, maxscore, merkle, packing, quality, resample, sharding, simhash,
+                       suffix_dedup, url_filter, warc)
 
 QUERIES = {
     "op1_language_model": language_model.op1_language_model,
@@ -16,7 +16,9 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_warc": warc.op9_warc,
     "op10_quality": quality.op10_quality,
+    "op11_sharding": sharding.op11_sharding,
     "op12_merkle": merkle.op12_merkle,
+    "op13_resample": resample.op13_resample,
 }
 
 ORACLES = {
@@ -24,4 +26,5 @@ ORACLES = {
     "op7_line_dedup": line_dedup.ORACLE,
     "op9_warc": warc.ORACLE,
     "op12_merkle": merkle.ORACLE,
+    "op13_resample": resample.ORACLE,
 }

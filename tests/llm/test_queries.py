@@ -18,7 +18,9 @@ COLUMNS = {
     "op8_decontaminate": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op9_warc": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
     "op10_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op11_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op12_merkle": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op13_resample": ["doc_id", "n_features", "weight", "score", "rank"],
 }
 
 
