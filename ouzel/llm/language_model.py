@@ -11,8 +11,8 @@ c are customers (training counts), t tables; each table sends one customer to th
 parent. The seating is sampled by Gibbs: in a sweep the tables of every dish are
 drawn given the parent's probabilities and the other tables of the restaurant,
 from p(t) ~ S_d(c, t) P(w)^t prod_{i<t} (theta + d (T + i)) with generalised
-Stirling numbers for up to ``EXACT`` customers; the customers beyond are seated in
-geometric batches with a Poisson number of new tables at the restaurant's rate.
+Stirling numbers S, from their recurrence for up to ``EXACT`` customers and from a contour
+integral (``log_sizes``) for more, so the draw is exact at any number of customers.
 The dishes of a sweep are drawn side by side, as in other distributed samplers.
 After ``burn`` sweeps the predictive probabilities of ``samples`` sweeps are averaged.
 
@@ -59,7 +59,9 @@ BLOCK = 1 << 20        # tokens of a block
 SHARD = 1 << 20        # training and held-out tokens for each restaurant shard
 PART = 1 << 20         # (block, word) entries for each word part
 HOT = 1 << 20          # tokens of a context that is split over shards
-EXACT = 64             # customers of a dish whose tables are drawn exactly
+EXACT = 64             # customers of a dish whose Stirling numbers come from their recurrence, beyond from an integral
+ANGLE, NODES = 0.6, 32 # of the integral's contour
+STEPS, CELLS = 48, 128 # tables tried one by one, and cells of wider distributions
 THETA, THETA0 = 1.0, 10.0
 END = b""              # no word is empty
 
@@ -258,8 +260,54 @@ def shards(stored: DataFrame, n: int, hot: dict[int, int], limit: int) -> DataFr
     return sent.groupBy("hot", "s").applyInArrow(meet, SHARDS)
 
 
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """log of the gamma function for x > 0, by Stirling's series from 8 on."""
+    x = np.asarray(x, float)
+    less = np.zeros_like(x)
+    while (small := x < 8).any():
+        less = np.where(small, less + np.log(np.where(small, x, 1.0)), less)
+        x = np.where(small, x + 1, x)
+    y = 1 / (x * x)
+    return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + (1 / 12 - y * (1 / 360 - y * (1 / 1260 - y / 1680))) / x - less
+
+
+def log_sizes(d: float, n: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """log of the chance that ``t`` tables have ``n`` customers together, the size k of each having the chance
+    d (1 - d) (2 - d) .. (k - 1 - d) / k!; generalised Stirling numbers are S_d(n, t) = n! / (t! d^t) times it.
+
+    It is the n-th coefficient of (1 - (1 - x)^d)^t, as a contour integral: along a hyperbola around the branch cut
+    from 1 on, through the saddle point of the integrand where that is further from 1 than 1/n, so nothing
+    cancels. ``NODES`` points give five digits or more from n = ``EXACT`` on (two next to t = n).
+    """
+    n, t = np.broadcast_arrays(np.asarray(n, float), np.asarray(t, float))
+    shape, n, t = n.shape, n.reshape(-1), t.reshape(-1)
+    low, high = np.log(1e-2 / n), np.full(len(n), np.log(1 - 1e-9))
+    for _ in range(40):                                   # the saddle, z = 1 - x on a log scale
+        mid = (low + high) / 2
+        z = np.exp(mid)
+        under = n / (1 - z) < t * d * z ** (d - 1) / (1 - z ** d)
+        low, high = np.where(under, mid, low), np.where(under, high, mid)
+    saddle = np.exp((low + high) / 2)
+    z = np.minimum(np.maximum(saddle, 1 / n), 0.999999)
+    rest = 1 - z ** d
+    slope = d * z ** (d - 1) / rest
+    bend = (n + 1) / (1 - z) ** 2 - t * (d * (d - 1) * z ** (d - 2) / rest + slope * slope)
+    scale = z / (1 - np.sin(ANGLE))
+    reach = np.arccosh((np.expm1(np.minimum(38 / n, 50.0)) + scale) / (scale * np.sin(ANGLE)))   # beyond: under 1e-16
+    narrow = 10 / np.sqrt(np.maximum(np.abs(bend), 1e-300)) / (scale * np.cos(ANGLE))
+    reach = np.where(saddle > 1 / n, np.minimum(reach, narrow), reach)
+    at = 1j * reach[:, None] * (np.arange(NODES) + 0.5) / NODES - ANGLE
+    way, step = scale[:, None] * (1 + np.sin(at)), scale[:, None] * np.cos(at)
+    top = t * np.log(rest) - (n + 1) * np.log1p(-z)
+    value = t[:, None] * np.log(1 - np.exp(d * np.log(way))) - (n + 1)[:, None] * np.log(1 - way)
+    total = (np.exp(value - top[:, None]) * step).real.sum(1) * reach / NODES / np.pi
+    out = top + np.log(np.maximum(total, 1e-300))
+    out = np.where(t == n, n * np.log(d), np.where(t > n, -np.inf, out))       # all tables have one customer
+    return out.reshape(shape)
+
+
 class Seating:
-    """Draws the number of tables of dishes in a Pitman-Yor restaurant."""
+    """Draws the number of tables of dishes in a Pitman-Yor restaurant, from its exact conditional."""
 
     def __init__(self, d: float, theta: float, exact: int = EXACT):
         self.d, self.theta, self.exact = d, theta, exact
@@ -271,11 +319,12 @@ class Seating:
                 grow = s[n - 1, 1:n + 1] + np.log(np.maximum(n - 1 - t * d, 0.0))
             s[n, 1:n + 1] = np.logaddexp(s[n - 1, :n], grow)
         self.stirling = s
+        self.sizes: dict[int, np.ndarray] = {}         # by customers: log_sizes of the tables in ``grid``
 
     def draw(self, c: np.ndarray, others: np.ndarray, base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """Tables of dishes with ``c`` >= 1 customers, ``others`` tables beside theirs, and parent's probability ``base``."""
         t = np.ones(len(c), np.int64)
-        few = np.minimum(c, self.exact)
+        few = np.minimum(c, self.exact + 1)
         order = np.argsort(few, kind="stable")
         cut = np.searchsorted(few[order], np.arange(2, self.exact + 2))
         for n, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist()), 2):
@@ -285,16 +334,51 @@ class Seating:
                 weight = self.stirling[n, 1:n + 1] + np.cumsum(np.log(new) + np.log(base[k])[:, None], axis=1)
                 t[k] = 1 + np.argmax(weight + rng.gumbel(size=weight.shape), axis=1)
         many = np.flatnonzero(c > self.exact)
-        seated = np.full(len(many), float(self.exact))
-        while len(many):
-            upto = np.minimum(c[many], np.ceil(seated * 1.25))
-            new = (self.theta + self.d * (others[many] + t[many])) * base[many]
-            rate = new * np.log((upto - self.d * t[many] + new) / (seated - self.d * t[many] + new))
-            t[many] = np.minimum(t[many] + rng.poisson(rate), upto.astype(np.int64))
-            on = upto < c[many]
-            many, seated = many[on], upto[on]
+        for at in range(0, len(many), 2048):
+            k = many[at:at + 2048]
+            t[k] = self._many(c[k], self.theta / self.d + others[k], np.log(base[k]), rng)
         return t
 
+    def _many(self, c: np.ndarray, room: np.ndarray, log_base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """The draw for many customers: p(t) ~ P(t tables have c customers) base^t gamma(room + t) / t!."""
+        def weights(sizes: np.ndarray, t: np.ndarray, some=slice(None)) -> np.ndarray:
+            return sizes + t * log_base[some, None] + log_gamma(room[some, None] + t) - log_gamma(t + 1.0)
+
+        distinct, place = np.unique(c, return_inverse=True)
+        grid = [*range(1, STEPS + 1)]
+        while grid[-1] < distinct[-1]:
+            grid.append(min(int(grid[-1] * 1.12), int(distinct[-1])))
+        grid = np.array(grid)
+        if len(self.sizes) > 20_000:
+            self.sizes.clear()
+        for n in distinct.tolist():
+            if n not in self.sizes:
+                self.sizes[n] = log_sizes(self.d, n, grid[:np.searchsorted(grid, n, side="right")])
+        sizes = np.full((len(distinct), len(grid)), -np.inf)
+        for i, n in enumerate(distinct.tolist()):
+            own = self.sizes[n][:len(grid)]
+            sizes[i, :len(own)] = own
+        w = weights(sizes[place], grid[None, :])
+        best = w.max(axis=1, keepdims=True)
+        likely = w > best - 30
+        first = np.maximum(np.argmax(likely, axis=1) - 1, 0)
+        last = np.minimum(len(grid) - np.argmax(likely[:, ::-1], axis=1), len(grid) - 1)
+        out = 1 + np.argmax(w[:, :STEPS] + rng.gumbel(size=(len(c), STEPS)), axis=1)
+        wide = np.flatnonzero(last >= STEPS)               # their tables may be more than the grid's whole steps
+        for at in range(0, len(wide), 64):
+            k = wide[at:at + 64]
+            low, high = grid[first[k]], np.minimum(grid[last[k]], c[k])
+            step = np.maximum((high - low) / (CELLS - 1), 1.0)
+            t = np.floor(low[:, None] + np.arange(CELLS) * step[:, None] + 0.5)
+            t = np.where(t <= high[:, None], t, 0)
+            sizes = log_sizes(self.d, c[k][:, None], np.maximum(t, 1))
+            w = np.where(t > 0, weights(sizes, np.maximum(t, 1), k), -np.inf)
+            got = t[np.arange(len(k)), np.argmax(w + rng.gumbel(size=w.shape), axis=1)]
+            # beyond CELLS values: one drawn evenly from the cell around the value, a small part of the deviation wide
+            got = np.where(step > 1, np.floor(got + (rng.random(len(k)) - 0.5) * step + 0.5), got)
+            out[k] = np.clip(got, 1, c[k]).astype(np.int64)
+        return out
+
 
 class Shard:
     """The types of one restaurant shard. Types with one customer have one table."""
@@ -431,6 +515,7 @@ class Model:
             parent = step["parent"]
 
             def sweep(it: Iterator[pa.RecordBatch], parent: Parent = parent, large: dict = large, number: int = number) -> Iterator[pa.RecordBatch]:
+                seating = Seating(d, THETA)
                 for r in each_row(it):
                     s, inbox = Shard(r, parts), r["inbox"] or []
                     had = next((unpack(m["a"], np.uint32).astype(np.int64) for m in inbox if m["kind"] == "mine"), None)
@@ -438,7 +523,7 @@ class Model:
                     others = s.by_context(t, large)[s.multi] - t[s.multi]
                     base = parent.p(*s.answers(inbox, "parent", s.multi))
                     rng = np.random.default_rng([seed, number, s.hot, s.s])
-                    new = Seating(d, THETA).draw(s.c[s.multi], others, base, rng)
+                    new = seating.draw(s.c[s.multi], others, base, rng)
                     yield messages([("mine", s.hot, s.s, 0, pack(new.astype(np.uint32)), None)] + s.ask("tables", s.multi, new))
 
             inbox = step["words"].where("kind = 'parent'")

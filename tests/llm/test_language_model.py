@@ -90,8 +90,58 @@ def test_tables_of_a_dish_follow_the_restaurant():
     total = sum(exp.values())
     for t in range(1, n + 1):
         assert (got == t).mean() == pytest.approx(exp[t] / total, abs=0.01)
-    many = seat.draw(np.array([1, 64, 65, 10_000, 10_000_000]), np.zeros(5), np.full(5, .01), rng)
-    assert many[0] == 1 and (many >= 1).all() and many[4] > many[3]
+
+
+def log_stirling(d, n, most):
+    """log S_d(n, t) for t = 1 .. most, by the recurrence."""
+    row, t = np.full(most + 1, -np.inf), np.arange(1, most + 1)
+    row[0] = 0.0
+    for k in range(n):
+        with np.errstate(divide="ignore"):
+            row = np.concatenate([[-np.inf], np.logaddexp(row[:-1], row[1:] + np.log(np.maximum(k - t * d, 0)))])
+    return row[1:]
+
+
+@pytest.mark.parametrize("d", [0.05, 0.5, 0.8, 0.95])
+def test_stirling_numbers_from_the_integral(d):
+    for n in (65, 700, 10_000):
+        t = np.arange(1, min(n, 400) + 1)
+        lg = np.array([math.lgamma(x + 1) for x in t])
+        got = math.lgamma(n + 1) - lg - t * math.log(d) + L.log_sizes(d, n, t)
+        off = np.abs(got - log_stirling(d, n, len(t)))
+        assert off.max() < 0.01 and off[t < 0.8 * n].max() < 1e-4
+    x = np.array([0.1, 0.9, 1.0, 2.5, 7.9, 30.0, 1e6])
+    assert np.allclose(L.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-10, atol=1e-10)
+
+
+@pytest.mark.parametrize("d,theta,n,base,others", [
+    (0.8, 1.0, 65, 0.05, 50), (0.8, 1.0, 500, 0.05, 50), (0.8, 1.0, 1500, 0.05, 50), (0.5, 1.0, 1500, 0.05, 50),
+    (0.8, 1.0, 10_000, 0.0005, 50), (0.7, 10.0, 10_000, 0.02, 9000), (0.3, 1.0, 200, 0.2, 3000), (0.9, 1.0, 4000, 0.1, 100_000)])
+def test_tables_of_frequent_dishes_follow_the_restaurant(d, theta, n, base, others):
+    """Above EXACT customers: mean, deviation and distribution against Stirling numbers by recurrence."""
+    t = np.arange(1, min(n, 4000 if others > 50_000 else 700) + 1)
+    w = log_stirling(d, n, len(t)) + np.cumsum(np.log(base) + np.log(theta + d * (others + np.arange(len(t)))))
+    p = np.exp(w - w.max())
+    p /= p.sum()
+    assert p[-1] < 1e-9 or len(t) == n
+    draws = 20_000
+    got = L.Seating(d, theta).draw(np.full(draws, n), np.full(draws, others), np.full(draws, base), np.random.default_rng(5))
+    mean = (p * t).sum()
+    sd = math.sqrt((p * (t - mean) ** 2).sum())
+    assert got.min() >= 1 and got.max() <= n
+    assert got.mean() == pytest.approx(mean, abs=5 * sd / math.sqrt(draws) + 1e-9)
+    assert got.std() == pytest.approx(sd, rel=0.04, abs=1e-6)
+    gap = np.abs(np.cumsum(np.bincount(got, minlength=len(t) + 1)[1:len(t) + 1]) / draws - np.cumsum(p)).max()
+    assert gap < 0.02
+
+
+def test_millions_of_customers_reach_the_limit():
+    """Then the tables beyond the first are negative binomial."""
+    d, base, others, n = 0.8, 0.02, 400, 50_000_000
+    got = L.Seating(d, 1.0).draw(np.full(20_000, n), np.full(20_000, others), np.full(20_000, base), np.random.default_rng(6)) - 1
+    r = 1.0 / d + others + 1
+    assert got.mean() == pytest.approx(r * base / (1 - base), rel=0.02)
+    assert got.var() == pytest.approx(r * base / (1 - base) ** 2, rel=0.05)
 
 
 def test_hot_contexts_are_dealt_like_any_other():
