@@ -45,7 +45,7 @@ LENGTH, GRAM, STEP = 400, 200, 25     # STEP: distances in a range of the middle
 CHUNK = 1 << 20                       # bytes hashed at a time
 U = np.uint64
 KEY = ("lead", "core", "reach")
-SAMPLED = 8            # texts or contexts sampled for each splitter
+SAMPLED = 32           # suffixes (or contexts) sampled for each splitter
 
 
 class Rolling:
@@ -134,8 +134,12 @@ def sort_keys(columns: list[np.ndarray]) -> np.ndarray:
     return np.ascontiguousarray(x).view(f"S{8 * len(columns)}").reshape(-1)
 
 
-def in_buckets(splitters: np.ndarray | None, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """The rows with the bucket that their key, and the row's own first number after it, falls in."""
+def in_buckets(splitters: np.ndarray | None, columns: dict[str, np.ndarray], share: float = 1.0) -> pa.RecordBatch:
+    """The rows with the bucket that their key, and the row's own first number after it, falls in; with
+    ``share``, those rows alone whose first number, a hash, is in that share of all numbers."""
+    if share < 1:
+        some = columns[list(columns)[len(KEY)]].view(U) < U(int(share * 2 ** 64))
+        columns = {k: v[some] for k, v in columns.items()}
     by = list(columns.values())[:len(KEY) + 1]
     bucket = np.zeros(len(by[0]), np.int64) if splitters is None else np.searchsorted(splitters, sort_keys(by), side="right")
     return pa.record_batch([*(pa.array(np.ascontiguousarray(c, np.int64)) for c in columns.values()), pa.array(bucket.astype(np.int32))],
@@ -146,10 +150,8 @@ def row_type(*own: str) -> str:
     return ", ".join(f"{c} long" for c in (*KEY, *own)) + ", bucket int"
 
 
-def sampled_splitters(make, source: DataFrame, n: int) -> np.ndarray | None:
-    """n - 1 splitters of the suffixes ``make(rows)`` of ``source``, from about ``SAMPLED`` * n of its rows."""
-    total = source.count()
-    rows = make(source.sample(min(1.0, SAMPLED * n / max(total, 1)), 11))
+def splitters_of(rows: DataFrame, n: int) -> np.ndarray | None:
+    """n - 1 splitters from the keys of sampled ``rows``, a bounded number for each splitter."""
     got = rows.select(*rows.columns[:len(KEY) + 1]).collect()
     if not got or n < 2:
         return None
@@ -157,11 +159,12 @@ def sampled_splitters(make, source: DataFrame, n: int) -> np.ndarray | None:
     return keys[np.linspace(0, len(keys) - 1, n + 1).astype(int)[1:-1]]
 
 
-ANCHOR = ("id1", "id2", "pos", "near", "far")
+ANCHOR = ("spread", "id1", "id2", "pos", "near", "far")
 
 
-def anchor_rows(docs: DataFrame, length: int, splitters: np.ndarray | None = None) -> DataFrame:
-    """A row for every anchor of (id1, id2, text)."""
+def anchor_rows(docs: DataFrame, length: int, splitters: np.ndarray | None = None, share: float = 1.0) -> DataFrame:
+    """A row for every anchor of (id1, id2, text), or for a ``share`` of them, drawn by a hash of their places, which
+    also spreads equal suffixes over buckets, those of one text too."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Rolling(1, CHUNK + 2 * length), Rolling(2, CHUNK + 2 * length)
         for b in it:
@@ -173,8 +176,9 @@ def anchor_rows(docs: DataFrame, length: int, splitters: np.ndarray | None = Non
                 ids = [part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
                 for a in anchors(data, ends, length, one, two):
                     text = a.pop("text")
-                    yield in_buckets(splitters, {c: a[c] for c in KEY} | {"id1": ids[0][text], "id2": ids[1][text]}
-                                     | {c: a[c] for c in ("pos", "near", "far")})
+                    spread = salted(ids[0][text].view(U), a["pos"]).view(np.int64)
+                    yield in_buckets(splitters, {c: a[c] for c in KEY} | {"spread": spread, "id1": ids[0][text], "id2": ids[1][text]}
+                                     | {c: a[c] for c in ("pos", "near", "far")}, share)
 
     return docs.select("id1", "id2", "text").mapInArrow(run, row_type(*ANCHOR))
 
@@ -187,12 +191,10 @@ def verdicts(key: np.ndarray, before: np.ndarray, after: np.ndarray, has_before,
     return same_b | same_a, (core_b & ~same_b) | (core_a & ~same_a)
 
 
-def neighbours(make, source: DataFrame) -> DataFrame:
-    """(kind, the rows' own columns) of the suffixes ``make(source, splitters)``, in suffix order:
+def neighbours(rows: DataFrame, n: int) -> DataFrame:
+    """(kind, the rows' own columns) of suffixes dealt to ``n`` buckets, in suffix order:
     ``all`` windows repeated, or ``on`` to the next level."""
-    spark = source.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = make(source, sampled_splitters(make, source, n))
+    spark = rows.sparkSession
     own = [c for c in rows.columns if c not in (*KEY, "bucket")]
     sides = [f"{c}{k}" for k in range(3) for c in KEY]
     schema = pa.schema([("kind", pa.string()), *((c, pa.int64()) for c in (*own, "part", *sides))])
@@ -221,7 +223,7 @@ def neighbours(make, source: DataFrame) -> DataFrame:
                     cols = [pa.array(np.ascontiguousarray(v[at, c]), mask=None if has is None else ~has[at])
                             if kind == "border" else pa.nulls(len(at), pa.int64())
                             for has, v in ((has_b, before), (None, key), (has_a, after)) for c in range(3)]
-                    yield pa.record_batch([pa.array([kind] * len(at)), *b.take(pa.array(at)).columns[3:3 + len(own)],
+                    yield pa.record_batch([pa.array([kind] * len(at)), *b.take(pa.array(at)).columns[len(KEY):len(KEY) + len(own)],
                                            pa.array(np.full(len(at), part)), *cols], schema=schema)
 
         before = np.zeros((0, 3), np.int64)
@@ -335,14 +337,23 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     near .. far from the anchor at ``pos``; with a mask, near + b for each of its bits b."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
-    top = neighbours(lambda rows, splitters=None: anchor_rows(rows, length, splitters), docs)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # an anchor in about half a window's width; the sample is of all suffixes alike, however long or periodic their text
+    expected = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) * 2 / (length - GRAM + 1)
+    share = min(1.0, SAMPLED * n / max(expected, 1.0))
+    top = neighbours(anchor_rows(docs, length, splitters_of(anchor_rows(docs, length, share=share), n)), n)
+
+    def dealt(places: DataFrame, step: int) -> DataFrame:
+        """The narrower level of contexts, each of at most ``length`` rows, by splitters from some of the contexts."""
+        some = places.sample(min(1.0, SAMPLED * n / max(places.count(), 1)), 11)
+        return neighbours(narrower(places, length, step, splitters_of(narrower(some, length, step), n)), n)
+
     edges = top.where("kind = 'on'").select("id1", "id2", "pos")
     around = written(contexts(compressed(docs), edges, length), "suffix-contexts")
     whole = around.withColumns({"near": F.lit(0), "far": F.lit(length - GRAM)})
-    ranges = neighbours(lambda rows, splitters=None: narrower(rows, length, STEP, splitters), whole)
+    ranges = dealt(whole, STEP)
     straddling = ranges.where("kind = 'on'").select(*RANGE).distinct()
-    single = neighbours(lambda rows, splitters=None: narrower(rows, length, 1, splitters),
-                        written(around.select("place", "left", "context").join(straddling, "place"), "suffix-straddling"))
+    single = dealt(written(around.select("place", "left", "context").join(straddling, "place"), "suffix-straddling"), 1)
     own = around.select("place", "id1", "id2", "pos")
     bit = F.col("near") % 60
     masks = (single.where("kind = 'all'").groupBy("place", (F.col("near") - bit).alias("near"))
@@ -378,7 +389,8 @@ def byte_spans(found: pa.ListArray, length: int) -> tuple[np.ndarray, np.ndarray
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", id_col: str = "doc_id",
                    with_kept: bool = True) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, spans, kept, kept_sha256) for every row; spans are byte ranges, merged."""
+    """(doc_id, n_bytes, n_removed, spans, kept, kept_sha256) for every row; spans are byte ranges, merged;
+    ``kept`` holds the bytes that stay."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = own.select(*[h.alias(f"id{i + 1}") for i, h in enumerate(hash128(F.col("doc_id"), F.col("text")))], "doc_id", "text")
     spans = (repeated_spans(keyed, length)
@@ -409,5 +421,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", id
 
 
 def op5_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    out = remove_repeats(table(spark, sf_dir, "documents"), 400, with_kept=False)
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    """The contract's columns, then the bytes and the text that stay (a character that is cut is replaced)."""
+    out = remove_repeats(table(spark, sf_dir, "documents"), 400)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256",
+                      (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
