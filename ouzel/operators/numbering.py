@@ -1,4 +1,4 @@
-"""Consecutive row numbers without a window over all rows.
+"""Consecutive row numbers, and running totals, without a window over all rows.
 
 ``numbered`` deals the rows by ranges of the order, sorts each range where it is,
 counts each range's rows, adds up the counts of the ranges before it and adds the
@@ -18,6 +18,14 @@ from pyspark.sql.window import Window
 from ouzel.session import shared_dir, written
 
 
+def in_ranges(df: DataFrame, keys: Sequence[str | Column], at: str, name: str) -> DataFrame:
+    """``df`` sorted in ranges of ``keys`` and stored; ``at`` is the range's number times 2^33 plus the place in it."""
+    tie = f"{at}_tie"
+    keys = [F.col(f"`{c}`") if isinstance(c, str) else c for c in keys]
+    dealt = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys, tie).sortWithinPartitions(*keys, tie)
+    return written(dealt.drop(tie).withColumn(at, F.monotonically_increasing_id()), shared_dir(df.sparkSession, name))
+
+
 def numbered(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (), out: str = "number", first: int = 0,
              size: str | None = None) -> DataFrame:
     """``df`` with the column ``out``: ``first``, ``first`` + 1, ... in ``order``, anew in each group of ``by``
@@ -28,16 +36,11 @@ def numbered(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (
     ``df`` should be a stored table, so that a task that is run again sees its rows
     in the same places.
     """
-    spark = df.sparkSession
-    names = {"tie", "at", "part", "shift", out, *([size] if size else []), *(f"by_{k}" for k in range(len(by)))}
     prefix = "_"
-    while any(f"{prefix}{n}".lower() in {c.lower() for c in df.columns} for n in names):
+    while any(c.lower().startswith(prefix) for c in df.columns):
         prefix += "_"
-    tie, at, part, shift, total = (prefix + n for n in ("tie", "at", "part", "shift", "total"))
-    keys = [F.col(f"`{c}`") for c in by] + [F.col(f"`{c}`") if isinstance(c, str) else c for c in order]
-    dealt = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys, tie).sortWithinPartitions(*keys, tie)
-    rows = written(dealt.drop(tie).withColumn(at, F.monotonically_increasing_id()), shared_dir(spark, "numbered"))
-    rows = rows.withColumn(part, F.shiftright(at, 33))
+    at, part, shift, total = (prefix + n for n in ("at", "part", "shift", "total"))
+    rows = in_ranges(df, [*by, *order], at, "numbered").withColumn(part, F.shiftright(at, 33))
 
     own = [F.col(f"`{c}`").alias(f"{prefix}by_{k}") for k, c in enumerate(by)]
     group = [f"{prefix}by_{k}" for k in range(len(by))]
@@ -52,3 +55,15 @@ def numbered(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (
     found = rows.join(starts, same)
     extra = [F.col(total).alias(size)] if size else []
     return found.select(*[F.col(f"`{c}`") for c in df.columns if c not in (out, size)], (F.col(at) + F.col(shift)).alias(out), *extra)
+
+
+def running(df: DataFrame, order: Sequence[str | Column], weight: str, out: str = "before") -> DataFrame:
+    """``df``, a stored table, with the column ``out``: the sum of ``weight`` over the rows before, in ``order``; of ties those
+    that stand earlier in ``df`` come first. Summed within ranges of the order, and from range to range."""
+    at, part, shift = (f"{out}_{n}" for n in ("at", "part", "shift"))
+    rows = in_ranges(df, order, at, "running").withColumn(part, F.shiftright(at, 33))
+    own = F.sum(weight).over(Window.partitionBy(part).orderBy(at))
+    sums = rows.groupBy(F.col(part).alias(f"{part}_")).agg(F.sum(weight).alias("total"))
+    starts = sums.select(f"{part}_", (F.sum("total").over(Window.orderBy(f"{part}_")) - F.col("total")).alias(shift))   # a row a range
+    return (rows.withColumn(out, own - F.col(f"`{weight}`")).join(starts, F.col(part) == F.col(f"{part}_"))
+            .select(*[F.col(f"`{c}`") for c in df.columns if c != out], (F.col(out) + F.col(shift)).alias(out)))
