@@ -10,9 +10,12 @@ closed form: ``Schedule`` computes it for any stretch of windows from the queues
 lengths alone, in whole numbers. Tasks therefore pack independently; deficits
 carry over windows and partitions exactly.
 
-Sources whose quantum is under two tokens share one queue, so there are at most
-``window`` / 2 queues however many sources there are. With ``targets`` given, the
-shares are renormalised whenever a queue runs dry.
+A source named in ``targets`` is a queue of its own, however small (at most ``window`` / 2
+may be named); the shares are renormalised whenever a queue runs dry. Of the others, those
+whose quantum is under two tokens share one queue, so there are at most ``window`` / 2
+queues however many sources there are. That queue serves its sources side by side: a
+document stands at the share of its source's tokens that its middle marks, so any
+stretch of the queue holds each source in proportion, to within a document.
 
 What is left after the last full window (less than a window) is cut into
 sequences of power-of-two length, which need no padding.
@@ -21,9 +24,10 @@ Steps: tokenise once (ids go to a table in the shared folder, with each row's
 place in its source within the task), add up (task, source), prefix-sum those
 narrow rows in two levels, then cut every document at the windows' bounds.
 
-Defined results: null text is empty, and every document ends with the end id;
-null sources are one source; repeated rows are packed each; an empty table gives
-no pieces.
+Defined results: null text is empty, and every document ends with the end id; bytes
+that are not UTF-8 are read as replacement characters; null sources are one source; null
+ids are carried as nulls; repeated rows are packed each; a text of any length is cut at the
+windows' bounds; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -40,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ouzel.llm.common import batch, batches, table, utf8, written
+from ouzel.operators.numbering import running
 
 WINDOW = 4096
 STRETCH = 256          # windows whose bounds are computed together
@@ -79,7 +84,7 @@ class Words:
         """Remembers the ids of words."""
         for at in range(0, len(words), 8192):
             part = words[at:at + 8192]
-            e = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
+            e = self.tokenizer.encode([w.decode("utf-8", "replace") for w in part], is_pretokenized=True, add_special_tokens=False)
             ids, of = np.array(e.ids, "<u4"), np.array([-1 if w is None else w for w in e.word_ids], np.int64)
             bounds = np.searchsorted(of, np.arange(len(part) + 1)).tolist()
             raw = ids.tobytes()
@@ -133,7 +138,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int = 2, text: str = "text", s
                     lead[s] = lead.get(s, 0) + n
                 yield batch(rows, TOKENS)
 
-    return (docs.select(F.col(id_col).cast("long"), F.col(source).cast("string"), F.col(text))
+    return (docs.select(F.col(id_col).cast("long"), F.make_valid_utf8(F.col(source).cast("string")), F.col(text))
             .mapInArrow(run, "part long, doc_id long, source string, lead long, n long, ids binary"))
 
 
@@ -256,6 +261,26 @@ class Schedule:
         return low
 
 
+def _placed(ids: DataFrame, places: DataFrame, *more: str) -> DataFrame:
+    """``ids`` with the columns of ``places``, which has (part, source, ``more``) at most once."""
+    own = places.withColumnsRenamed({c: f"{c}_" for c in ("part", "source", *more)})
+    same = (F.col("part") == F.col("part_")) & F.col("source").eqNullSafe(F.col("source_"))
+    for c in more:
+        same = same & (F.col(c) == F.col(f"{c}_"))
+    return ids.join(own, same)
+
+
+def interleaved(docs: DataFrame, sums: DataFrame) -> DataFrame:
+    """(part, source, lead, at) of the documents (part, source, lead, n) whose (part, source) is in ``sums``: where
+    each starts in one queue that holds all these sources side by side."""
+    whole = Window.partitionBy("source")                    # a row for each task that the source is in
+    starts = sums.select("part", "source", (F.sum("n").over(whole.orderBy("part")) - F.col("n")).alias("first"),
+                         F.sum("n").over(whole).alias("whole"))
+    middle = (F.col("first") + F.col("lead") + F.col("n") / 2) / F.col("whole")
+    rows = written(_placed(docs, starts).select("part", "source", "lead", "n", middle.alias("middle")), "packing-pool")
+    return running(rows, ["middle", "source", "part", "lead"], "n", out="at").select("part", "source", "lead", "at")
+
+
 def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, targets: dict[str | None, int] | None = None,
                    text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
     """The pieces (columns of ``PIECES``). ``targets``: whole-number weights of sources; a source
@@ -265,30 +290,36 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = WI
     sums = written(ids.groupBy("part", "source").agg(F.sum("n").alias("n")), "packing-sums")
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
     total = by_source.agg(F.sum("n")).first()[0] or 0
-    # at most window / 2 sources have two tokens or more in every window; the others are pooled
-    large = by_source.where(F.col("n") * window >= F.lit(2 * total)).collect()
+    named = list(targets or {})
+    if len(named) > window // 2:
+        raise ValueError(f"{len(named)} targets: at most {window // 2} sources can be named for windows of {window}")
+    own = F.coalesce(F.col("source").isin([x for x in named if x is not None]), F.lit(None in named))
+    # at most window / 2 sources have two tokens or more in every window; the others that are not named are pooled
+    large = by_source.where(own | (F.col("n") * window >= F.lit(2 * total))).collect()
     large.sort(key=lambda r: (-r.n, r.source or ""))
     pool = total - sum(r.n for r in large)
-    while large and 0 < pool * window < 2 * total:   # the pool too needs two tokens a window
+    while targets is None and large and 0 < pool * window < 2 * total:   # the pool too needs two tokens a window
         pool += large.pop().n
     names = [r.source for r in large]
     queues = [r.n for r in large] + ([pool] if pool else [])
     weights = None
     if targets is not None:
         weights = [targets.get(s, 0) for s in names] + ([0] if pool else [])
-        if any(0 < w * window < 2 * sum(weights) for w in weights):
-            raise ValueError("a target needs two tokens in a window")
+        under = [s for s, w in zip(names, weights) if 0 < w * window < 2 * sum(weights)]
+        if under:
+            raise ValueError(f"a target needs two tokens in a window of {window}: {under}")
     schedule = Schedule(queues, weights, window)
 
     lookup = spark.createDataFrame(list(zip(names, range(len(names)))), "name string, queue int")   # at most window / 2 rows
     sums = (sums.join(F.broadcast(lookup), F.col("source").eqNullSafe(F.col("name")), "left")
             .select("part", "source", "n", F.coalesce("queue", F.lit(len(names))).alias("queue")))
-    # where (part, source) starts in its queue: parts before, then sources before in the same part
-    parts = (sums.groupBy("queue", "part").agg(F.sum("n").alias("n"))
-             .select("queue", "part", (F.sum("n").over(Window.partitionBy("queue").orderBy("part")) - F.col("n")).alias("first")))
-    inner = Window.partitionBy("queue", "part").orderBy("source")
-    starts = (sums.withColumn("before", F.sum("n").over(inner) - F.col("n")).join(parts, ["queue", "part"])
-              .select("part", "source", "queue", (F.col("first") + F.col("before")).alias("first")))
+    single = sums.where(F.col("queue") < len(names))
+    # where (part, source) starts in its queue: a row for each task that the source is in
+    starts = single.select("part", "source", "queue", (F.sum("n").over(Window.partitionBy("queue").orderBy("part")) - F.col("n")).alias("first"))
+    placed = _placed(ids, starts).select("doc_id", "source", "queue", (F.col("first") + F.col("lead")).alias("at"), "n", "ids")
+    if pool:
+        side = interleaved(ids.select("part", "source", "lead", "n"), sums.where(F.col("queue") == len(names)))
+        placed = placed.union(_placed(ids, side, "lead").select("doc_id", "source", F.lit(len(names)).alias("queue"), "at", "n", "ids"))
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -302,10 +333,6 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = WI
                 yield doc_id, start, size, zlib.crc32(view[4 * start:4 * (start + size)]), n, seq, offset, s
                 start += size
 
-    # (part, source) is in ``starts`` exactly once
-    placed = (ids.withColumnRenamed("source", "s").join(starts.withColumnRenamed("part", "p"),
-                                                        (F.col("part") == F.col("p")) & F.col("s").eqNullSafe(F.col("source")))
-              .select("doc_id", "source", "queue", (F.col("first") + F.col("lead")).alias("at"), "n", "ids"))
     return placed.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                                   "sequence_id long, offset long, source string")
 

@@ -91,6 +91,42 @@ def test_targets_and_many_small_sources(spark, docs_of, words, plain_tokenizer):
     assert P.pack_documents(docs.limit(0), P.tokenizer_path()).count() == 0
 
 
+def test_a_tiny_named_source_keeps_its_target(spark, docs_of, words, plain_tokenizer):
+    rng = random.Random(14)
+    texts = [" ".join(rng.choice(words) for _ in range(300)) for _ in range(60)] + ["tiny one", None]
+    docs = docs_of(texts).withColumn("source", F.when(F.col("doc_id") < 60, "big").when(F.col("doc_id") == 60, "tiny"))
+    rows = P.pack_documents(docs, P.tokenizer_path(), window=64, targets={"big": 1, "tiny": 1, None: 2}).collect()
+    by_seq, _ = check_pieces(rows, texts, plain_tokenizer, 64)
+    assert {r.sequence_id for r in rows if r.source == "tiny"} == {0} == {r.sequence_id for r in rows if r.source is None}
+    with pytest.raises(ValueError, match="at most 2"):
+        P.pack_documents(docs, P.tokenizer_path(), window=4, targets={"big": 1, "tiny": 1, "c": 1})
+    with pytest.raises(ValueError, match="tiny"):
+        P.pack_documents(docs, P.tokenizer_path(), window=64, targets={"big": 1000, "tiny": 1})
+
+
+def test_pooled_sources_are_served_side_by_side(spark, docs_of, words, plain_tokenizer):
+    """400 sources of a few documents: each half of the sequences holds about half of every source."""
+    rng = random.Random(15)
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(5, 9))) for _ in range(1600)]
+    docs = docs_of(texts).withColumn("source", F.when(F.col("doc_id") % 400 > 0, (F.col("doc_id") % 400).cast("string")))
+    rows = P.pack_documents(docs, P.tokenizer_path(), window=64).collect()
+    by_seq, total = check_pieces(rows, texts, plain_tokenizer, 64)
+    n, first, longest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in rows:
+        n[r.source] += r.length
+        first[r.source] += r.length * (r.sequence_id < total // 128)
+        longest[r.source] = max(longest[r.source], r.doc_tokens)
+    assert len(n) == 400 and all(abs(first[s] - n[s] / 2) <= longest[s] + 2 for s in n)
+
+
+def test_bytes_that_are_not_utf8(spark, plain_tokenizer):
+    raw = [b"good \xff\xfebad caf\xc3", b"\xc3\x28 x", b"plain"]
+    docs = (spark.createDataFrame(list(enumerate(raw)), "doc_id long, raw binary")
+            .select("doc_id", F.col("raw").cast("string").alias("text"), F.col("raw").cast("string").alias("source")))
+    rows = P.pack_documents(docs, P.tokenizer_path(), window=64).collect()
+    check_pieces(rows, [t.decode("utf-8", "replace") for t in raw], plain_tokenizer, 64)
+
+
 def test_schedule_of_any_window_equals_the_replay():
     """The closed form against deficit round-robin played window by window."""
     rng = random.Random(13)
