@@ -3,18 +3,20 @@
 Features of a text: its hashed distinct words with log-scaled, length-normalised
 weights, and structure statistics in bins (shares of upper case, digits,
 punctuation, marks and bars, distinct words, the commonest word, repeated
-neighbours, line and word lengths, size). Every pair of features interacts
+neighbours, line and word lengths, size), and up to ``N_META`` numeric metadata columns of the
+row, in bins of their logarithm (here ``n_chars``; labels, lang, source and doc_id are
+barred). Every pair of features interacts
 through the product of their low-rank factors; by the sum-of-squares identity
     sum_{i<j} <v_i, v_j> x_i x_j = 1/2 sum_f [(sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2]
 scoring is linear in the number of features.
 
 The model is fitted on a bounded, documented sample: the ``sample`` labelled
-training rows with the smallest hash of their id. Their features are made in
-Spark, and one task fits the model by AdaGrad on the logistic loss. All rows are
+training documents with the smallest hash of their id, one row of each (of several the one
+with the smallest hash). Their features are made in Spark, and one task fits the model by AdaGrad on the logistic loss. All rows are
 scored from their whole texts; the broadcast model has a fixed size.
 
-Defined results: null text is empty and has a score; without labels every score
-is 0.5; rows whose label is null are not learned from, repeated labels of a
+Defined results: null text is empty and has a score; null metadata is a bin of its own; without
+labels every score is 0.5; rows whose label is null are not learned from, repeated labels of a
 document count once by their largest; other columns are passed through.
 """
 
@@ -27,11 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ouzel.llm.common import fold, pack, table, unpack, utf8
+from ouzel.llm.common import fold, free_name, pack, table, unpack, utf8
 
 BUCKETS, RANK, BINS = 1 << 16, 8, 24
 SAMPLE = 20_000
@@ -40,8 +42,9 @@ UPPER, LOWER, DIGIT = (np.array([a <= c <= b for c in range(256)]) for a, b in (
 SPACE = np.array([c in b" \t\n\x0b\x0c\r" for c in range(256)])
 MARK = np.array([c in MARKS for c in range(256)])
 WIDE = np.array([c >= 128 for c in range(256)])
-N_STATS = 16
-SIZE = BUCKETS + N_STATS * BINS
+N_STATS, N_META = 16, 4
+META = ("n_chars",)
+SIZE = BUCKETS + (N_STATS + N_META) * BINS
 
 
 def statistics(raw: bytes, words: list[bytes], counts: Counter) -> list[float]:
@@ -62,8 +65,13 @@ def statistics(raw: bytes, words: list[bytes], counts: Counter) -> list[float]:
     ]
 
 
-def features(raw: bytes, codes: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(feature numbers, values). ``codes`` remembers the bucket of recent words."""
+def meta_bin(v: float | None) -> int:
+    """0 for null, else by the logarithm."""
+    return 0 if v is None else 1 + min(BINS - 2, int(math.log1p(max(v, 0.0)) / 16 * (BINS - 1)))
+
+
+def features(raw: bytes, codes: dict[bytes, int], meta: tuple = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(feature numbers, values). ``codes`` remembers the bucket of recent words; ``meta``: the row's metadata."""
     words = raw.split()
     counts = Counter(words)
     if len(codes) > 300_000:
@@ -74,9 +82,10 @@ def features(raw: bytes, codes: dict[bytes, int]) -> tuple[np.ndarray, np.ndarra
     stats = np.clip((np.array(statistics(raw, words, counts)) * BINS).astype(np.int64), 0, BINS - 1)
     x = np.log1p(np.fromiter(counts.values(), np.float64, len(counts)))
     x /= max(math.sqrt(float(x @ x)), 1.0)
+    bins = np.concatenate([stats, np.array([meta_bin(v) for v in meta], np.int64)])
     idx = np.concatenate([np.fromiter((codes[w] for w in counts), np.int64, len(counts)),
-                          BUCKETS + BINS * np.arange(N_STATS) + stats])
-    return idx, np.concatenate([x, np.full(N_STATS, 0.5)])
+                          BUCKETS + BINS * np.arange(len(bins)) + bins])
+    return idx, np.concatenate([x, np.full(len(bins), 0.5)])
 
 
 class Machine:
@@ -125,16 +134,27 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], rate: float = 0.1, l2:
     return m
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text", id_col: str = "doc_id") -> Machine | None:
-    """Fits on at most ``sample`` rows of ``labels`` (doc_id, label 0/1); None without labels."""
+def meta_of(docs: DataFrame, meta: tuple[str, ...]) -> Column:
+    """The metadata of a row as numbers; a column that the table lacks counts as null."""
+    if len(meta) > N_META:
+        raise ValueError(f"at most {N_META} metadata columns")
+    return F.array(*[F.col(f"`{m}`").cast("double") if m in docs.columns else F.lit(None).cast("double") for m in meta]).cast("array<double>")
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text", id_col: str = "doc_id",
+          meta: tuple[str, ...] = META) -> Machine | None:
+    """Fits on at most ``sample`` documents of ``labels`` (doc_id, label 0/1); None without labels."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)   # at most `sample` rows of two numbers
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+    own = docs.select(F.col(id_col).alias("doc_id"), F.struct(F.coalesce(F.col(text), F.lit("")).alias("text"), meta_of(docs, meta).alias("meta")).alias("row"))
+    rows = (own.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+            .agg(F.first("label").alias("label"), F.min_by("row", F.struct(F.xxhash64("row.text"), F.col("row.meta"))).alias("row"))
+            .select("doc_id", "row.text", "label", "row.meta"))
 
     def featurise(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[bytes, int] = {}
         for b in it:
-            made = [features(t, codes) for t in utf8(b.column("text"))]
+            made = [features(t, codes, m) for t, m in zip(utf8(b.column("text")), b.column("meta").to_pylist())]
             yield pa.record_batch([b.column("doc_id"), b.column("label").cast(pa.float64()),
                                    pa.array([pack(i.astype(np.int32)) for i, _ in made], pa.binary()),
                                    pa.array([pack(x.astype(np.float32)) for _, x in made], pa.binary())],
@@ -158,19 +178,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str =
     return Machine(w0, unpack(w, np.float64), unpack(v, np.float64).reshape(SIZE, RANK))
 
 
-def scored(docs: DataFrame, model: Machine | None, text: str = "text", out: str = "quality_score") -> DataFrame:
+def scored(docs: DataFrame, model: Machine | None, text: str = "text", out: str = "quality_score",
+           meta: tuple[str, ...] = META) -> DataFrame:
     """``docs`` with the column ``out``, in place of one of that name."""
     docs = docs.drop(out)
+    own = free_name(docs, "metadata")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, codes = shared.value, {}
         for b in it:
-            s = [0.5 if m is None else m.score(*features(t, codes)) for t in utf8(b.column(place))]
-            yield pa.record_batch([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, out])
+            s = [0.5 if m is None else m.score(*features(t, codes, x)) for t, x in zip(utf8(b.column(place)), b.column(own).to_pylist())]
+            yield pa.record_batch([*b.columns[:-1], pa.array(s, pa.float64())], names=[*b.schema.names[:-1], out])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(out, "double"))
+    return docs.withColumn(own, meta_of(docs, meta)).mapInArrow(run, StructType([*docs.schema.fields]).add(out, "double"))
 
 
 def quality_labels(spark, sf_dir: str) -> DataFrame:
@@ -184,7 +206,7 @@ def predicted(score: str = "quality_score"):
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     out = scored(docs, train(docs, quality_labels(spark, sf_dir)))
     return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"),
                       F.col("quality_score").alias("score"), predicted().alias("predicted"))

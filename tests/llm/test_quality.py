@@ -51,6 +51,31 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark, docs_of, words):
     assert a.w0 == b.w0 and (a.w == b.w).all() and (a.v == b.v).all()
 
 
+def test_the_sample_bounds_rows(spark, docs_of, monkeypatch):
+    """One row of each chosen document is learned from, whatever the order of its copies."""
+    docs = docs_of(["good text"] * 3 + [f"row {i}" for i in range(300)]).withColumn("doc_id", F.when(F.col("doc_id") < 250, 1).otherwise(F.col("doc_id")))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("double").alias("label")).distinct()
+    monkeypatch.setattr(Q, "fit", lambda rows, **kw: Q.Machine(float(len(rows)), np.zeros(Q.SIZE), np.zeros((Q.SIZE, Q.RANK))))
+    assert labels.count() == 54
+    assert [Q.train(docs, labels, sample=n).w0 for n in (1000, 20)] == [54.0, 20.0]
+    monkeypatch.undo()
+    a, b = (Q.train(d, labels) for d in (docs, docs.repartition(7, "text")))
+    assert a.w0 == b.w0 and (a.w == b.w).all()
+
+
+def test_metadata_is_a_feature(spark, docs_of):
+    """Equal texts are told apart by their metadata; nulls and missing columns have a bin."""
+    docs = docs_of(["same text"] * 200).withColumn("n_chars", F.when(F.col("doc_id") % 2 == 0, 10).when(F.col("doc_id") % 4 == 1, 100_000).cast("long"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2 == 0).cast("double").alias("label"))
+    model = Q.train(docs, labels)
+    got = {r.doc_id: r.q for r in Q.scored(docs, model, out="q").collect()}
+    assert all((q > 0.5) == (i % 2 == 0) for i, q in got.items())
+    assert Q.scored(docs.drop("n_chars"), model, out="q").where("q > 0.5").count() == 0
+    assert [Q.meta_bin(v) for v in (None, -1, 0, 10, 1e12)] == [0, 1, 1, 4, Q.BINS - 1]
+    with pytest.raises(ValueError):
+        Q.train(docs, labels, meta=("a", "b", "c", "d", "e"))
+
+
 def test_awkward_texts_and_missing_labels(spark, docs_of):
     docs = docs_of(AWKWARD)
     none = spark.createDataFrame([(0, None), (None, 1.0), (999, 1.0)], "doc_id long, label double")
