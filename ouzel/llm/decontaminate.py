@@ -13,7 +13,8 @@ The items go to the workers in automata of at most ``part_words`` words each (a
 proven bound for what is broadcast); several automata mean several walks over a
 text inside the same pass, one automaton after the other.
 
-Defined results: null text has no words and no hits; items without words match
+Defined results: null text has no words and no hits; bytes above \\x7F belong to words whether they are
+UTF-8 or not (``clean_text`` shows others as replacement characters); items without words match
 nothing, null item ids carry no id; repeated items and rows are judged alike; an
 empty table gives an empty result; other columns are passed through.
 """
@@ -194,7 +195,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, min_cover
             spans += own_spans
         spans = merged(spans)
         n_hit = sum(e - s for s, e in spans)
-        own = raw.decode()
+        own = raw.decode("utf-8", "replace")
         dirty = n_hit and n_hit / len(words) >= min_coverage
         return {"n_words": len(words), "n_hit": n_hit, "items": sorted((i for i in found if i is not None), key=str),
                 "spans": [{"start": s, "end": e} for s, e in spans], "clean_text": without_spans(own, spans) if dirty else own}

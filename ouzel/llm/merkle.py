@@ -155,9 +155,9 @@ class Manifest:
 
 def manifest(docs: DataFrame, leaf: Column, now: Column | None = None, by: str = "source", order: str = "doc_id",
              levels: int = LEVELS, arity: int = ARITY) -> Manifest:
-    """The Merkle manifest of ``docs``, a tree for each value of ``by``. ``now``: the leaves' hashes as they are
+    """The Merkle manifest of ``docs``, a tree for each value of ``by`` (as hexadecimal bytes, in the same order). ``now``: the leaves' hashes as they are
     found at a later time, kept beside them for ``proofs``."""
-    rows = docs.select(F.col(by).cast("string").alias("key"), F.col(order).cast("long").alias("id"), leaf.alias("leaf"),
+    rows = docs.select(F.hex(F.col(by).cast("string").cast("binary")).alias("key"), F.col(order).cast("long").alias("id"), leaf.alias("leaf"),
                        (leaf if now is None else now).alias("now"))
     rows = written(rows.withColumn("now", F.when(F.col("now") != F.col("leaf"), F.col("now"))), "merkle-leaves")
     placed = numbered(rows, ["id", "leaf", "now"], by=["key"], out="pos", size="n")
@@ -259,7 +259,8 @@ def proofs(m: Manifest, with_siblings: bool = True) -> DataFrame:
     joined = m.blocks.join(fetched, F.col("key").eqNullSafe(F.col("of")) & (F.col("block") == F.col("b")), "left")
     return (joined.select("key", "block", "n", "leaves", F.coalesce("rank", F.lit(0).cast("long")).alias("rank"),
                           F.coalesce("fetched", F.array().cast("array<struct<tier: int, level: int, idx: bigint, digest: string>>")).alias("fetched"))
-            .mapInArrow(_expander(m.n_groups, m.levels, m.arity, with_siblings), PROOF))
+            .mapInArrow(_expander(m.n_groups, m.levels, m.arity, with_siblings), PROOF)
+            .withColumn("key", F.unhex("key").cast("string")))
 
 
 def op12_merkle(spark, sf_dir: str) -> DataFrame:

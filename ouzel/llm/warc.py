@@ -15,7 +15,7 @@ Files are opened with pyarrow's file systems, which know file:, hdfs: and the
 object stores; the folder is below ``spark.checkpoint.dir`` unless given.
 
 Defined results: a null payload is empty; a null URL gives a record without a
-target URI; null page ids count as the largest; rows that repeat page_id and
+target URI, bytes of one that are not UTF-8 become replacement characters; null page ids count as the largest; rows that repeat page_id and
 payload of a response are responses too; an empty table gives an empty index.
 """
 
@@ -94,7 +94,8 @@ def _writer(folder: str, compress: bool, file_bytes: int):
         out, name, at = None, "", 0
         try:
             for b in it:
-                d, rows = b.to_pydict() | {"html": utf8(b.column("html"))}, []
+                d, rows = b.drop_columns(["html", "url"]).to_pydict() | {"html": utf8(b.column("html"))}, []
+                d["url"] = [None if u is None else u.decode("utf-8", "replace") for u in b.column("url").cast(pa.binary()).to_pylist()]
                 for page_id, url, html, sha1, first in zip(d["page_id"], d["url"], d["html"], d["sha1"], d["first"]):
                     revisit = first is not None and first != page_id
                     digest = base64.b32encode(bytes.fromhex(sha1)).decode()
