@@ -15,9 +15,9 @@ HEX_DIGITS = 13
 
 
 def draw_hex(seq: Column | str, seed: int) -> Column:
-    """Lower-case md5 hex of ``seed:seq`` (32 characters)."""
+    """Lower-case md5 hex of ``seed:seq`` (32 characters); a null counts as the empty text."""
     seq = F.col(seq) if isinstance(seq, str) else seq
-    return F.md5(F.concat(F.lit(f"{seed}:"), seq.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(seq.cast("string"), F.lit(""))))
 
 
 def coin_threshold_hex(p: float) -> str | None:

@@ -1,7 +1,9 @@
 """Frequent items of a stream held as a table ``seq, item``.
 
-``seq`` is the arrival order. Only the first ``n`` arrivals count
-(``seq < n`` when ``seq`` runs from 0).
+``seq`` is the arrival order; it may have gaps, repeat or be negative, and rows
+without one arrive last. All rows count: ``n``, the length of the stream, is a
+parameter of the thresholds and rates only. ``prefix`` cuts a stream to its first
+``n`` arrivals, by their numbers, not by the values of ``seq``.
 
 * exact: count per item; frequent when ``count >= n * phi``.
 * reservoir: a uniform sample of ``m = ceil(1/phi)`` arrivals, taken as the
@@ -15,17 +17,19 @@
   came up, and its count is the number of its arrivals from there on.
   Reported when ``count >= (phi - epsilon) * n``.
 
-Coins and priorities are md5 draws of ``seed:seq`` (``ouzel.functions.random``).
+Coins and priorities are md5 draws of ``seed:seq`` (``ouzel.functions.random``), of the
+empty text for rows without ``seq``.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ouzel.functions.random import HEX_DIGITS, coin, draw_hex
+from ouzel.operators.numbering import numbered
 
 
 def stream_length(items: DataFrame, num: int = 1, den: int = 1) -> int:
@@ -44,19 +48,34 @@ def sticky_rate(n: int, phi: float, epsilon: float, delta: float) -> tuple[float
     return r, r / n
 
 
+def arrivals(items: DataFrame, out: str = "arrival") -> DataFrame:
+    """``items`` with the number of each arrival, 0, 1, ...: by ``seq`` (rows without one last), then ``item``.
+
+    The numbers come from ranges of the order and their counts (``numbered``), so
+    ids need not be dense and no task sees more than its range.
+    """
+    return numbered(items, [F.col("seq").asc_nulls_last(), F.col("item").asc_nulls_last()], out=out)
+
+
 def prefix(items: DataFrame, n: int) -> DataFrame:
-    """Only the first n arrivals (pushed down to the scan as ``seq < n``)."""
-    return items.where(F.col("seq") < F.lit(n))
+    """The first n arrivals, exactly n rows if there are as many -> ``seq, item``."""
+    return arrivals(items.select("seq", "item")).where(F.col("arrival") < F.lit(n)).drop("arrival")
 
 
-def item_counts(items: DataFrame, n: int) -> DataFrame:
-    """Count per item among the first n arrivals -> ``item, count``."""
-    return prefix(items, n).groupBy("item").agg(F.count(F.lit(1)).alias("count"))
+def arrives_by(entry: Column | str) -> Column:
+    """Whether a row counts for an item that is tracked from ``entry`` on."""
+    entry = F.col(entry) if isinstance(entry, str) else entry
+    return F.col("seq").isNull() | (F.col("seq") >= entry)
+
+
+def item_counts(items: DataFrame) -> DataFrame:
+    """Count per item -> ``item, count``."""
+    return items.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
 
 
 def frequent_exact(items: DataFrame, n: int, phi: float) -> DataFrame:
     """Items with ``count >= n*phi`` -> ``item, count`` (at most 1/phi rows)."""
-    return item_counts(items, n).where(F.col("count") >= F.lit(float(n * phi)))
+    return item_counts(items).where(F.col("count") >= F.lit(float(n * phi)))
 
 
 def frequent_sorted(items: DataFrame, n: int, phi: float) -> DataFrame:
@@ -66,25 +85,27 @@ def frequent_sorted(items: DataFrame, n: int, phi: float) -> DataFrame:
 
 def exact_table_size(items: DataFrame, n: int, phi: float) -> DataFrame:
     """Tracked items and frequent items -> ``items, frequent``."""
-    return (item_counts(items, n)
+    return (item_counts(items)
             .agg(F.count(F.lit(1)).alias("items"),
                  F.count_if(F.col("count") >= F.lit(float(n * phi))).alias("frequent")))
 
 
-def random_coin(items: DataFrame, n: int, p: float, seed: int) -> DataFrame:
+def random_coin(items: DataFrame, p: float, seed: int) -> DataFrame:
     """The per-arrival draw and coin -> ``seq, item, draw, pass``."""
-    return prefix(items, n).select(
+    return items.select(
         "seq", "item",
         F.substring(draw_hex("seq", seed), 1, HEX_DIGITS).alias("draw"),
         coin("seq", seed, p).alias("pass"))
 
 
-def reservoir_sample(items: DataFrame, n: int, phi: float, seed: int) -> DataFrame:
+def reservoir_sample(items: DataFrame, phi: float, seed: int) -> DataFrame:
     """uniform sample of m arrivals -> ``seq, item, pri``."""
-    m = reservoir_size(phi)
-    return (prefix(items, n)
-            .select("seq", "item", draw_hex("seq", seed).alias("pri"))
-            .orderBy("pri", "seq").limit(m))
+    return drawn(items, seed).orderBy("pri", "seq", "item").limit(reservoir_size(phi))
+
+
+def drawn(items: DataFrame, seed: int) -> DataFrame:
+    """The priority of each arrival -> ``seq, item, pri``."""
+    return items.select("seq", "item", draw_hex("seq", seed).alias("pri"))
 
 
 def sample_counts(sample: DataFrame) -> DataFrame:
@@ -107,11 +128,10 @@ def sticky_table(items: DataFrame, n: int, phi: float, epsilon: float, delta: fl
     items it splits; the count then combines map-side.
     """
     _, p = sticky_rate(n, phi, epsilon, delta)
-    pre = prefix(items, n)
-    entries = (pre.where(coin("seq", seed, p))
+    entries = (items.where(coin("seq", seed, p))
                .groupBy("item").agg(F.min("seq").alias("entry")))
-    joined = pre.select("seq", "item").join(entries, ["item"])
-    return (joined.where(F.col("seq") >= F.col("entry"))
+    joined = items.select("seq", "item").join(entries, ["item"])
+    return (joined.where(arrives_by("entry"))
             .groupBy("item").agg(F.min("entry").alias("entry"), F.count(F.lit(1)).alias("count")))
 
 
@@ -158,7 +178,7 @@ def frequent_report(items: DataFrame, n: int, phi: float, epsilon: float, delta:
     are small (1/phi, m and the sticky report).
     """
     exact = frequent_exact(items, n, phi).select("item", F.col("count").alias("exact_count"))
-    res = sample_counts(reservoir_sample(items, n, phi, seed))
+    res = sample_counts(reservoir_sample(items, phi, seed))
     sticky = (sticky_report(sticky_table(items, n, phi, epsilon, delta, seed), n, phi, epsilon)
               .select("item", F.col("count").alias("sticky_count")))
     return (exact.join(res, ["item"], "full_outer").join(sticky, ["item"], "full_outer")

@@ -125,19 +125,19 @@ def radius_cte(pts: str = "pe") -> str:
 
 def ev_ctes() -> str:
     r = f"ln(1 / ({dbl(P.EV_DELTA)} * {dbl(P.EV_PHI)})) / {dbl(P.EV_EPSILON)}"
-    draw = f"md5(concat('{P.EV_SEED}:', CAST(seq AS VARCHAR)))"
+    draw = f"md5('{P.EV_SEED}:' || coalesce(seq::VARCHAR, ''))"
     m = reservoir_size(P.EV_PHI)
     return f"""WITH ev AS ({EV}),
 par AS ({PAR}),
-pre AS (SELECT seq, item FROM ev WHERE seq < (SELECT n FROM par)),
+pre AS (SELECT seq, item FROM ev),
 th AS (SELECT lpad(lower(hex(trunc({r} / n * 4503599627370496)::BIGINT)), 13, '0') AS t FROM par),
 coins AS (SELECT seq, item, substr({draw}, 1, 13) AS draw, substr({draw}, 1, 13) <= (SELECT t FROM th) AS pass FROM pre),
 counts AS (SELECT item, count(*) AS count FROM pre GROUP BY item),
 freq AS (SELECT item, count FROM counts WHERE count >= (SELECT n FROM par) * {dbl(P.EV_PHI)}),
-res AS (SELECT seq, item, {draw} AS pri FROM pre ORDER BY pri, seq LIMIT {m}),
+res AS (SELECT seq, item, {draw} AS pri FROM pre ORDER BY pri, seq NULLS FIRST, item NULLS FIRST LIMIT {m}),
 entries AS (SELECT item, min(seq) AS entry FROM coins WHERE pass GROUP BY item),
 sticky AS (SELECT p.item, min(e.entry) AS entry, count(*) AS count FROM pre p JOIN entries e
-           ON p.item = e.item WHERE p.seq >= e.entry GROUP BY p.item),
+           ON p.item = e.item WHERE p.seq IS NULL OR p.seq >= e.entry GROUP BY p.item),
 report AS (SELECT item, count FROM sticky
            WHERE count >= (SELECT n FROM par) * ({dbl(P.EV_PHI)} - {dbl(P.EV_EPSILON)})),
 fr AS (SELECT item, e.count AS exact_count, s.in_sample, r.count AS sticky_count
@@ -226,7 +226,8 @@ def build() -> dict[str, str]:
 
     # frequent items
     ev = ev_ctes()
-    q["stream_prefix"] = f"SELECT seq, item FROM ({EV}) WHERE seq < {PREFIX}"
+    q["stream_prefix"] = (f"SELECT seq, item FROM (SELECT *, row_number() OVER (ORDER BY seq NULLS LAST, item NULLS LAST) AS arrival "
+                          f"FROM ({EV})) WHERE arrival <= {PREFIX}")
     q["random_coin"] = ev + "SELECT seq, item, draw, pass FROM coins"
     q["item_counts"] = ev + "SELECT item, count FROM counts"
     q["frequent_exact"] = ev + "SELECT item, count FROM freq"

@@ -242,7 +242,7 @@ def stream_prefix(spark, sf):
 
 
 def item_counts(spark, sf):
-    return frequent.item_counts(_ev(spark, sf), _n(spark, sf))
+    return frequent.item_counts(_ev(spark, sf))
 
 
 def frequent_exact(spark, sf):
@@ -258,13 +258,12 @@ def exact_table_size(spark, sf):
 
 
 def random_coin(spark, sf):
-    n = _n(spark, sf)
-    _, p = frequent.sticky_rate(n, P.EV_PHI, P.EV_EPSILON, P.EV_DELTA)
-    return frequent.random_coin(_ev(spark, sf), n, p, P.EV_SEED)
+    _, p = frequent.sticky_rate(_n(spark, sf), P.EV_PHI, P.EV_EPSILON, P.EV_DELTA)
+    return frequent.random_coin(_ev(spark, sf), p, P.EV_SEED)
 
 
 def reservoir_sample(spark, sf):
-    return frequent.reservoir_sample(_ev(spark, sf), _n(spark, sf), P.EV_PHI, P.EV_SEED)
+    return frequent.reservoir_sample(_ev(spark, sf), P.EV_PHI, P.EV_SEED)
 
 
 def sample_to_table(spark, sf):
@@ -277,7 +276,7 @@ def reservoir_distinct(spark, sf):
 
 def reservoir_flagged(spark, sf):
     ev, n = _ev(spark, sf), _n(spark, sf)
-    sample = frequent.reservoir_distinct(frequent.reservoir_sample(ev, n, P.EV_PHI, P.EV_SEED))
+    sample = frequent.reservoir_distinct(frequent.reservoir_sample(ev, P.EV_PHI, P.EV_SEED))
     return frequent.flag_true(sample, frequent.frequent_exact(ev, n, P.EV_PHI))
 
 
@@ -330,12 +329,11 @@ def frequent_report(spark, sf):
 # ---------------------------------------------------------------- streams
 
 def stream_item_counts(spark, sf):
-    return fs.stream_item_counts(spark, fs.item_stream(spark, sf), _n(spark, sf))
+    return fs.stream_item_counts(spark, fs.item_stream(spark, sf))
 
 
 def stream_reservoir(spark, sf):
-    return fs.stream_reservoir(spark, fs.item_stream(spark, sf), _n(spark, sf), P.EV_PHI,
-                               P.EV_SEED)
+    return fs.stream_reservoir(spark, fs.item_stream(spark, sf), P.EV_PHI, P.EV_SEED)
 
 
 def stream_sticky(spark, sf):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ouzel.functions.random import coin, draw_hex
+from ouzel.functions.random import coin
 from ouzel.operators import frequent
 from ouzel.session import shared_dir
 from ouzel.sources.points import items_from_event_rows
@@ -103,11 +103,10 @@ def _counts(spark: SparkSession, workdir: str) -> tuple[StateTable, Step]:
 def _reservoir(spark: SparkSession, workdir: str, phi: float, seed: int) -> tuple[StateTable, Step]:
     m = frequent.reservoir_size(phi)
     state = StateTable(spark, f"{workdir}/sample", "seq long, item long, pri string",
-                       lambda rows: rows.orderBy("pri", "seq").limit(m))
+                       lambda rows: rows.orderBy("pri", "seq", "item").limit(m))
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        drawn = batch.select("seq", "item", draw_hex("seq", seed).alias("pri"))
-        state.write(drawn.orderBy("pri", "seq").limit(m), batch_id)
+        state.write(frequent.drawn(batch, seed).orderBy("pri", "seq", "item").limit(m), batch_id)
     return state, step
 
 
@@ -120,7 +119,7 @@ def _sticky(spark: SparkSession, workdir: str, p: float, seed: int) -> tuple[Sta
         known = state.before(batch_id).select("item", "entry")
         fresh = (batch.where(coin("seq", seed, p)).groupBy("item").agg(F.min("seq").alias("entry"))
                  .join(known.select("item"), "item", "left_anti"))
-        counted = (batch.join(known.unionByName(fresh), "item").where(F.col("seq") >= F.col("entry"))
+        counted = (batch.join(known.unionByName(fresh), "item").where(frequent.arrives_by("entry"))
                    .groupBy("item").agg(F.min("entry").alias("entry"), F.count(F.lit(1)).alias("count")))
         state.write(counted, batch_id)
     return state, step
@@ -139,32 +138,27 @@ def _kept(steps: list[Step], prepare: Callable[[DataFrame, int], DataFrame]) ->
     return run
 
 
-def _first(n: int | None) -> Callable[[DataFrame, int], DataFrame]:
-    return lambda df, _: (df if n is None else frequent.prefix(df, n)).select("seq", "item")
+def _items(df: DataFrame, _: int) -> DataFrame:
+    return df.select("seq", "item")
 
 
 # ------------------------------------------------ operators
 
-def stream_item_counts(spark: SparkSession, stream: DataFrame, n: int | None,
-                       workdir: str | None = None, trigger: dict | None = None) -> DataFrame:
-    """Exact counts as streaming state -> ``item, count``.
-
-    ``n`` limits the stream to its first n arrivals (``None``: all).
-    """
+def stream_item_counts(spark: SparkSession, stream: DataFrame, workdir: str | None = None,
+                       trigger: dict | None = None) -> DataFrame:
+    """Exact counts as streaming state -> ``item, count``."""
     workdir = workdir or shared_dir(spark, "stream-counts")
     state, step = _counts(spark, workdir)
-    first = _first(n)
-    _run(stream, lambda df, k: step(first(df, k), k), f"{workdir}/checkpoint", trigger=trigger)
+    _run(stream, step, f"{workdir}/checkpoint", trigger=trigger)
     return state.before()
 
 
-def stream_reservoir(spark: SparkSession, stream: DataFrame, n: int, phi: float, seed: int,
+def stream_reservoir(spark: SparkSession, stream: DataFrame, phi: float, seed: int,
                      workdir: str | None = None, trigger: dict | None = None) -> DataFrame:
     """The reservoir sample kept across batches -> ``seq, item, pri``."""
     workdir = workdir or shared_dir(spark, "stream-reservoir")
     state, step = _reservoir(spark, workdir, phi, seed)
-    first = _first(n)
-    _run(stream, lambda df, k: step(first(df, k), k), f"{workdir}/checkpoint", trigger=trigger)
+    _run(stream, step, f"{workdir}/checkpoint", trigger=trigger)
     return state.before()
 
 
@@ -177,14 +171,14 @@ def stream_sticky(spark: SparkSession, stream: DataFrame, n: int, phi: float, ep
     """
     workdir = workdir or shared_dir(spark, "stream-sticky")
     state, step = _sticky(spark, workdir, frequent.sticky_rate(n, phi, epsilon, delta)[1], seed)
-    _run(stream, _kept([step], _first(n)), f"{workdir}/checkpoint", trigger=trigger)
+    _run(stream, _kept([step], _items), f"{workdir}/checkpoint", trigger=trigger)
     return state.before()
 
 
 def stream_distinct(spark: SparkSession, stream: DataFrame, workdir: str | None = None,
                     trigger: dict | None = None) -> DataFrame:
     """Distinct items, item total and largest item over the whole stream."""
-    counts = stream_item_counts(spark, stream, None, workdir, trigger)
+    counts = stream_item_counts(spark, stream, workdir, trigger)
     return counts.agg(F.sum("count").alias("items_total"),
                       F.count(F.lit(1)).alias("distinct_items"),
                       F.max("item").alias("largest_item"))
@@ -202,14 +196,13 @@ def stream_frequent_report(spark: SparkSession, stream: DataFrame, n: int, phi:
     sample, draw = _reservoir(spark, workdir, phi, seed)
     sticky, stick = _sticky(spark, workdir, frequent.sticky_rate(n, phi, epsilon, delta)[1], seed)
     seen = StateTable(spark, f"{workdir}/seen", "rows long", totals(rows="sum"))
-    first = _first(n)
 
     def prepare(df: DataFrame, batch_id: int) -> DataFrame:
         if "seq" in df.columns:
-            return first(df, batch_id)
+            return _items(df, batch_id)
         had = seen.before(batch_id).agg(F.sum("rows")).first()[0] or 0
         seen.write(df.agg(F.count(F.lit(1)).alias("rows")), batch_id)
-        return first(numbered(df, had), batch_id)
+        return numbered(df, had)
 
     _run(stream, _kept([count, draw, stick], prepare), f"{workdir}/checkpoint", trigger=trigger)
     exact = (counts.before().where(F.col("count") >= F.lit(float(n * phi)))

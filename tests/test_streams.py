@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ouzel.operators import frequent
-from ouzel.sources.points import items_from_events
+from ouzel.sources.points import items_from_event_rows, items_from_events
 from ouzel.session import shared_dir
 from ouzel.streaming import frequent_stream as fs
 from ouzel.streaming.state import StateTable, totals
@@ -38,20 +38,43 @@ def batch(spark):
     return items_from_events(spark, SF)
 
 
+@pytest.fixture(scope="module")
+def gaps(spark, tmp_path_factory):
+    """Items with ids 1, 3, 5, ... and some without, in two files."""
+    d = str(tmp_path_factory.mktemp("gaps"))
+    t = pq.read_table(f"{SF}/events.parquet").to_pandas()
+    t["event_id"] = (2 * t.event_id + 1).where(t.event_id < 9000).astype("Int64")
+    for k in range(2):
+        t.iloc[k * 5000:(k + 1) * 5000].to_parquet(os.path.join(d, f"events_{k}.parquet"))
+        time.sleep(1.1)
+    return d
+
+
+def test_ids_with_gaps_give_all_rows(spark, gaps, tmp_path):
+    rows = fs.item_stream(spark, gaps, 1)
+    batch = items_from_event_rows(spark.read.parquet(gaps))
+    assert batch.where("seq is null").count() == 1000
+    counts = fs.stream_item_counts(spark, rows, str(tmp_path / "c"))
+    assert as_dict(counts, "item", "count") == as_dict(frequent.item_counts(batch), "item", "count")
+    table = fs.stream_sticky(spark, rows, 10_000, PHI, EPS, DELTA, SEED, str(tmp_path / "s"))
+    want = frequent.sticky_table(batch, 10_000, PHI, EPS, DELTA, SEED)
+    assert as_dict(table, "item", "count") == as_dict(want, "item", "count")
+
+
 def as_dict(df, key, val):
     return {r[key]: r[val] for r in df.collect()}
 
 
 def test_counts_four_batches(spark, four_files, batch, tmp_path):
-    got = fs.stream_item_counts(spark, fs.item_stream(spark, four_files, 1), N, str(tmp_path / "w"))
-    assert as_dict(got, "item", "count") == as_dict(frequent.item_counts(batch, N), "item", "count")
+    got = fs.stream_item_counts(spark, fs.item_stream(spark, four_files, 1), str(tmp_path / "w"))
+    assert as_dict(got, "item", "count") == as_dict(frequent.item_counts(batch), "item", "count")
     sizes = fs.stream_batch_sizes(spark, fs.item_stream(spark, four_files, 1), str(tmp_path / "b"))
     assert sizes.count() == 4 and sizes.agg(F.sum("rows")).collect()[0][0] == 10000
 
 
 def test_reservoir_four_batches(spark, four_files, batch, tmp_path):
-    got = fs.stream_reservoir(spark, fs.item_stream(spark, four_files, 1), N, PHI, SEED, str(tmp_path / "w"))
-    exp = frequent.reservoir_sample(batch, N, PHI, SEED)
+    got = fs.stream_reservoir(spark, fs.item_stream(spark, four_files, 1), PHI, SEED, str(tmp_path / "w"))
+    exp = frequent.reservoir_sample(batch, PHI, SEED)
     assert sorted(tuple(r) for r in got.select("seq", "item", "pri").collect()) == \
         sorted(tuple(r) for r in exp.select("seq", "item", "pri").collect())
 
@@ -77,14 +100,14 @@ def test_restart_from_checkpoint(spark, batch, tmp_path):
     work = str(tmp_path / "w")
     write_parts(str(src), [0, 1])
     fs.stream_sticky(spark, fs.item_stream(spark, str(src), 1), N, PHI, EPS, DELTA, SEED, work)
-    fs.stream_item_counts(spark, fs.item_stream(spark, str(src), 1), N, work + "-c")
+    fs.stream_item_counts(spark, fs.item_stream(spark, str(src), 1), work + "-c")
     write_parts(str(src), [2, 3])
     got = fs.stream_sticky(spark, fs.item_stream(spark, str(src), 1), N, PHI, EPS, DELTA, SEED, work)
     exp = frequent.sticky_table(batch, N, PHI, EPS, DELTA, SEED)
     assert sorted(tuple(r) for r in got.select("item", "entry", "count").collect()) == \
         sorted(tuple(r) for r in exp.select("item", "entry", "count").collect())
-    counts = fs.stream_item_counts(spark, fs.item_stream(spark, str(src), 1), N, work + "-c")
-    assert as_dict(counts, "item", "count") == as_dict(frequent.item_counts(batch, N), "item", "count")
+    counts = fs.stream_item_counts(spark, fs.item_stream(spark, str(src), 1), work + "-c")
+    assert as_dict(counts, "item", "count") == as_dict(frequent.item_counts(batch), "item", "count")
 
 
 def test_stop_after_items(spark, four_files, tmp_path):
