@@ -136,9 +136,9 @@ def sort_keys(columns: list[np.ndarray]) -> np.ndarray:
 
 def in_buckets(splitters: np.ndarray | None, columns: dict[str, np.ndarray], share: float = 1.0) -> pa.RecordBatch:
     """The rows with the bucket that their key, and the row's own first number after it, falls in; with
-    ``share``, those rows alone whose first number, a hash, is in that share of all numbers."""
+    ``share``, that share of the rows, by a hash of their first number."""
     if share < 1:
-        some = columns[list(columns)[len(KEY)]].view(U) < U(int(share * 2 ** 64))
+        some = salted(columns[list(columns)[len(KEY)]].view(U), 1) < U(int(share * 2 ** 64))
         columns = {k: v[some] for k, v in columns.items()}
     by = list(columns.values())[:len(KEY) + 1]
     bucket = np.zeros(len(by[0]), np.int64) if splitters is None else np.searchsorted(splitters, sort_keys(by), side="right")
