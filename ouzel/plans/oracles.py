@@ -188,6 +188,15 @@ def build() -> dict[str, str]:
     q["exact_outliers_topk"] = (f"WITH po AS ({PO}) SELECT * FROM ({ball_sql('po', P.PO_D)}) "
                                 f"WHERE ball <= {P.PO_M} ORDER BY ball, id LIMIT {P.TOP_K}")
 
+    pec = "SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings"
+    balls = (f"WITH p AS ({pec}) SELECT a.id, count(*) AS ball FROM p a JOIN p b "
+             f"ON list_distance(a.v, b.v) < {dbl(P.PEC_D)} GROUP BY a.id")
+    q["ball_counts_columns"] = balls
+    q["exact_outliers_columns"] = f"SELECT * FROM ({balls}) WHERE ball <= {P.PEC_M}"
+    q["point_distance_columns"] = (f"WITH p AS ({pec}), f AS (SELECT v AS f FROM p ORDER BY id LIMIT 1) "
+                                   "SELECT id, sqrt(list_reduce(list_transform(list_zip(v, f), lambda x: (x[1] - x[2]) * (x[1] - x[2])), "
+                                   "lambda x, y: x + y)) AS d FROM p, f")
+
     # k-center
     first = "(SELECT x, y FROM pe ORDER BY id LIMIT 1) f"
     q["point_distance"] = f"WITH pe AS ({PE}) SELECT p.id, {dist_sql('p', 'f')} AS d FROM pe p, {first}"

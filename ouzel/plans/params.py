@@ -6,6 +6,8 @@ PO_M = 3          # outlier threshold
 TOP_K = 9         # rows of the top-k reports
 PE_D = 0.05       # distance for points from embeddings
 PE_M = 3
+PEC_D = 1.15      # distance for all columns of the embeddings
+PEC_M = 2
 PE_K = 5          # centers
 PE_L = 4          # buckets (b = id mod L)
 PE_FFT_M = 40     # outlier threshold when the clustering radius is the distance

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ouzel.functions.geometry import dist
-from ouzel.operators import exact, frequent, grid, kcenter
+from ouzel.operators import exact, frequent, grid, kcenter, metric
 from ouzel.plans import params as P
 from ouzel.session import shared_dir
 from ouzel.sources.points import (items_from_events, points_from_embeddings, points_from_orders,
-                                  read_points_text, write_points_text)
+                                  read_points_text, vectors_from_embeddings, write_points_text)
 from ouzel.streaming import frequent_stream as fs
 from ouzel.streaming.state import BatchLog
 
@@ -144,6 +144,21 @@ def ball_counts(spark, sf):
     return exact.ball_counts(_pe(spark, sf), P.PE_D)
 
 
+def ball_counts_columns(spark, sf):
+    """D6 over every column of the embeddings."""
+    return metric.ball_counts(vectors_from_embeddings(spark, sf), P.PEC_D).select("id", "ball")
+
+
+def exact_outliers_columns(spark, sf):
+    """C1 over every column of the embeddings."""
+    return metric.exact_outliers(vectors_from_embeddings(spark, sf), P.PEC_D, P.PEC_M).select("id", "ball")
+
+
+def point_distance_columns(spark, sf):
+    """B4 over every column of the embeddings."""
+    return metric.point_distance(vectors_from_embeddings(spark, sf))
+
+
 def exact_outliers_topk(spark, sf):
     return exact.exact_outliers_topk(exact.exact_outliers_grid(_po(spark, sf), P.PO_D, P.PO_M),
                                      P.TOP_K)
@@ -402,6 +417,9 @@ QUERIES: dict[str, Query] = {
     "exact_outliers_grid": exact_outliers_grid,
     "ball_counts": ball_counts,
     "exact_outliers_topk": exact_outliers_topk,
+    "ball_counts_columns": ball_counts_columns,
+    "exact_outliers_columns": exact_outliers_columns,
+    "point_distance_columns": point_distance_columns,
     # k-center
     "point_distance": point_distance,
     "nearest_center_distance": nearest_center_distance,

@@ -3,8 +3,8 @@
 * ``read_points_text``: a text file with one ``x,y[,...]`` record per line,
   parsed with ``split`` + ANSI casts, so a blank or malformed line fails the
   job, extra columns are kept but ignored, and a one-column line fails.
-* ``points_from_orders`` / ``points_from_embeddings`` / ``items_from_events``:
-  the standard views over the driver tables (PO, PE, EV).
+* ``points_from_orders`` / ``points_from_embeddings`` / ``vectors_from_embeddings`` /
+  ``items_from_events``: the standard views over the driver tables (PO, PE, PEC, EV).
 """
 
 from __future__ import annotations
@@ -39,6 +39,11 @@ def points_from_embeddings(spark: SparkSession, sf_dir: str, L: int = 4) -> Data
     )
 
 
+def vectors_from_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PEC: the embeddings with all their columns -> ``id, v``."""
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+
+
 def items_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EV: the item stream in arrival order; ``item = floor(value)``."""
     ev = table(spark, sf_dir, "events")
