@@ -223,4 +223,4 @@ def point_distance(points: DataFrame) -> DataFrame:
     """B4 in any number of columns: the distance of each point to that with the smallest id -> ``id, d``."""
     whole = points.where(finite(F.col("v")))
     first = whole.orderBy("id").limit(1).select(F.col("v").alias("first"))
-    return whole.select("id", distance(F.col("v"), first.scalar()).alias("d"))
+    return whole.crossJoin(F.broadcast(first)).select("id", distance(F.col("v"), F.col("first")).alias("d"))   # one row
