@@ -42,6 +42,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -60,8 +61,9 @@ SHARD = 1 << 20        # training and held-out tokens for each restaurant shard
 PART = 1 << 20         # (block, word) entries for each word part
 HOT = 1 << 20          # tokens of a context that is split over shards
 EXACT = 64             # customers of a dish whose Stirling numbers come from their recurrence, beyond from an integral
-ANGLE, NODES = 0.6, 32 # of the integral's contour
-STEPS, CELLS = 48, 128 # tables tried one by one, and cells of wider distributions
+ANGLE, NODES = 0.6, 40 # of the integral's contour
+STEPS, CELLS = 48, 128  # tables tried one by one, and cells of wider distributions
+TERMS = 16             # of the alternating sum
 THETA, THETA0 = 1.0, 10.0
 END = b""              # no word is empty
 
@@ -319,7 +321,7 @@ class Seating:
                 grow = s[n - 1, 1:n + 1] + np.log(np.maximum(n - 1 - t * d, 0.0))
             s[n, 1:n + 1] = np.logaddexp(s[n - 1, :n], grow)
         self.stirling = s
-        self.sizes: dict[int, np.ndarray] = {}         # by customers: log_sizes of the tables in ``grid``
+        self.sizes: dict[int, np.ndarray] = {}         # by customers: log_sizes of the coarse grid
 
     def draw(self, c: np.ndarray, others: np.ndarray, base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """Tables of dishes with ``c`` >= 1 customers, ``others`` tables beside theirs, and parent's probability ``base``."""
@@ -339,40 +341,74 @@ class Seating:
             t[k] = self._many(c[k], self.theta / self.d + others[k], np.log(base[k]), rng)
         return t
 
+    def _log_sizes(self, n: np.ndarray, most: int) -> np.ndarray:
+        """``log_sizes`` for distinct ``n`` > EXACT and t = 1 .. ``most``.
+
+        Where t is well below n^d, by the alternating sum over j of C(t, j) gamma(n - jd) / (gamma(-jd) n!), whose
+        first terms decide; else by the integral."""
+        d, t = self.d, np.arange(1, most + 1)
+        terms = np.arange(1, TERMS + 1)
+        inverse = np.array([0.0 if float(j * d).is_integer() else 1 / math.gamma(-j * d) for j in terms.tolist()])
+        whole = log_gamma(n + 1.0)
+        choose = np.array([[(-1) ** j * math.comb(k, j) for k in t.tolist()] for j in terms.tolist()], float)
+        scale = log_gamma(n - d) - whole
+        parts = np.exp(log_gamma(n[:, None] - terms * d) - whole[:, None] - scale[:, None]) * inverse
+        sums = parts @ choose
+        easy = t[None, :] * np.power(n, -d, dtype=float)[:, None] <= 0.7
+        out = np.where(easy, np.log(np.where(easy, sums, 1.0)) + scale[:, None], 0.0)
+        i, k = np.nonzero(~easy)
+        for at in range(0, len(i), 8192):
+            out[i[at:at + 8192], k[at:at + 8192]] = log_sizes(d, n[i[at:at + 8192]], t[k[at:at + 8192]])
+        return out
+
     def _many(self, c: np.ndarray, room: np.ndarray, log_base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """The draw for many customers: p(t) ~ P(t tables have c customers) base^t gamma(room + t) / t!."""
-        def weights(sizes: np.ndarray, t: np.ndarray, some=slice(None)) -> np.ndarray:
+        out, t = np.ones(len(c), np.int64), np.arange(1, STEPS + 1)
+        # the weights from one t to the next grow by base (room + t) / t at most: where they are surely gone
+        growth = np.cumsum(log_base[:, None] + np.log(room[:, None] + t) - np.log(t), axis=1)
+        gone = growth < np.maximum(growth.max(axis=1, keepdims=True), 0.0) - 32
+        last = np.where(gone[:, -1], STEPS - np.argmax(~gone[:, ::-1], axis=1), STEPS + 1) + 1
+        for low, most in zip((0, 6, 12, 24), (6, 12, 24, STEPS)):
+            k = np.flatnonzero((last > low) & (last <= most))
+            if len(k):
+                distinct, place = np.unique(c[k], return_inverse=True)
+                w = self._log_sizes(distinct, most)[place] + np.cumsum(
+                    log_base[k, None] + np.log(room[k, None] + np.arange(most)) - np.log(t[:most]), axis=1)
+                out[k] = 1 + np.argmax(w + rng.gumbel(size=w.shape), axis=1)
+        k = np.flatnonzero(last > STEPS)
+        if len(k):
+            out[k] = self._wide(c[k], room[k], log_base[k], rng)
+        return out
+
+    def _wide(self, c: np.ndarray, room: np.ndarray, log_base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """The draw where there may be more than ``STEPS`` tables: weights on a coarse grid, then on ``CELLS`` places of
+        the range that holds them."""
+        def weights(sizes: np.ndarray, t: np.ndarray, some) -> np.ndarray:
             return sizes + t * log_base[some, None] + log_gamma(room[some, None] + t) - log_gamma(t + 1.0)
 
         distinct, place = np.unique(c, return_inverse=True)
-        grid = [*range(1, STEPS + 1)]
+        grid = [1]
         while grid[-1] < distinct[-1]:
-            grid.append(min(int(grid[-1] * 1.12), int(distinct[-1])))
+            grid.append(min(max(grid[-1] + 1, int(grid[-1] * 1.12)), int(distinct[-1])))
         grid = np.array(grid)
-        if len(self.sizes) > 20_000:
-            self.sizes.clear()
-        for n in distinct.tolist():
-            if n not in self.sizes:
-                self.sizes[n] = log_sizes(self.d, n, grid[:np.searchsorted(grid, n, side="right")])
         sizes = np.full((len(distinct), len(grid)), -np.inf)
         for i, n in enumerate(distinct.tolist()):
+            if n not in self.sizes:
+                self.sizes[n] = log_sizes(self.d, n, grid[:np.searchsorted(grid, n, side="right")])
             own = self.sizes[n][:len(grid)]
             sizes[i, :len(own)] = own
-        w = weights(sizes[place], grid[None, :])
-        best = w.max(axis=1, keepdims=True)
-        likely = w > best - 30
-        first = np.maximum(np.argmax(likely, axis=1) - 1, 0)
-        last = np.minimum(len(grid) - np.argmax(likely[:, ::-1], axis=1), len(grid) - 1)
-        out = 1 + np.argmax(w[:, :STEPS] + rng.gumbel(size=(len(c), STEPS)), axis=1)
-        wide = np.flatnonzero(last >= STEPS)               # their tables may be more than the grid's whole steps
-        for at in range(0, len(wide), 64):
-            k = wide[at:at + 64]
-            low, high = grid[first[k]], np.minimum(grid[last[k]], c[k])
+        out = np.ones(len(c), np.int64)
+        for at in range(0, len(c), 64):
+            k = np.arange(at, min(at + 64, len(c)))
+            w = weights(sizes[place[k]], grid[None, :], k)
+            likely = w > w.max(axis=1, keepdims=True) - 22
+            low = grid[np.maximum(np.argmax(likely, axis=1) - 1, 0)]
+            high = np.minimum(grid[np.minimum(len(grid) - np.argmax(likely[:, ::-1], axis=1), len(grid) - 1)], c[k])
             step = np.maximum((high - low) / (CELLS - 1), 1.0)
             t = np.floor(low[:, None] + np.arange(CELLS) * step[:, None] + 0.5)
-            t = np.where(t <= high[:, None], t, 0)
-            sizes = log_sizes(self.d, c[k][:, None], np.maximum(t, 1))
-            w = np.where(t > 0, weights(sizes, np.maximum(t, 1), k), -np.inf)
+            there = t <= high[:, None]
+            t = np.where(there, t, 1)
+            w = np.where(there, weights(log_sizes(self.d, c[k][:, None], t), t, k), -np.inf)
             got = t[np.arange(len(k)), np.argmax(w + rng.gumbel(size=w.shape), axis=1)]
             # beyond CELLS values: one drawn evenly from the cell around the value, a small part of the deviation wide
             got = np.where(step > 1, np.floor(got + (rng.random(len(k)) - 0.5) * step + 0.5), got)
