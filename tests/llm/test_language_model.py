@@ -124,24 +124,24 @@ def test_tables_of_frequent_dishes_follow_the_restaurant(d, theta, n, base, othe
     p = np.exp(w - w.max())
     p /= p.sum()
     assert p[-1] < 1e-9 or len(t) == n
-    draws = 20_000
+    draws = 4000
     got = L.Seating(d, theta).draw(np.full(draws, n), np.full(draws, others), np.full(draws, base), np.random.default_rng(5))
     mean = (p * t).sum()
     sd = math.sqrt((p * (t - mean) ** 2).sum())
     assert got.min() >= 1 and got.max() <= n
     assert got.mean() == pytest.approx(mean, abs=5 * sd / math.sqrt(draws) + 1e-9)
-    assert got.std() == pytest.approx(sd, rel=0.04, abs=1e-6)
+    assert got.std() == pytest.approx(sd, rel=0.08, abs=1e-6)
     gap = np.abs(np.cumsum(np.bincount(got, minlength=len(t) + 1)[1:len(t) + 1]) / draws - np.cumsum(p)).max()
-    assert gap < 0.02
+    assert gap < 0.035
 
 
 def test_millions_of_customers_reach_the_limit():
     """Then the tables beyond the first are negative binomial."""
     d, base, others, n = 0.8, 0.02, 400, 50_000_000
-    got = L.Seating(d, 1.0).draw(np.full(20_000, n), np.full(20_000, others), np.full(20_000, base), np.random.default_rng(6)) - 1
+    got = L.Seating(d, 1.0).draw(np.full(8000, n), np.full(8000, others), np.full(8000, base), np.random.default_rng(6)) - 1
     r = 1.0 / d + others + 1
-    assert got.mean() == pytest.approx(r * base / (1 - base), rel=0.02)
-    assert got.var() == pytest.approx(r * base / (1 - base) ** 2, rel=0.05)
+    assert got.mean() == pytest.approx(r * base / (1 - base), rel=0.03)
+    assert got.var() == pytest.approx(r * base / (1 - base) ** 2, rel=0.08)
 
 
 def test_hot_contexts_are_dealt_like_any_other():
