@@ -22,15 +22,19 @@ Points that are null, empty or hold a null or a non-finite number take no part.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ouzel.session import shared_dir, written
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])   # workers need no installed package
+
 LEAF, SHARE = 1024, 256     # own points of a cell that is not split; own points for each pivot
 PIVOTS, DEPTH = 512, 8      # pivots of a cell; splits in a row
 BLOCK = 1024                # points compared at a time
@@ -222,5 +226,6 @@ def exact_outliers(points: DataFrame, D: float, M: int, **how) -> DataFrame:
 def point_distance(points: DataFrame) -> DataFrame:
     """B4 in any number of columns: the distance of each point to that with the smallest id -> ``id, d``."""
     whole = points.where(finite(F.col("v")))
-    first = whole.orderBy("id").limit(1).select(F.col("v").alias("first"))
-    return whole.crossJoin(F.broadcast(first)).select("id", distance(F.col("v"), F.col("first")).alias("d"))   # one row
+    first = whole.orderBy("id").select("v").first()          # one point
+    at = F.array(*map(F.lit, first.v)).cast("array<double>") if first else F.col("v")
+    return whole.select("id", distance(F.col("v"), at).alias("d"))

@@ -269,6 +269,11 @@ def build() -> dict[str, str]:
     q["stream_distinct"] = q["distinct_items"]
     q["stream_frequent_report"] = q["frequent_report"]
     q["stream_line_report"] = q["frequent_report"]
+    q["stream_source_report"] = q["frequent_report"]
+    q["stream_counts_state"] = q["item_counts"]
+    q["stream_distinct_state"] = q["distinct_items"]
+    q["stream_sticky_state"] = q["sticky_sample"]
+    q["stream_batch_sizes_observed"] = "SELECT count(*) AS rows, 0 AS repeated FROM events"
     q["stream_batch_sizes"] = "SELECT count(*) AS rows, 0 AS repeated FROM events"
     q["stop_after_items"] = f"SELECT {PREFIX} AS n, TRUE AS reached, 0 AS batches_after"
     return q

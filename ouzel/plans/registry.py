@@ -19,7 +19,9 @@ from ouzel.plans import params as P
 from ouzel.session import shared_dir
 from ouzel.sources.points import (items_from_events, points_from_embeddings, points_from_orders,
                                   read_points_text, vectors_from_embeddings, write_points_text)
+from ouzel.sources.lines import line_source
 from ouzel.streaming import frequent_stream as fs
+from ouzel.streaming import state_store as ss
 from ouzel.streaming.state import BatchLog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,7 +74,7 @@ def stream_items_scan(spark, sf):
     def sink(df, batch_id):
         out.write(df, batch_id)
 
-    fs._run(fs.item_stream(spark, sf), sink, f"{work}/checkpoint")
+    fs.run_stream(fs.item_stream(spark, sf), sink, f"{work}/checkpoint")
     return out.rows().select("seq", "item")
 
 
@@ -367,13 +369,45 @@ def stream_frequent_report(spark, sf):
 
 def stream_line_report(spark, sf):
     """S5 from text lines: the items of ``events`` in arrival order, one number a line."""
-    lines = shared_dir(spark, "stream-lines")
+    lines = _lines_written(spark, sf, "stream-lines")
+    return fs.stream_frequent_report(spark, fs.line_stream(spark, lines), _n(spark, sf),
+                                     P.EV_PHI, P.EV_EPSILON, P.EV_DELTA, P.EV_SEED)
+
+
+def _lines_written(spark, sf, name):
+    """The items of ``events`` as a folder of lines in arrival order."""
+    lines = shared_dir(spark, name)
     (_ev(spark, sf).repartitionByRange("seq").sortWithinPartitions("seq")
      .select(F.col("item").cast("string")).write.text(lines))
-    return fs.stream_frequent_report(spark, fs.line_stream(spark, lines), _n(spark, sf),
+    return lines
+
+
+def stream_source_report(spark, sf):
+    """S5 from the package's own line source."""
+    lines = _lines_written(spark, sf, "stream-source")
+    return fs.stream_frequent_report(spark, line_source(spark, lines), _n(spark, sf),
                                      P.EV_PHI, P.EV_EPSILON, P.EV_DELTA, P.EV_SEED)
 
 
+def stream_counts_state(spark, sf):
+    return ss.stream_counts_state(spark, fs.item_stream(spark, sf))
+
+
+def stream_distinct_state(spark, sf):
+    return ss.stream_distinct_state(spark, fs.item_stream(spark, sf))
+
+
+def stream_sticky_state(spark, sf):
+    return ss.stream_sticky_state(spark, fs.item_stream(spark, sf), _n(spark, sf), P.EV_PHI,
+                                  P.EV_EPSILON, P.EV_DELTA, P.EV_SEED)
+
+
+def stream_batch_sizes_observed(spark, sf):
+    """S8 by observed metrics: the rows of all batches, and whether any was seen twice."""
+    sizes = fs.stream_batch_sizes_observed(spark, fs.item_stream(spark, sf, max_files_per_trigger=1))
+    return sizes.agg(F.sum("rows").alias("rows"), (F.count("batch_id") - F.count_distinct("batch_id")).alias("repeated"))
+
+
 def stream_batch_sizes(spark, sf):
     """S8 in a form that does not depend on the cut: the rows of all batches, and whether any was seen twice."""
     sizes = fs.stream_batch_sizes(spark, fs.item_stream(spark, sf, max_files_per_trigger=1))
@@ -459,6 +493,11 @@ QUERIES: dict[str, Query] = {
     "stream_distinct": stream_distinct,
     "stream_frequent_report": stream_frequent_report,
     "stream_line_report": stream_line_report,
+    "stream_source_report": stream_source_report,
+    "stream_counts_state": stream_counts_state,
+    "stream_distinct_state": stream_distinct_state,
+    "stream_sticky_state": stream_sticky_state,
+    "stream_batch_sizes_observed": stream_batch_sizes_observed,
     "stream_batch_sizes": stream_batch_sizes,
     "stop_after_items": stop_after_items,
 }

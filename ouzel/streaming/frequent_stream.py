@@ -14,7 +14,8 @@ back from the shared folder (never through the driver).
   arrivals and counts arrivals from the entries on.
 * ``stream_frequent_report``: the three methods in one pass over the stream.
 * ``stream_distinct``: distinct items, item total and largest item.
-* ``stream_batch_sizes``: rows per batch.
+* ``stream_batch_sizes``: rows per batch, from a table; ``stream_batch_sizes_observed``: from
+  observed metrics.
 * ``stop_after_items``: stop a running query once n rows went through.
 
 The states are ``StateTable``s: a batch writes the keys it changes, not the whole
@@ -24,7 +25,6 @@ batch that is used by several steps is kept for the batch only.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +35,7 @@ from ouzel.functions.random import coin
 from ouzel.operators import frequent
 from ouzel.session import shared_dir
 from ouzel.sources.points import items_from_event_rows
+from ouzel.streaming.listen import Batches, listening
 from ouzel.streaming.state import BatchLog, StateTable, totals
 
 Step = Callable[[DataFrame, int], None]
@@ -79,7 +80,7 @@ def numbered(lines: DataFrame, first: int) -> DataFrame:
     return rows.join(starts, "part").select((F.col("start") + F.col("at")).alias("seq"), "item")
 
 
-def _run(stream: DataFrame, fn: Step, checkpoint: str, output_mode: str = "append", trigger: dict | None = None) -> None:
+def run_stream(stream: DataFrame, fn: Step, checkpoint: str, output_mode: str = "append", trigger: dict | None = None) -> None:
     writer = (stream.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
               .foreachBatch(fn))
@@ -149,7 +150,7 @@ def stream_item_counts(spark: SparkSession, stream: DataFrame, workdir: str | No
     """Exact counts as streaming state -> ``item, count``."""
     workdir = workdir or shared_dir(spark, "stream-counts")
     state, step = _counts(spark, workdir)
-    _run(stream, step, f"{workdir}/checkpoint", trigger=trigger)
+    run_stream(stream, step, f"{workdir}/checkpoint", trigger=trigger)
     return state.before()
 
 
@@ -158,7 +159,7 @@ def stream_reservoir(spark: SparkSession, stream: DataFrame, phi: float, seed: i
     """The reservoir sample kept across batches -> ``seq, item, pri``."""
     workdir = workdir or shared_dir(spark, "stream-reservoir")
     state, step = _reservoir(spark, workdir, phi, seed)
-    _run(stream, step, f"{workdir}/checkpoint", trigger=trigger)
+    run_stream(stream, step, f"{workdir}/checkpoint", trigger=trigger)
     return state.before()
 
 
@@ -171,7 +172,7 @@ def stream_sticky(spark: SparkSession, stream: DataFrame, n: int, phi: float, ep
     """
     workdir = workdir or shared_dir(spark, "stream-sticky")
     state, step = _sticky(spark, workdir, frequent.sticky_rate(n, phi, epsilon, delta)[1], seed)
-    _run(stream, _kept([step], _items), f"{workdir}/checkpoint", trigger=trigger)
+    run_stream(stream, _kept([step], _items), f"{workdir}/checkpoint", trigger=trigger)
     return state.before()
 
 
@@ -204,7 +205,7 @@ def stream_frequent_report(spark: SparkSession, stream: DataFrame, n: int, phi:
         seen.write(df.agg(F.count(F.lit(1)).alias("rows")), batch_id)
         return numbered(df, had)
 
-    _run(stream, _kept([count, draw, stick], prepare), f"{workdir}/checkpoint", trigger=trigger)
+    run_stream(stream, _kept([count, draw, stick], prepare), f"{workdir}/checkpoint", trigger=trigger)
     exact = (counts.before().where(F.col("count") >= F.lit(float(n * phi)))
              .select("item", F.col("count").alias("exact_count")))
     st = (frequent.sticky_report(sticky.before(), n, phi, epsilon)
@@ -222,40 +223,53 @@ def stream_batch_sizes(spark: SparkSession, stream: DataFrame, workdir: str | No
     def step(df: DataFrame, batch_id: int) -> None:
         out.write(df.agg(F.count(F.lit(1)).alias("rows")), batch_id)
 
-    _run(stream, step, f"{workdir}/checkpoint", trigger=trigger)
+    run_stream(stream, step, f"{workdir}/checkpoint", trigger=trigger)
     return out.rows().where(F.col("rows") > 0).select("batch_id", "rows")
 
 
-def stop_after_items(query, n: int, poll_seconds: float = 0.05,
-                     timeout_seconds: float = 600.0) -> int:
+def stream_batch_sizes_observed(spark: SparkSession, stream: DataFrame, workdir: str | None = None,
+                                trigger: dict | None = None) -> DataFrame:
+    """S8 by observed metrics -> ``batch_id, rows`` of the run's non-empty batches.
+
+    The count travels with the batch's own job and comes with its progress: no job and no table for each batch.
+    """
+    workdir = workdir or shared_dir(spark, "stream-observed")
+    seen = stream.observe("arrivals", F.count(F.lit(1)).alias("rows"))
+    with listening(spark, "arrivals") as batches:
+        q = (seen.writeStream.format("noop").option("checkpointLocation", f"{workdir}/checkpoint")
+             .trigger(**(trigger or {"availableNow": True})).start())
+        q.awaitTermination()
+        batches.wait(str(q.runId))          # the last batch's report may come after the end
+        rows = sorted((k, n) for k, n in batches.of(str(q.runId)).items() if n)
+    return spark.createDataFrame(rows, "batch_id long, rows long")      # two numbers a batch
+
+
+def stop_after_items(query, n: int, timeout_seconds: float = 600.0, batches: Batches | None = None) -> int:
     """Stop ``query`` once at least n input rows went through.
 
-    Polls the query's progress from the calling thread (stopping from inside the
-    batch function could deadlock). Returns the rows seen. A query that fails,
-    ends early or does not get there in time is stopped and raises.
+    A listener adds up the batches' rows and wakes the calling thread, which stops the query (stopping from inside the
+    batch function could deadlock). ``batches``: a listener from before the query's start; without one, the batches
+    that are over already are taken from the query, which remembers a hundred. Returns the rows seen. A query that
+    fails, ends early or does not get there in time is stopped and raises.
     """
-    seen, last_batch, start = 0, -1, time.time()
-    while True:
-        active = query.isActive
-        for prog in query.recentProgress:
-            if prog["batchId"] > last_batch:
-                seen += int(prog.get("numInputRows", 0))
-                last_batch = prog["batchId"]
-        late = time.time() - start > timeout_seconds
-        if seen >= n or late or not active:
-            break
-        time.sleep(poll_seconds)
+    if batches is None:
+        with listening(SparkSession.active()) as own:
+            return stop_after_items(query, n, timeout_seconds, own)
+    run = str(query.runId)
+    before = {p["batchId"]: int(p.get("numInputRows", 0)) for p in query.recentProgress}
+    seen = batches.wait(run, n, timeout_seconds, before)
+    ended = not query.isActive
     failed = query.exception()
     query.stop()
     if failed is not None:
         raise RuntimeError(f"the stream failed after {seen} rows: {failed}")
     if seen < n:
-        raise TimeoutError(f"{seen} of {n} rows after {timeout_seconds:g} s" if late else f"the stream ended after {seen} of {n} rows")
+        raise TimeoutError(f"the stream ended after {seen} of {n} rows" if ended else f"{seen} of {n} rows after {timeout_seconds:g} s")
     return seen
 
 
 def stream_until(spark: SparkSession, stream: DataFrame, n: int, workdir: str | None = None,
-                 poll_seconds: float = 0.05, timeout_seconds: float = 600.0) -> DataFrame:
+                 timeout_seconds: float = 600.0) -> DataFrame:
     """S6 as a query: run with a processing-time trigger, stop after n rows.
 
     Returns ``batch_id, rows`` of the batches processed before the stop.
@@ -266,7 +280,8 @@ def stream_until(spark: SparkSession, stream: DataFrame, n: int, workdir: str |
     def step(df: DataFrame, batch_id: int) -> None:
         out.write(df.agg(F.count(F.lit(1)).alias("rows")), batch_id)
 
-    q = (stream.writeStream.option("checkpointLocation", f"{workdir}/checkpoint")
-         .foreachBatch(step).trigger(processingTime="10 milliseconds").start())
-    stop_after_items(q, n, poll_seconds, timeout_seconds)
+    with listening(spark) as batches:
+        q = (stream.writeStream.option("checkpointLocation", f"{workdir}/checkpoint")
+             .foreachBatch(step).trigger(processingTime="10 milliseconds").start())
+        stop_after_items(q, n, timeout_seconds, batches)
     return out.rows().where(F.col("rows") > 0).select("batch_id", "rows")
