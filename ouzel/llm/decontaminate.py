@@ -9,9 +9,11 @@ and the items. Spans of hit words are reported as word positions, and
 ``clean_text`` cuts them from the text of a document whose hits reach the
 coverage limit.
 
-The items go to the workers in automata of at most ``part_words`` words each (a
-proven bound for what is broadcast); several automata mean several walks over a
-text inside the same pass, one automaton after the other.
+Equal items are one, with all their ids. The items are dealt into parts of about ``part_words``
+words; each part's automaton is built in a task of its own and stored in the shared
+folder, so the driver sees file names only and nothing is broadcast. A worker holds
+one automaton at a time: with several, it reads its documents in groups of ``GROUP`` bytes
+and walks a group through one automaton after the other, and a document's spans are merged.
 
 Defined results: null text has no words and no hits; bytes above \\x7F belong to words whether they are
 UTF-8 or not (``clean_text`` shows others as replacement characters); items without words match
@@ -21,21 +23,26 @@ empty table gives an empty result; other columns are passed through.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ouzel.llm.common import table, utf8
+from ouzel.llm.common import table, utf8, written
+from ouzel.session import shared_dir
+from ouzel.sources.lines import open_folder
 
 # Word characters are digits, letters and everything above \x7F; as a byte table, A-Z lower-cased, others to spaces.
 NORMAL = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32
                for c in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 PART_WORDS = 200_000
+GROUP = 64 << 20     # bytes of texts walked through several automata
 HITS = ("n_words bigint, n_hit bigint, items array<bigint>, "
         "spans array<struct<start: bigint, end: bigint>>, clean_text string")
 HITS_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())),
@@ -50,18 +57,19 @@ def words_of(text: bytes) -> list[bytes]:
 class Automaton:
     """A generalised suffix automaton over words, with the windows marked on its states."""
 
-    def __init__(self, items: list[tuple[int | None, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[list[int], list[bytes]]], window: int):
+        """``items``: the ids and the words of each."""
         self.vocab: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.size = [-1], [0]
-        coded = [(i, [self.vocab.setdefault(w, len(self.vocab)) for w in ws]) for i, ws in items if ws]
+        coded = [(ids, [self.vocab.setdefault(w, len(self.vocab)) for w in ws]) for ids, ws in items if ws]
         for _, ws in coded:
             last = 0
             for w in ws:
                 last = self._extend(last, w)
         # marks[state]: (words of a window that the state holds, items it occurs in)
         found: dict[tuple[int, int], set] = {}
-        for item, ws in coded:
+        for ids, ws in coded:
             n = min(window, len(ws))
             state = length = 0
             for w in ws:
@@ -70,7 +78,7 @@ class Automaton:
                     at = state
                     while self.size[self.link[at]] >= n:
                         at = self.link[at]
-                    found.setdefault((at, n), set()).add(item)
+                    found.setdefault((at, n), set()).update(ids)
         self.marks: dict[int, list[tuple[int, tuple]]] = {}
         for (at, n), ids in found.items():
             self.marks.setdefault(at, []).append((n, tuple(ids)))
@@ -165,17 +173,34 @@ def without_spans(text: str, spans: list[list[int]]) -> str:
     return "".join(kept) + text[end:]
 
 
-def automata(items: DataFrame, window: int, part_words: int = PART_WORDS) -> list[Automaton]:
-    """One automaton for each part of the items; a part holds about ``part_words`` words.
+def automata(items: DataFrame, window: int, part_words: int = PART_WORDS) -> tuple[str, list[str]]:
+    """(folder, files): the stored automata, one for each part of the items (item_id, text).
 
-    An item is at least one part's share, so a single item beyond that size is its own part.
+    A part holds about ``part_words`` words; a single item beyond that size is its own part.
     """
     words = F.greatest(F.lit(1), F.octet_length("text") / 4)
-    total = items.agg(F.sum(words)).first()[0] or 0
+    own = items.where("text is not null").groupBy("text").agg(F.collect_set("item_id").alias("ids"))
+    own = written(own, "benchmark-items")
+    total = own.agg(F.sum(words)).first()[0] or 0
     parts = int(-(-total // part_words)) or 1
-    dealt = items.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts))) if parts > 1 else items.withColumn("part", F.lit(0))
-    return [Automaton([(r[0], words_of((r[1] or "").encode())) for r in dealt.where(F.col("part") == p)
-                       .select("item_id", "text").orderBy("item_id", "text").toLocalIterator()], window) for p in range(parts)]
+
+    def build(t: pa.Table) -> pa.Table:
+        rows = sorted((text, ids) for text, ids in zip(utf8(t.column("text")), t.column("ids").to_pylist()))
+        a = Automaton([(ids, words_of(text)) for text, ids in rows], window)
+        return pa.table({"automaton": pa.array([pickle.dumps(a.__dict__)], pa.binary())})
+
+    folder = shared_dir(items.sparkSession, "automata")
+    (own.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts))).groupBy("part").applyInArrow(build, "automaton binary")
+     .write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(folder))
+    stored = items.sparkSession.read.schema("automaton binary").parquet(folder)
+    return folder, sorted(r[0] for r in stored.select(F.col("_metadata.file_name")).distinct().collect())   # a name a part
+
+
+def loaded(folder: str, name: str) -> Automaton:
+    fs, root = open_folder(folder)
+    a = Automaton.__new__(Automaton)
+    a.__dict__.update(pickle.loads(pq.read_table(f"{root}/{name}", filesystem=fs).column("automaton")[0].as_py()))   # of our own writing
+    return a
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, min_coverage: float = 0.05, text: str = "text",
@@ -183,29 +208,49 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, min_cover
     """``docs`` with a struct column ``out`` (in place of one of that name): n_words, n_hit, items (sorted as texts), spans of
     words, and ``clean_text``: the text without its spans if they cover ``min_coverage`` of the
     words, else the text as it is."""
-    spark, docs = docs.sparkSession, docs.drop(out)
-    shared = [spark.sparkContext.broadcast(a) for a in automata(items, window, part_words)]
+    docs = docs.drop(out)
+    folder, files = automata(items, window, part_words)
     place = docs.columns.index(text)
 
-    def judge(raw: bytes) -> dict:
-        words, found, spans = words_of(raw), set(), []
-        for a in shared:
-            own_spans: list[list[int]] = []
-            a.value.hits(words, found, own_spans)
-            spans += own_spans
+    def judge(raw: bytes, n_words: int, found: set, spans: list[list[int]]) -> dict:
         spans = merged(spans)
         n_hit = sum(e - s for s, e in spans)
         own = raw.decode("utf-8", "replace")
-        dirty = n_hit and n_hit / len(words) >= min_coverage
-        return {"n_words": len(words), "n_hit": n_hit, "items": sorted((i for i in found if i is not None), key=str),
+        dirty = n_hit and n_hit / n_words >= min_coverage
+        return {"n_words": n_words, "n_hit": n_hit, "items": sorted(found, key=str),
                 "spans": [{"start": s, "end": e} for s, e in spans], "clean_text": without_spans(own, spans) if dirty else own}
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only = loaded(folder, files[0]) if len(files) == 1 else None
+
+        def walked(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            texts = [utf8(p.column(place)) for p in parts]
+            state = [[[0, set(), []] for _ in ts] for ts in texts]      # words, items and spans of each text
+            for name in files or [None]:
+                a = only or (loaded(folder, name) if name else None)
+                for ts, ss in zip(texts, state):
+                    for raw, x in zip(ts, ss):
+                        words, own = words_of(raw), []
+                        x[0] = len(words)
+                        if a is not None:
+                            a.hits(words, x[1], own)
+                            x[2] += own
+                del a
+            for p, ts, ss in zip(parts, texts, state):
+                hits = pa.array([judge(raw, *x) for raw, x in zip(ts, ss)], HITS_ARROW)
+                yield pa.record_batch([*p.columns, hits], names=[*p.schema.names, out])
+
+        group, size = [], 0
         for b in it:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                hits = pa.array([judge(t) for t in utf8(part.column(place))], HITS_ARROW)
-                yield pa.record_batch([*part.columns, hits], names=[*b.schema.names, out])
+                group.append(part)
+                size += part.column(place).nbytes
+                if len(files) < 2 or size >= GROUP:
+                    yield from walked(group)
+                    group, size = [], 0
+        if group:
+            yield from walked(group)
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(out, StructType.fromDDL(HITS)))
 

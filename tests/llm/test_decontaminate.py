@@ -47,8 +47,10 @@ def cases(request):
     return texts, items
 
 
-@pytest.mark.parametrize("part_words", [D.PART_WORDS, 60])
-def test_against_all_windows(spark, docs_of, cases, part_words):
+@pytest.mark.parametrize("part_words,group", [(D.PART_WORDS, D.GROUP), (60, D.GROUP), (60, 3000)])
+def test_against_all_windows(spark, docs_of, cases, part_words, group, monkeypatch):
+    """One automaton; several, walked by large and by small groups of documents."""
+    monkeypatch.setattr(D, "GROUP", group)
     texts, items = cases
     docs = docs_of(texts)
     got = D.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"), out="h", part_words=part_words)
@@ -73,3 +75,25 @@ def test_long_and_empty(spark, docs_of):
     assert (r.n_words, r.n_hit, r.clean_text.strip()) == (50_000, 50_000, "")
     assert D.decontaminate(docs_of(["a"]).limit(0), items, out="h").count() == 0
     assert D.decontaminate(docs_of(["a b"]), items.limit(0), out="h").first().h.n_hit == 0
+
+
+def test_bytes_that_are_not_utf8(spark):
+    from pyspark.sql import functions as F
+    item = "one two three caf\u00e9 five six seven eight nine ten eleven twelve thirteen"
+    raw = [b"\xff\xfe " + item.encode() + b" caf\xc3", item.encode().replace(b"\xc3\xa9", b"\xc3")]
+    docs = (spark.createDataFrame(list(enumerate(raw)), "doc_id long, raw binary")
+            .select("doc_id", F.col("raw").cast("string").alias("text")))
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r.doc_id: r.h for r in D.decontaminate(docs, items, out="h").select("doc_id", "h").collect()}
+    assert (got[0].n_words, got[0].n_hit, got[0]["items"]) == (15, 13, [7]) and got[0].clean_text == "\ufffd\ufffd  caf\ufffd"
+    assert (got[1].n_words, got[1].n_hit) == (13, 0) and "caf\ufffd" in got[1].clean_text
+
+
+def test_automata_are_built_in_tasks_and_stored(spark):
+    """A file for each part, none of them on the driver; copies of an item are one."""
+    items = spark.createDataFrame([(i, " ".join(f"w{i * 40 + k}" for k in range(30))) for i in range(200)] * 2, "item_id long, text string")
+    folder, files = D.automata(items, 13, 400)
+    assert len(files) > 5
+    built = [D.loaded(folder, f) for f in files]
+    assert sum(len(a.marks) for a in built) == 200 * 18
+    assert {i for a in built for m in a.marks.values() for _, ids in m for i in ids} == set(range(200))
