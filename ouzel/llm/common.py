@@ -6,10 +6,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ouzel.session import shared_dir
+from ouzel.sources.lines import open_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -50,6 +52,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def filed(df: DataFrame, name: str) -> tuple[str, list[str]]:
+    """(folder, files): ``df`` written to the shared folder, a file for each row; tasks read them by ``read_row``."""
+    folder = shared_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(folder)
+    stored = df.sparkSession.read.schema(df.schema).parquet(folder)
+    return folder, sorted(r[0] for r in stored.select(F.col("_metadata.file_name")).distinct().collect())   # names only
+
+
+def read_row(folder: str, file: str) -> dict:
+    fs, root = open_folder(folder)
+    return pq.read_table(f"{root}/{file}", filesystem=fs).slice(0, 1).to_pylist()[0]
+
+
 def utf8(col: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Texts as UTF-8 bytes; null is empty."""
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]

@@ -28,14 +28,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ouzel.llm.common import table, utf8, written
-from ouzel.session import shared_dir
-from ouzel.sources.lines import open_folder
+from ouzel.llm.common import filed, read_row, table, utf8, written
 
 # Word characters are digits, letters and everything above \x7F; as a byte table, A-Z lower-cased, others to spaces.
 NORMAL = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32
@@ -189,17 +186,13 @@ def automata(items: DataFrame, window: int, part_words: int = PART_WORDS) -> tup
         a = Automaton([(ids, words_of(text)) for text, ids in rows], window)
         return pa.table({"automaton": pa.array([pickle.dumps(a.__dict__)], pa.binary())})
 
-    folder = shared_dir(items.sparkSession, "automata")
-    (own.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts))).groupBy("part").applyInArrow(build, "automaton binary")
-     .write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(folder))
-    stored = items.sparkSession.read.schema("automaton binary").parquet(folder)
-    return folder, sorted(r[0] for r in stored.select(F.col("_metadata.file_name")).distinct().collect())   # a name a part
+    dealt = own.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts)))
+    return filed(dealt.groupBy("part").applyInArrow(build, "automaton binary"), "automata")
 
 
 def loaded(folder: str, name: str) -> Automaton:
-    fs, root = open_folder(folder)
     a = Automaton.__new__(Automaton)
-    a.__dict__.update(pickle.loads(pq.read_table(f"{root}/{name}", filesystem=fs).column("automaton")[0].as_py()))   # of our own writing
+    a.__dict__.update(pickle.loads(read_row(folder, name)["automaton"]))   # of our own writing
     return a
 
 

@@ -2,7 +2,9 @@
 
 A vector is a document whose terms are its dimensions. Candidates are dealt into
 shards by a hash of their id, each packed as term-major postings; queries are
-packed into blocks. Every (query block, shard) is one row of work. A query goes
+packed into blocks, a file each in the shared folder. A shard stays in one task, which
+reads the query blocks one after the other (with fewer shards than cores, a few tasks
+share a shard's query blocks), so the vectors are shuffled once. A query goes
 through the shard's posting blocks with the k-th best score so far as its bar:
 
 * a term's contribution in a posting block lies between its smallest and largest
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ouzel.llm.common import batch, pack, table, unpack, written
+from ouzel.llm.common import batch, filed, pack, read_row, table, unpack, written
 
 SHARD, QUERY_BLOCK, POSTING_BLOCK = 16384, 1024, 4096
 PROBED = 16            # terms probed between two comparisons with the bar
@@ -115,24 +117,32 @@ def maxscore(q: np.ndarray, qid: int, ids: np.ndarray, postings: list[tuple], k:
     return top_s, top_i
 
 
-def _searcher(k: int):
+def _searcher(k: int, folder: str, files: list[str]):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            for r in b.to_pylist():
-                ids, qids = unpack(r["ids"], np.int64), unpack(r["q_ids"], np.int64)
-                m = unpack(r["m"], np.int64).reshape(r["dim"], len(ids))
-                qs = unpack(r["q_m"], np.int64).reshape(r["q_dim"], len(qids))
-                dim = min(r["dim"], r["q_dim"])
-                m, qs = m[:dim].astype(np.float64), qs[:dim].T.astype(np.float64)
-                if m.size and qs.size and np.abs(m).max() * np.abs(qs).max() * dim >= 2.0 ** 53:
-                    raise OverflowError("scores beyond 2^53 would not be exact")
-                postings = [(at, p, p.min(1), p.max(1)) for at in range(0, len(ids), POSTING_BLOCK)
-                            for p in [np.ascontiguousarray(m[:, at:at + POSTING_BLOCK])]]
-                rows = []
-                for q, qid in zip(qs, qids.tolist()):
-                    s, i = maxscore(q, qid, ids, postings, k)
-                    rows += [(qid, int(y), int(x)) for x, y in zip(s, i)]
-                yield batch(rows, HITS)
+            for at in range(b.num_rows):
+                yield from search(b.slice(at, 1).to_pylist()[0])
+
+    def search(r: dict) -> Iterator[pa.RecordBatch]:
+        ids = unpack(r["ids"], np.int64)
+        whole = unpack(r["m"], np.int64).reshape(r["dim"], len(ids)).astype(np.float64)
+        postings: dict[int, list] = {}        # by the number of terms
+        for file in files[r["share"]::r["shares"]]:
+            asked = read_row(folder, file)
+            qids = unpack(asked["ids"], np.int64)
+            qs = unpack(asked["m"], np.int64).reshape(asked["dim"], len(qids))
+            dim = min(r["dim"], asked["dim"])
+            m, qs = whole[:dim], qs[:dim].T.astype(np.float64)
+            if m.size and qs.size and np.abs(m).max() * np.abs(qs).max() * dim >= 2.0 ** 53:
+                raise OverflowError("scores beyond 2^53 would not be exact")
+            if dim not in postings:
+                postings = {dim: [(at, p, p.min(1), p.max(1)) for at in range(0, len(ids), POSTING_BLOCK)
+                                  for p in [np.ascontiguousarray(m[:, at:at + POSTING_BLOCK])]]}
+            rows = []
+            for q, qid in zip(qs, qids.tolist()):
+                s, i = maxscore(q, qid, ids, postings[dim], k)
+                rows += [(qid, int(y), int(x)) for x, y in zip(s, i)]
+            yield batch(rows, HITS)
     return run
 
 
@@ -140,10 +150,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) for (id, v) rows; candidates are all ``vectors`` but the query's own id."""
     shards, n = packed(vectors, SHARD)
     asked, _ = packed(queries.groupBy("id").agg(F.min("v").alias("v")), QUERY_BLOCK)
-    work = (asked.select(F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("m").alias("q_m"),
-                         F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>")).alias("block"))
-            .join(written(shards, "shards"), "block").repartition(F.xxhash64("q_ids"), "block"))
-    hits = work.mapInArrow(_searcher(k), "query_id long, vec_id long, score long")
+    folder, files = filed(asked.select("dim", "ids", "m"), "queries")
+    # a shard goes to several tasks only where there are more cores than shards
+    shares = max(1, min(len(files), -(-vectors.sparkSession.sparkContext.defaultParallelism // n)))
+    share = F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))
+    work = written(shards, "shards").select("*", share.alias("share"), F.lit(shares).alias("shares"))
+    work = work.repartitionById(n * shares, (F.col("block") * shares + F.col("share")).cast("int"))
+    hits = work.mapInArrow(_searcher(k, folder, files), "query_id long, vec_id long, score long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

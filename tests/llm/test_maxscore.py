@@ -45,3 +45,17 @@ def test_scores_that_would_not_be_exact(spark):
     q = M.quantised(df)
     with pytest.raises(Exception, match="2\\^53"):
         M.top_k(q, q, 1).collect()
+
+
+def test_vectors_are_shuffled_once(spark, monkeypatch):
+    """A shard is a row of work, or a few where cores outnumber shards, whatever the number of queries."""
+    monkeypatch.setattr(M, "SHARD", 50)
+    monkeypatch.setattr(M, "QUERY_BLOCK", 10)
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(1000)], "vec_id long, embedding array<double>")
+    q = M.quantised(df)
+    seen = []
+    monkeypatch.setattr(M, "_searcher", lambda k, folder, files: seen.append(len(files)) or
+                        (lambda it: ([M.batch([(0, r["block"], r["share"]) for b in it for r in b.to_pylist()], M.HITS)])))
+    rows = M.top_k(q, q, 10_000).collect()
+    assert seen[0] > 50 and len(rows) == 20
