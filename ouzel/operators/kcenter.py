@@ -7,9 +7,9 @@ Two distributed rounds plus a radius round:
 3. ``radius``: the largest distance from a point to its nearest center.
 
 A bucket of at most ``max_group_rows`` points is traversed by one Python worker
-(NumPy over the bucket's points); a larger one by K rounds of a per-bucket arg-max
-over all tasks, with the least distances kept in the shared folder. Both choose
-the same centers, so the answer does not depend on the limit.
+(NumPy over the bucket's points); a larger one by passes of all tasks, each of which
+sends a bounded number of the farthest points and so decides several centers at once
+(``fft_passes``). Both choose the same centers, so the answer does not depend on the limit.
 
 The passes over all points against the K centers (``nearest_center``, ``radius``, ...)
 are Arrow batch passes: the centers travel with the function, and the plan is the
@@ -48,8 +48,9 @@ CORESET_SCHEMA = "b long, ord int, id long, x double, y double"
 MAX_GROUP_ROWS = 2_000_000
 # Distances of a pass computed at a time (points x centers).
 PASS_CELLS = 1 << 21
-# Rounds between two written tables of least distances.
-KEEP_EVERY = 8
+# Points that a pass of the traversal of large buckets sends to the driver, over all tasks and buckets.
+CANDIDATES = 1 << 14
+CANDIDATE_SCHEMA = "b long, id long, x double, y double, d double, last boolean"
 
 
 def fft_indices(x: np.ndarray, y: np.ndarray, K: int, first: int = 0) -> list[int]:
@@ -90,39 +91,93 @@ def _fft_group(K: int):
     return run
 
 
-def _fft_rounds(pts: DataFrame, K: int) -> DataFrame:
-    """``CORESET_SCHEMA`` of buckets of any size: K rounds, each one aggregate over all points.
+def _farthest(centers: dict[int, np.ndarray], most: int):
+    """For every bucket of a task its ``most`` points with the largest least distance to the bucket's ``centers``."""
+    names = [f.split()[0] for f in CANDIDATE_SCHEMA.split(", ")]
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple] = {}
+        for batch in it:
+            b, ids, x, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            for k in np.unique(b).tolist():
+                at, c = np.flatnonzero(b == k), centers[k]
+                step = max(1, PASS_CELLS // len(c))
+                d = np.concatenate([np.sqrt((np.square(x[part, None] - c[:, 0]) + np.square(y[part, None] - c[:, 1])).min(1))
+                                    for i in range(0, len(at), step) for part in [at[i:i + step]]])
+                rows = [d, ids[at], x[at], y[at]]
+                held = best.get(k)
+                if held is not None:
+                    rows = [np.concatenate([h, r]) for h, r in zip(held[0], rows)]
+                cut = len(rows[0]) > most
+                if cut:
+                    order = np.lexsort((rows[1], -rows[0]))[:most]
+                    rows = [r[order] for r in rows]
+                best[k] = rows, cut or (held is not None and held[1])
+        for k, ((d, ids, x, y), cut) in best.items():
+            last = np.zeros(len(d), bool)
+            if cut:
+                last[np.lexsort((ids, -d))[-1]] = True       # no point left out comes before it
+            yield pa.record_batch([pa.array(np.full(len(d), k)), pa.array(ids), pa.array(x), pa.array(y), pa.array(d), pa.array(last)], names=names)
+    return run
+
+
+def _more_centers(rows: list, chosen: list[tuple], K: int) -> list[tuple]:
+    """The next centers ``(b, ord, id, x, y)`` of a bucket, as far as its candidate ``rows`` decide them."""
+    ids, x, y, d = (np.array([r[i] for r in rows]) for i in range(1, 5))
+    order = np.argsort(ids, kind="stable")
+    ids, x, y, d = ids[order], x[order], y[order], d[order]
+    # what was left out comes after the first of the tasks' last points, by distance and then id
+    left = min(((-r.d, r.id) for r in rows if r.last), default=None)
+    new = []
+    while len(chosen) + len(new) < K:
+        k = int(np.argmax(d))
+        if left is not None and (-d[k], ids[k]) > left:
+            break
+        new.append((chosen[0][0], len(chosen) + len(new), int(ids[k]), float(x[k]), float(y[k])))
+        dx, dy = x - x[k], y - y[k]
+        d = np.minimum(d, np.sqrt(dx * dx + dy * dy))
+    return new
+
 
-    A round adds one center per bucket; the centers of the last rounds (few per bucket)
-    are joined by bucket, and every ``KEEP_EVERY`` rounds the least distances are written.
+def fft_passes(points: DataFrame, K: int, candidates: int | None = None) -> tuple[list[tuple], int]:
+    """Centers ``(b, ord, id, x, y)`` of buckets ``b, id, x, y, pri`` of any size, and the passes over the points.
+
+    A pass sends the points farthest from the centers so far, at most about ``candidates`` over all tasks and
+    buckets, and each task's last of them, beyond which nothing it left out can come. A new center can only
+    lower distances, so the traversal goes on among the candidates as long as the next center is one
+    that no point left out can precede; then the next pass is due. The centers travel with the pass and
+    the distances are worked out anew, so nothing is stored between passes.
     """
-    spark, folders = pts.sparkSession, [shared_dir(pts.sparkSession, "fft-distances")]
-    kept = written(pts.withColumn("d2", F.lit(float("inf"))), folders[0])
+    candidates = candidates or CANDIDATES
+    spark = points.sparkSession
+    folder = shared_dir(spark, "fft-points")
+    pts = written(points.select(F.col("b").cast("long").alias("b"), F.col("id").cast("long").alias("id"),
+                                F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "pri"), folder)
     first = F.min_by(F.struct("id", "x", "y"), F.struct("pri", "id"))
-    buckets = kept.groupBy("b").agg(first.alias("c"), F.count(F.lit(1)).alias("n")).collect()
-    chosen, left = [(r.b, 0, r.c.id, r.c.x, r.c.y) for r in buckets], {r.b: r.n for r in buckets}
-    recent = list(chosen)
-    for k in range(1, K):
-        by_bucket: dict[int, list] = {}
-        for b, _, _, x, y in recent:
-            by_bucket.setdefault(b, []).append((x, y))
-        near = spark.createDataFrame(list(by_bucket.items()), "b long, near array<struct<x: double, y: double>>")
-        d2 = F.array_min(F.transform("near", lambda c: (F.col("x") - c.x) * (F.col("x") - c.x)
-                                     + (F.col("y") - c.y) * (F.col("y") - c.y)))
-        cur = kept.join(near, "b", "left").withColumn("d2", F.least("d2", d2)).drop("near")
-        if k % KEEP_EVERY == 0:
-            folders.append(shared_dir(spark, "fft-distances"))
-            kept, recent = written(cur, folders[-1]), []
-            cur = kept
-        best = F.max_by(F.struct("id", "x", "y"), F.struct(F.sqrt("d2"), -F.col("id")))
-        new = [(r.b, k, r.c.id, r.c.x, r.c.y) for r in cur.groupBy("b").agg(best.alias("c")).collect() if k < left[r.b]]
-        if not new:
-            break
-        chosen += new
-        recent += new
-    for f in folders:
-        delete(spark, f)
-    return spark.createDataFrame(chosen, CORESET_SCHEMA)
+    buckets = pts.groupBy("b").agg(first.alias("c"), F.count(F.lit(1)).alias("n")).collect()
+    chosen = {r.b: [(r.b, 0, r.c.id, r.c.x, r.c.y)] for r in buckets}
+    wanted = {r.b: min(K, r.n) for r in buckets}
+    open_, passes = [b for b in chosen if wanted[b] > 1], 0
+    tasks = max(1, len(pts.inputFiles()))
+    while open_:
+        most = max(2, candidates // (tasks * len(open_)))
+        centers = {b: np.array([c[3:] for c in chosen[b]]) for b in open_}
+        own = pts.where(F.col("b").isin(open_)) if len(open_) < len(chosen) else pts
+        found: dict[int, list] = {}
+        for r in own.select("b", "id", "x", "y").mapInArrow(_farthest(centers, most), CANDIDATE_SCHEMA).collect():
+            found.setdefault(r.b, []).append(r)
+        passes += 1
+        for b in list(open_):
+            chosen[b] += _more_centers(found[b], chosen[b], wanted[b])    # one at least
+            if len(chosen[b]) >= wanted[b]:
+                open_.remove(b)
+    delete(spark, folder)
+    return [c for b in sorted(chosen) for c in chosen[b]], passes
+
+
+def _fft_rounds(pts: DataFrame, K: int) -> DataFrame:
+    """``CORESET_SCHEMA`` of buckets of any size."""
+    return pts.sparkSession.createDataFrame(fft_passes(pts, K)[0], CORESET_SCHEMA)
 
 
 def _fft_buckets(pts: DataFrame, K: int, max_group_rows: int, fits: bool) -> DataFrame:
@@ -220,14 +275,20 @@ def mr_fft(points: DataFrame, K: int, L: int, bucket: str | Column = "b",
            seed: int | None = None) -> tuple[list[tuple], DataFrame]:
     """Rounds 1-3. Returns the centers and a one-row radius DataFrame."""
     coreset = fft_coreset(points, K, bucket, seed)
-    centers = collect_centers(fft_centers(coreset, K, seed, coreset_rows=K * L))
+    if K * L > CANDIDATES:
+        centers = collect_centers(fft_centers(coreset, K, seed, coreset_rows=K * L))
+    else:                                                    # at most K * L rows
+        rows = sorted(coreset.select("id", "x", "y", _priority(seed).alias("pri")).collect())
+        first = min(range(len(rows)), key=lambda i: (rows[i].pri, rows[i].id), default=0)
+        at = fft_indices(np.array([r.x for r in rows]), np.array([r.y for r in rows]), K, first)
+        centers = [(k, rows[i].id, rows[i].x, rows[i].y) for k, i in enumerate(at)]
     return centers, radius(points, centers)
 
 
 def fft_iterative(points: DataFrame, K: int, seed: int | None = None) -> list[tuple]:
-    """F1e: farthest-first over the whole table, no coreset: the rounds of one bucket."""
+    """F1e: farthest-first over the whole table, no coreset: the passes of one bucket."""
     pts = points.select(F.lit(0).cast("long").alias("b"), F.col("id").cast("long").alias("id"), "x", "y", _priority(seed).alias("pri"))
-    return collect_centers(_fft_rounds(pts, K).drop("b"))
+    return [c[1:] for c in fft_passes(pts, K)[0]]
 
 
 def centers_frame(spark, centers: Sequence[tuple]) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ouzel.operators import kcenter
-from ouzel.sources.points import points_from_embeddings
+from ouzel.sources.points import points_from_embeddings, points_from_orders
 
 SF = "/root/testdata/sf0.01"
 
@@ -50,17 +50,37 @@ def test_radius_bounds(spark):
         assert rad.collect()[0].radius <= 4 * r_it + 1e-12
 
 
-def test_iterative_same_centers_however_often_distances_are_written(spark, monkeypatch):
+@pytest.mark.parametrize("candidates", [1, 40, 1 << 14])
+def test_iterative_same_centers_however_few_candidates_a_pass_sends(spark, candidates, monkeypatch):
     pe = points_from_embeddings(spark, SF)
-    a = kcenter.fft_iterative(pe, 7)
-    monkeypatch.setattr(kcenter, "KEEP_EVERY", 2)
-    assert a == kcenter.fft_iterative(pe, 7)
+    monkeypatch.setattr(kcenter, "CANDIDATES", candidates)
+    a = kcenter.fft_iterative(pe, 12)
     xy = pe.orderBy("id").select("x", "y").toPandas().to_numpy()
-    idx = kcenter.fft_indices(xy[:, 0], xy[:, 1], 7)
+    idx = kcenter.fft_indices(xy[:, 0], xy[:, 1], 12)
     ids = pe.orderBy("id").select("id").toPandas()["id"].to_numpy()
     assert [c[1] for c in a] == [int(ids[i]) for i in idx]
 
 
+def test_ties_copies_and_more_centers_than_points(spark, monkeypatch):
+    rows = [(i, float(i % 7), float(i % 3)) for i in range(60)]
+    pts = spark.createDataFrame(rows, "id long, x double, y double").repartition(5, "id")
+    x, y = (np.array([r[k] for r in rows]) for k in (1, 2))
+    for candidates in (1, 30, 1000):
+        monkeypatch.setattr(kcenter, "CANDIDATES", candidates)
+        for K in (1, 5, 25, 100):
+            assert [c[1] for c in kcenter.fft_iterative(pts, K)] == kcenter.fft_indices(x, y, K)
+    assert kcenter.fft_iterative(pts.limit(0), 3) == []
+
+
+def test_a_pass_decides_many_centers(spark):
+    """100 centers of 15,000 points in far fewer passes than centers; a bounded number of points comes to the driver."""
+    po = points_from_orders(spark, SF).select(F.lit(0).cast("long").alias("b"), "id", "x", "y", F.col("id").alias("pri"))
+    centers, passes = kcenter.fft_passes(po, 100, candidates=1500)
+    pts = po.select("id", "x", "y").toPandas().sort_values("id")
+    want = kcenter.fft_indices(pts.x.to_numpy(), pts.y.to_numpy(), 100)
+    assert [c[2] for c in centers] == pts.id.to_numpy()[want].tolist() and passes <= 40
+
+
 def test_nearest_center(spark):
     pe = points_from_embeddings(spark, SF)
     centers = kcenter.fft_iterative(pe, 4)
