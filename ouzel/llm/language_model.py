@@ -62,7 +62,8 @@ PART = 1 << 20         # (block, word) entries for each word part
 HOT = 1 << 20          # tokens of a context that is split over shards
 EXACT = 64             # customers of a dish whose Stirling numbers come from their recurrence, beyond from an integral
 ANGLE, NODES = 0.6, 40 # of the integral's contour
-STEPS, CELLS = 48, 128  # tables tried one by one, and cells of wider distributions
+STEPS = 48             # tables tried one by one; of wider distributions:
+KNOTS, CELLS = 17, 256 # places where the weights are worked out, and cells
 TERMS = 16             # of the alternating sum
 THETA, THETA0 = 1.0, 10.0
 END = b""              # no word is empty
@@ -284,7 +285,7 @@ def log_sizes(d: float, n: np.ndarray, t: np.ndarray) -> np.ndarray:
     n, t = np.broadcast_arrays(np.asarray(n, float), np.asarray(t, float))
     shape, n, t = n.shape, n.reshape(-1), t.reshape(-1)
     low, high = np.log(1e-2 / n), np.full(len(n), np.log(1 - 1e-9))
-    for _ in range(40):                                   # the saddle, z = 1 - x on a log scale
+    for _ in range(24):                                   # the saddle, z = 1 - x on a log scale
         mid = (low + high) / 2
         z = np.exp(mid)
         under = n / (1 - z) < t * d * z ** (d - 1) / (1 - z ** d)
@@ -381,8 +382,8 @@ class Seating:
         return out
 
     def _wide(self, c: np.ndarray, room: np.ndarray, log_base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        """The draw where there may be more than ``STEPS`` tables: weights on a coarse grid, then on ``CELLS`` places of
-        the range that holds them."""
+        """The draw where there may be more than ``STEPS`` tables: weights on a coarse grid, then on ``CELLS`` cells
+        of the range that holds them."""
         def weights(sizes: np.ndarray, t: np.ndarray, some) -> np.ndarray:
             return sizes + t * log_base[some, None] + log_gamma(room[some, None] + t) - log_gamma(t + 1.0)
 
@@ -398,18 +399,24 @@ class Seating:
             own = self.sizes[n][:len(grid)]
             sizes[i, :len(own)] = own
         out = np.ones(len(c), np.int64)
-        for at in range(0, len(c), 64):
-            k = np.arange(at, min(at + 64, len(c)))
+        knots = np.cos(np.pi * (np.arange(KNOTS) + 0.5) / KNOTS)
+        to_series = 2 / KNOTS * np.cos(np.pi * np.outer(np.arange(KNOTS), np.arange(KNOTS) + 0.5) / KNOTS)
+        to_series[0] /= 2
+        for at in range(0, len(c), 256):
+            k = np.arange(at, min(at + 256, len(c)))
             w = weights(sizes[place[k]], grid[None, :], k)
             likely = w > w.max(axis=1, keepdims=True) - 22
-            low = grid[np.maximum(np.argmax(likely, axis=1) - 1, 0)]
-            high = np.minimum(grid[np.minimum(len(grid) - np.argmax(likely[:, ::-1], axis=1), len(grid) - 1)], c[k])
+            low = grid[np.maximum(np.argmax(likely, axis=1) - 1, 0)].astype(float)
+            high = np.minimum(grid[np.minimum(len(grid) - np.argmax(likely[:, ::-1], axis=1), len(grid) - 1)], c[k]).astype(float)
+            half = np.maximum((high - low) / 2, 0.5)
+            # the log weights are smooth in t: a Chebyshev series through KNOTS places, read off at the cells
+            t = np.minimum(low[:, None] + half[:, None] * (1 + knots), c[k][:, None])
+            series = to_series @ weights(log_sizes(self.d, c[k][:, None], t), t, k).T
             step = np.maximum((high - low) / (CELLS - 1), 1.0)
             t = np.floor(low[:, None] + np.arange(CELLS) * step[:, None] + 0.5)
             there = t <= high[:, None]
-            t = np.where(there, t, 1)
-            w = np.where(there, weights(log_sizes(self.d, c[k][:, None], t), t, k), -np.inf)
-            got = t[np.arange(len(k)), np.argmax(w + rng.gumbel(size=w.shape), axis=1)]
+            w = np.polynomial.chebyshev.chebval(((t - low[:, None]) / half[:, None] - 1).T, series, tensor=False).T
+            got = t[np.arange(len(k)), np.argmax(np.where(there, w, -np.inf) + rng.gumbel(size=w.shape), axis=1)]
             # beyond CELLS values: one drawn evenly from the cell around the value, a small part of the deviation wide
             got = np.where(step > 1, np.floor(got + (rng.random(len(k)) - 0.5) * step + 0.5), got)
             out[k] = np.clip(got, 1, c[k]).astype(np.int64)
