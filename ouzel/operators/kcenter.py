@@ -29,7 +29,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +41,7 @@ from ouzel.session import delete, shared_dir, written
 # (pickled by value) instead of a reference to the module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+DOUBLING_FACTOR = 10
 CENTER_SCHEMA = "ord int, id long, x double, y double"
 CORESET_SCHEMA = "b long, ord int, id long, x double, y double"
 # Largest bucket one Python worker traverses (24 bytes per point in NumPy, a
@@ -291,6 +292,86 @@ def fft_iterative(points: DataFrame, K: int, seed: int | None = None) -> list[tu
     return [c[1:] for c in fft_passes(pts, K)[0]]
 
 
+class Doubling:
+    """At most K of the points seen so far that cover all of them, in one pass and bounded memory (doubling algorithm).
+
+    A point further than ``t`` from all centers becomes a center. With more than K, ``t`` becomes the larger of 2 t and the
+    least distance of two centers, and centers within ``t`` of a kept one are dropped. K + 1 points further apart
+    than t mean that any K centers leave some point t / 2 away, and what was covered within 2 t stays covered within
+    2 t; so all points lie within ``reach`` = 2 t of the centers, at most 8 times the best radius of any K centers.
+    """
+
+    def __init__(self, K: int):
+        self.K, self.t = K, 0.0
+        self.ids, self.xy = np.zeros(0, np.int64), np.zeros((0, 2))
+
+    @property
+    def reach(self) -> float:
+        return 2 * self.t
+
+    def _distance(self, xy: np.ndarray, to: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.square(xy[:, None, 0] - to[None, :, 0]) + np.square(xy[:, None, 1] - to[None, :, 1]))
+
+    def add(self, ids: np.ndarray, xy: np.ndarray) -> None:
+        step = max(1, PASS_CELLS // (self.K + 1))
+        for at in range(0, len(ids), step):
+            self._add(ids[at:at + step], xy[at:at + step])
+
+    def _add(self, ids: np.ndarray, xy: np.ndarray) -> None:
+        d = self._distance(xy, self.xy).min(1) if len(self.ids) else np.full(len(ids), np.inf)
+        at = 0
+        while True:
+            far = np.flatnonzero(d[at:] > self.t)
+            if not len(far):
+                return
+            at += int(far[0])
+            self.ids, self.xy = np.append(self.ids, ids[at]), np.concatenate([self.xy, xy[at:at + 1]])
+            d = np.minimum(d, self._distance(xy, xy[at:at + 1])[:, 0])
+            if len(self.ids) > self.K:
+                self._merge()
+                d = self._distance(xy, self.xy).min(1)
+            at += 1
+
+    def _merge(self) -> None:
+        while len(self.ids) > self.K:
+            apart = self._distance(self.xy, self.xy)
+            self.t = max(2 * self.t, apart[np.triu_indices(len(self.ids), 1)].min())
+            kept = []
+            for i in range(len(self.ids)):
+                if not kept or apart[i, kept].min() > self.t:
+                    kept.append(i)
+            self.ids, self.xy = self.ids[kept], self.xy[kept]
+
+
+def doubling_coreset(points: DataFrame, K: int) -> DataFrame:
+    """U2 / F1a in one pass: at most K centers of each task's points -> ``part, id, x, y, reach``.
+
+    Points are neither shuffled nor held; which points a task sees is left to the source.
+    """
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Doubling(K)
+        for b in it:
+            ids, x, y = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            own.add(ids, np.stack([x, y], axis=1))
+        n, part = len(own.ids), TaskContext.get().partitionId()
+        yield pa.record_batch([pa.array(np.full(n, part, np.int64)), pa.array(own.ids), pa.array(np.ascontiguousarray(own.xy[:, 0])),
+                               pa.array(np.ascontiguousarray(own.xy[:, 1])), pa.array(np.full(n, own.reach))],
+                              names=["part", "id", "x", "y", "reach"])
+
+    return points.select(F.col("id").cast("long"), F.col("x").cast("double"), F.col("y").cast("double")).mapInArrow(
+        run, "part long, id long, x double, y double, reach double")
+
+
+def doubling_fft(points: DataFrame, K: int) -> tuple[list[tuple], DataFrame]:
+    """F1c with the one-pass coreset: the centers and a one-row radius, at most ``DOUBLING_FACTOR`` times the best
+    (8 from the pass, 2 from the traversal of what it keeps)."""
+    folder = shared_dir(points.sparkSession, "doubling")
+    coreset = written(doubling_coreset(points, K).select("id", "x", "y"), folder)      # K rows a task
+    centers = collect_centers(fft_centers(coreset, K))
+    delete(points.sparkSession, folder)
+    return centers, radius(points, centers)
+
+
 def centers_frame(spark, centers: Sequence[tuple]) -> DataFrame:
     """The K centers as a DataFrame ``ord, id, x, y``."""
     return spark.createDataFrame([tuple(c) for c in centers], CENTER_SCHEMA)

@@ -226,6 +226,7 @@ def build() -> dict[str, str]:
                           + ",\n".join(ci) + f"\nSELECT ord, id, x, y FROM ({ui})")
     q["cluster_radius"] = (f"WITH pe AS ({PE}), pg AS (SELECT 0 AS g, id, x, y FROM pe),\n" + ",\n".join(ci)
                            + f",\ncenters AS ({ui}),\n" + radius_cte() + "\nSELECT radius FROM rad")
+    q["fft_doubling"] = f"SELECT count(*) > 0 AS at_most_k, count(*) > 0 AS within FROM ({PO})"
     po_l = f"SELECT id, x, y, id % {P.ORD_L} AS b FROM ({PO})"
     q["fft_radius_orders_k100"] = (f"WITH RECURSIVE pb AS ({po_l}),\n" + fft_recursive("pb", P.ORD_K, "r1")
                                    + ",\ncs AS (SELECT 0 AS b, cid AS id, cx AS x, cy AS y FROM (SELECT DISTINCT b, t, cid, cx, cy FROM r1)),\n"

@@ -220,6 +220,16 @@ def fft_radius_orders_k100(spark, sf):
     return kcenter.mr_fft(_orders_bucketed(spark, sf, P.ORD_L), P.ORD_K, P.ORD_L)[1]
 
 
+def fft_doubling(spark, sf):
+    """F1c with the one-pass coreset, in a form that does not depend on the cut: whether there are 1 to K centers, and whether the
+    radius is within its proven factor of that of the traversal of all points."""
+    po = _po(spark, sf)
+    centers, rad = kcenter.doubling_fft(po, P.PE_K)
+    best = kcenter.radius(po, kcenter.fft_iterative(po, P.PE_K)).select("radius").scalar()
+    return rad.select(F.lit(0 < len(centers) <= P.PE_K).alias("at_most_k"),
+                      (F.col("radius") <= kcenter.DOUBLING_FACTOR * best).alias("within"))
+
+
 def nearest_center_distance(spark, sf):
     pe, centers = _two_round_centers(spark, sf)
     return kcenter.nearest_center_distance(pe, centers)
@@ -466,6 +476,7 @@ QUERIES: dict[str, Query] = {
     "fft_radius": fft_radius,
     "fft_radius_orders": fft_radius_orders,
     "fft_radius_orders_k100": fft_radius_orders_k100,
+    "fft_doubling": fft_doubling,
     "fft_outliers": fft_outliers,
     "fft_iterative": fft_iterative,
     # frequent items

@@ -117,3 +117,49 @@ def test_plan_does_not_grow_with_k(spark):
     pe = points_from_embeddings(spark, SF)
     plan = lambda k: kcenter.radius(pe, [(i, i, 0.0, float(i)) for i in range(k)])._jdf.queryExecution().toString()
     assert len(plan(200)) <= len(plan(2)) + 50
+
+
+def doubling_replay(rows, K):
+    """The rule applied one point at a time."""
+    t, kept = 0.0, []
+    d = lambda a, b: float(np.sqrt((a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2))
+    for p in rows:
+        if not kept or min(d(p, c) for c in kept) > t:
+            kept.append(p)
+            while len(kept) > K:
+                t = max(2 * t, min(d(a, b) for i, a in enumerate(kept) for b in kept[:i]))
+                old, kept = kept, []
+                for c in old:
+                    if not kept or min(d(c, o) for o in kept) > t:
+                        kept.append(c)
+    return [c[0] for c in kept], 2 * t
+
+
+@pytest.mark.parametrize("K", [1, 3, 10])
+def test_doubling_equals_the_replay_and_keeps_its_promises(K):
+    rng = np.random.default_rng(K)
+    for n in (0, 1, 5, 400):
+        xy = rng.normal(size=(n, 2)) * rng.choice([0.01, 1, 50], (n, 1))
+        xy[n // 2:n // 2 + 3] = 0.5                                  # copies
+        own = kcenter.Doubling(K)
+        for at in range(0, n, 37):
+            own.add(np.arange(at, min(n, at + 37)), xy[at:at + 37])
+        ids, reach = doubling_replay([(i, *p) for i, p in enumerate(xy)], K)
+        assert own.ids.tolist() == ids and own.reach == pytest.approx(reach)
+        if n:
+            far = np.sqrt(((xy[:, None] - own.xy[None]) ** 2).sum(-1)).min(1).max()
+            best = kcenter.fft_indices(xy[:, 0], xy[:, 1], K + 1)     # K + 1 points apart bound any K centers from below
+            apart = min((np.linalg.norm(xy[a] - xy[b]) for i, a in enumerate(best) for b in best[:i]), default=0.0)
+            assert len(own.ids) <= K and far <= own.reach + 1e-12 <= 8 * max(apart / 2, 0) * 2 + 1e-9
+
+
+def test_doubling_over_partitions(spark):
+    """Whatever the partitions hold, the radius is within the factor of the traversal's."""
+    pe = points_from_embeddings(spark, SF)
+    best = kcenter.radius(pe, kcenter.fft_iterative(pe, 5)).first().radius
+    for parts in (1, 3, 9):
+        pts = pe.repartition(parts, "id")
+        core = kcenter.doubling_coreset(pts, 5)
+        assert core.groupBy("part").count().where("count > 5").count() == 0
+        centers, rad = kcenter.doubling_fft(pts, 5)
+        assert 1 <= len(centers) <= 5 and best / 2 <= rad.first().radius <= kcenter.DOUBLING_FACTOR * best
