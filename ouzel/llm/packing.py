@@ -35,6 +35,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -92,13 +93,13 @@ class Words:
 
     def _look_up(self, words: set[bytes]) -> None:
         """Sees to it that the ids of ``words`` are known."""
-        known, old, new, marked = self.known, self.old, set(), []
-        for w in words:
-            if w in known:
-                continue
-            if (ids := old.get(w)) is not None:
-                known[w] = ids
-            elif len(stem := w.rstrip(self.MARKS)) < len(w) and stem[-1:].isalpha() and b"<|" not in w:
+        known, old, new, marked, marks_of = self.known, self.old, set(), [], self.MARKS
+        words = words.difference(known)
+        for w in words.intersection(old) if old else ():
+            known[w] = old[w]
+        for w in words.difference(old) if old else words:
+            stem = w.rstrip(marks_of)
+            if len(stem) < len(w) and stem[-1:].isalpha() and b"<|" not in w:
                 marked.append((w, stem, w[len(stem):]))
             else:
                 new.add(w)
@@ -118,9 +119,9 @@ class Words:
         if len(self.known) > self.keep:
             self.known, self.old = {}, self.known
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self._look_up(set().union(*split))
-        end = np.array([end_id], "<u4").tobytes()
-        return [b"".join([*map(self.known.__getitem__, ws), end]) for ws in split]
+        self._look_up(set(chain.from_iterable(split)))
+        end, ids = np.array([end_id], "<u4").tobytes(), self.known.__getitem__
+        return [b"".join(map(ids, ws)) + end for ws in split]
 
 
 def tokenised(docs: DataFrame, path: str, end_id: int = 2, text: str = "text", source: str = "source",
