@@ -74,3 +74,36 @@ def test_distance_to_the_first(spark, clustered):
     got = {r.id: r.d for r in metric.point_distance(frame(spark, clustered)).collect()}
     want = np.sqrt(((clustered - clustered[0]) ** 2).sum(1))
     assert len(got) == len(want) and max(abs(got[i] - w) for i, w in enumerate(want)) < 1e-9
+
+
+def directions(n, columns, seed):
+    x = np.random.default_rng(seed).normal(size=(n, columns))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_no_guests_where_no_pair_can_be_ruled_out(spark):
+    """A split that saves nothing is not made: the points stay one cell, whose blocks are compared in pairs."""
+    x = directions(900, 40, 5)
+    sizes = metric.cell_sizes(metric.partition(metric.distinct_points(frame(spark, x)), 1.2, leaf=40, share=15)).collect()
+    assert sum(r.owned for r in sizes) == 900
+    assert sum(r.guests for r in sizes) <= metric.COPIES * 900
+
+
+@pytest.mark.parametrize("how", [{"leaf": 40, "share": 10}, {"leaf": 40, "share": 200, "depth": 1}])
+def test_stored_blocks_of_large_cells(spark, clustered, how):
+    """Cells of over 50 own points in files of 40 points and more: one cell without guests, and cells with guests."""
+    for x, D in ((directions(500, 40, 6), 1.2), (clustered, 1.3)):
+        got = {r.id: r.ball for r in metric.ball_counts(frame(spark, x), D, **how, most=50, numbers=40 * x.shape[1]).collect()}
+        assert got == dict(enumerate(brute(x, D).tolist()))
+
+
+def test_pairs_in_both_directions():
+    """Single and double precision, tiles with few and with most pairs near, sides longer than a tile."""
+    rng = np.random.default_rng(7)
+    for scale, shift, D in ((1.0, 0.0, 1.3), (0.1, 0.0, 1.3), (1.0, 1e6, 1.3), (1.0, 1e12, 1.3), (1e-20, 0.0, 1.3e-20), (1e25, 0.0, 1.3e25)):
+        a, b = (directions(n, 30, n) * scale + shift for n in (700, 2300))
+        wa, wb = rng.integers(1, 9, 700), rng.integers(1, 9, 2300)
+        near = np.sqrt(np.square(a[:, None, :] - b[None, :, :]).sum(-1)) < D
+        out, other = metric.within(a, b, wb, D, wa)
+        assert out.tolist() == (near @ wb).tolist() and other.tolist() == (wa @ near).tolist()
+        assert metric.within(a, b, wb, D).tolist() == out.tolist()
