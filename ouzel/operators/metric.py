@@ -21,6 +21,9 @@ blocks of ``CELLS`` numbers, a file each; a task reads two of them at a time, an
 blocks is compared once for both sides. That work is quadratic by nature: pairs of points
 cost a few ns each, and what is read grows with the number of blocks.
 
+Outliers need no full counts: points with more than M points nearer than D among ``PROBED``
+drawn ones are none. Only the others are guests and are compared with all points.
+
 Points that are null, empty or hold a null or a non-finite number take no part.
 """
 
@@ -47,6 +50,7 @@ BLOCK = 1024                # points of a block of a small cell
 MOST, CELLS = 4096, 1 << 20 # own points of a small cell; numbers in a block of a large one
 TRIED = 2048                # points of a cell that a split is tried on
 COPIES, MOVED = 8, 8192     # guests of a point that any split may make; pairs that cost as much as moving a point
+PROBED = 8192               # points that all are compared with before outliers are looked for
 TILE = 512, 2048            # points compared at a time
 
 
@@ -388,9 +392,37 @@ def ball_counts(points: DataFrame, D: float, leaf: int = LEAF, share: int = SHAR
     return _with_balls(points, cells, _counts(cells, D, True, most, numbers))
 
 
-def exact_outliers(points: DataFrame, D: float, M: int, **how) -> DataFrame:
+def _compare_drawn(folder: str, files: list[str], D: float):
+    """Points (id, w, v) -> (id, n): the drawn points within D, or the point's own copies, if they are more."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn = [_read(folder, f) for f in files]
+        for b in it:
+            ids, n, vs = b.column("id"), b.column("w").to_numpy(), matrix(b.column("v"))
+            yield _found(ids, np.maximum(n, sum(within(vs, x, ws, D) for _, ws, x in drawn)))
+    return run
+
+
+def may_be_outliers(points: DataFrame, D: float, M: int, probed: int = PROBED) -> DataFrame:
+    """Distinct points (id, w, v), stored, with ``asked``: false if more than M points within D are known from some drawn ones."""
+    spark = points.sparkSession
+    points = written(points, shared_dir(spark, "metric-distinct"))
+    n = points.count()
+    folder = shared_dir(spark, "metric-drawn")
+    drawn = points.where(_draw(-100) < probed / max(1, n)).groupBy().agg(F.collect_list(F.struct("id", "w", "v")).alias("p"))
+    drawn = drawn.where(F.size("p") > 0).select(F.col("p.id").alias("ids"), F.col("p.w").alias("ws"), F.col("p.v").alias("vs"))
+    drawn.write.option("maxRecordsPerFile", 1).parquet(folder)
+    files = [r[0] for r in spark.read.schema(drawn.schema).parquet(folder).select(F.col("_metadata.file_name")).collect()]   # one, or none
+    many = (points.mapInArrow(_compare_drawn(folder, files, D), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            .where(F.col("n") > M).select(F.col("id").alias("full")))
+    return points.join(many, F.col("id") == F.col("full"), "left").select("id", "w", "v", (F.col("full").isNull() & F.col("id").isNotNull()).alias("asked"))
+
+
+def exact_outliers(points: DataFrame, D: float, M: int, probed: int = PROBED, leaf: int = LEAF, share: int = SHARE, depth: int = DEPTH,
+                   most: int = MOST, numbers: int = CELLS) -> DataFrame:
     """C1 in any number of columns: the points with at most M points nearer than D -> ``id, v, ball``."""
-    return ball_counts(points, D, **how).where(F.col("ball") <= M)
+    _checked(D)
+    cells = partition(may_be_outliers(distinct_points(points), D, M, probed), D, leaf, share, depth)
+    return _with_balls(points, cells, _counts(cells, D, False, most, numbers).where(F.col("ball") <= M))
 
 
 def point_distance(points: DataFrame) -> DataFrame:

@@ -107,3 +107,26 @@ def test_pairs_in_both_directions():
         out, other = metric.within(a, b, wb, D, wa)
         assert out.tolist() == (near @ wb).tolist() and other.tolist() == (wa @ near).tolist()
         assert metric.within(a, b, wb, D).tolist() == out.tolist()
+
+
+def test_few_points_are_left_to_be_outliers(spark, clustered):
+    """Points with enough of the drawn ones near them are no guests; what is left is counted in full."""
+    D = 1.3
+    want = brute(clustered, D)
+    points = metric.distinct_points(frame(spark, clustered))
+    asked = {r.id for r in metric.may_be_outliers(points, D, 3, probed=400).where("asked").collect()}
+    assert set(np.flatnonzero(want <= 3).tolist()) <= asked and len(asked) < points.count() / 2
+    large = {"leaf": 40, "share": 200, "depth": 1, "most": 50, "numbers": 320}
+    for how in ({"probed": 400, "leaf": 60, "share": 20}, {"probed": 400, **large}, {"probed": 0, **large}, {"probed": 10 ** 6}):
+        rows = metric.exact_outliers(frame(spark, clustered), D, 3, **how).collect()
+        assert {r.id: r.ball for r in rows} == {i: n for i, n in enumerate(want.tolist()) if n <= 3}
+
+
+def test_outliers_among_repeated_and_null_ids(spark):
+    """The points of an id are told together, as their counts are; points without an id are none."""
+    rows = [(1, [0.0]), (1, [50.0]), (2, [0.1]), (3, [0.2]), (4, [90.0]), (None, [70.0]), (None, [0.3])]
+    x = spark.createDataFrame(rows, "id long, v array<double>")
+    balls = {(r.id, r.v[0]): r.ball for r in metric.ball_counts(x, 1.0).collect()}
+    for probed in (0, 100):
+        got = {(r.id, r.v[0]): r.ball for r in metric.exact_outliers(x, 1.0, 2, probed=probed).collect()}
+        assert got == {k: n for k, n in balls.items() if n <= 2} == {(4, 90.0): 1}
