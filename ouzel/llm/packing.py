@@ -32,10 +32,10 @@ windows' bounds; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,20 +56,44 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("source", pa.string())])
 
 
+class Known(dict):
+    """Ids by word; ``learn`` gives those of a word that is not there."""
+
+    def __init__(self, learn: Callable[[bytes], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
+
+
 class Words:
     """Token ids of the white-space separated words of texts, remembered for recent words.
 
     The tokenizer splits at white space, so the ids of a text are those of its words; it
     lower-cases, so A-Z need not be told apart (but where a special token may be meant);
     and marks after a letter are tokens of their own. Two generations of words are kept.
+
+    A new word of lower-case letters (``PLAIN``) is one piece that normalising leaves as it is, so it
+    goes to the tokenizer's byte-pair model at once, its bytes written as that model's letters.
     """
 
     MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != ord("'"))   # 's and the like are tokens
 
+    PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch      # a-z and the lower-case letters of Latin-1
+    # bytes that are no shown characters stand as the characters from 256 on
+    LETTERS = {c: 0x100 + i for i, c in enumerate(c for c in range(256) if not (0x20 < c < 0x7F or 0xA0 < c != 0xAD))}
+
     def __init__(self, path: str, keep: int = 400_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep, self.known, self.old = Tokenizer.from_file(path), keep, {}, {}
+        self.tokenizer, self.keep, self.known, self.old = Tokenizer.from_file(path), keep, Known(self._learn), {}
+        self.raw = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.model = self.tokenizer.model
+        probes = [x.encode() for x in ("a", "the", "wordsofletters", "über", "señoría", "éàßÿ", "qzxvjk")]
+        if any(self._plain(w) != self._any(w) for w in probes):      # another kind of tokenizer
+            self.model = None
 
     @staticmethod
     def of_worker(path: str) -> "Words":
@@ -81,47 +105,34 @@ class Words:
             kept[path] = Words(path)
         return kept[path]
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Remembers the ids of words."""
-        for at in range(0, len(words), 8192):
-            part = words[at:at + 8192]
-            e = self.tokenizer.encode([w.decode("utf-8", "replace") for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids, of = np.array(e.ids, "<u4"), np.array([-1 if w is None else w for w in e.word_ids], np.int64)
-            bounds = np.searchsorted(of, np.arange(len(part) + 1)).tolist()
-            raw = ids.tobytes()
-            self.known.update((w, raw[4 * s:4 * t]) for w, s, t in zip(part, bounds, bounds[1:]))
-
-    def _look_up(self, words: set[bytes]) -> None:
-        """Sees to it that the ids of ``words`` are known."""
-        known, old, new, marked, marks_of = self.known, self.old, set(), [], self.MARKS
-        words = words.difference(known)
-        for w in words.intersection(old) if old else ():
-            known[w] = old[w]
-        for w in words.difference(old) if old else words:
-            stem = w.rstrip(marks_of)
-            if len(stem) < len(w) and stem[-1:].isalpha() and b"<|" not in w:
-                marked.append((w, stem, w[len(stem):]))
-            else:
-                new.add(w)
-        for _, stem, marks in marked:
-            for x in (stem, marks):
-                if x not in known:
-                    if x in old:
-                        known[x] = old[x]
-                    else:
-                        new.add(x)
-        self._learn(list(new))
-        for w, stem, marks in marked:
-            known[w] = known[stem] + known[marks]
+    def _plain(self, word: bytes) -> bytes:
+        """The ids of a word of lower-case letters."""
+        text = word.decode() if word.isascii() else word.decode("latin-1").translate(self.LETTERS)
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.model.tokenize(text)])
+
+    def _any(self, word: bytes) -> bytes:
+        """The ids of any word."""
+        e = self.tokenizer.encode([word.decode("utf-8", "replace")], is_pretokenized=True, add_special_tokens=False)
+        return np.array(e.ids, "<u4").tobytes()
+
+    def _learn(self, word: bytes) -> bytes:
+        """The ids of a word that is not among the recent ones."""
+        if (ids := self.old.get(word)) is not None:
+            return ids
+        if self.model is not None and self.PLAIN(word):
+            return self._plain(word)
+        stem = word.rstrip(self.MARKS)
+        if len(stem) < len(word) and stem[-1:].isalpha() and b"<|" not in word:
+            return self.known[stem] + self.known[word[len(stem):]]
+        return self._any(word)
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """For each text its ids and the end id, as little-endian unsigned 32-bit numbers."""
         if len(self.known) > self.keep:
-            self.known, self.old = {}, self.known
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self._look_up(set(chain.from_iterable(split)))
+            self.known, self.old = Known(self._learn), self.known
         end, ids = np.array([end_id], "<u4").tobytes(), self.known.__getitem__
-        return [b"".join(map(ids, ws)) + end for ws in split]
+        return [b"".join(map(ids, (t if b"<|" in t else t.lower()).split())) + end for t in texts]
 
 
 def tokenised(docs: DataFrame, path: str, end_id: int = 2, text: str = "text", source: str = "source",
