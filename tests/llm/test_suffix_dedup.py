@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -71,3 +72,32 @@ def test_short_length_is_refused_and_empty_table(spark, docs_of):
     with pytest.raises(ValueError):
         S.remove_repeats(docs_of(["a"]), 100).count()
     assert S.remove_repeats(docs_of(["a"]).limit(0), L).count() == 0
+
+
+def test_anchors_hold_little_memory():
+    data = np.random.default_rng(9).integers(97, 123, 3 << 20, np.uint8)
+    tracemalloc.start()
+    try:
+        one, two = S.Rolling(1, S.CHUNK + 2 * L), S.Rolling(2, S.CHUNK + 2 * L)
+        found = sum(len(a["pos"]) for a in S.anchors(data, np.array([len(data)]), L, one, two))
+        assert found > len(data) / 110
+        assert tracemalloc.get_traced_memory()[1] < 32e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_edges_of_passages_come_to_few_rows(spark, docs_of, monkeypatch):
+    rng = random.Random(10)
+    rnd = lambda n: "".join(rng.choice("abcdefghij klmnopq") for _ in range(n))
+    passage = rnd(1200)
+    texts = [rnd(500) + passage[rng.randrange(0, 300):1200 - rng.randrange(0, 300)] + rnd(500) for _ in range(40)]
+    levels, neighbours = [], S.neighbours
+
+    def counted(rows, n):
+        if "place" in rows.columns:
+            levels.append((rows.count(), rows.select("place").distinct().count()))
+        return neighbours(rows, n)
+    monkeypatch.setattr(S, "neighbours", counted)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in S.remove_repeats(docs_of(texts, False), L).collect()}
+    assert got == dict(enumerate(plain(texts)))
+    assert sum(rows for rows, _ in levels) < 25 * levels[0][1]
